@@ -20,8 +20,6 @@ _FLOAT_TEXT = (
 )
 _FLOAT_WORD = r"(?i)^[+-]?(inf|infinity|nan)$"
 
-_ISO_DATE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
-
 
 def column(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,16 +54,6 @@ def nan_to_null(c: ColumnLike) -> Column:
     return F.when(~F.isnan(column(c)), column(c))
 
 
-def iso_date(c: ColumnLike) -> Column:
-    """ISO text as a date; NULL for anything that does not name a full day."""
-    return F.when(column(c).rlike(_ISO_DATE), column(c).try_cast("date"))
-
-
-def iso_timestamp(c: ColumnLike) -> Column:
-    """ISO text, with or without offset, as a timestamp; NULL for anything without a full day."""
-    return F.when(column(c).rlike(_ISO_DATE), column(c).try_cast("timestamp"))
-
-
 def is_yes(c: ColumnLike) -> Column:
     return column(c) == "Yes"
 

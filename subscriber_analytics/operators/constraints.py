@@ -8,18 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscriber_analytics.functions.columns import (
-    float_or_null, iso_date, iso_timestamp, nan_to_null,
-)
+from subscriber_analytics.functions.columns import float_or_null, nan_to_null
 from subscriber_analytics.schemas import (
     NOW, PROFILE_DEFAULTS, PROFILE_NUMBERS, PROFILE_RANGES, ColumnRule,
 )
 
 REASON = "reject_reason"
 
+_FLOATS = ("double", "float")
+# Shorter texts such as a year or a time of day would be completed by a cast, not refused.
+_FULL_DAY = "^ *[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
+
 
 def apply_defaults(df: DataFrame, rules: Iterable[ColumnRule]) -> DataFrame:
     """Add the columns that are absent and have a default. An explicit NULL stays NULL."""
@@ -33,31 +35,45 @@ def apply_defaults(df: DataFrame, rules: Iterable[ColumnRule]) -> DataFrame:
 def nan_columns_to_null(df: DataFrame) -> DataFrame:
     """NULL instead of NaN in every float column."""
     return df.withColumns({
-        name: nan_to_null(name) for name, kind in df.dtypes if kind in ("double", "float")
+        name: nan_to_null(name) for name, kind in df.dtypes if kind in _FLOATS
     })
 
 
-def _stored(rule: ColumnRule, kind: str) -> Column:
-    """The column in its stored type; NULL where the value does not fit."""
-    value = F.col(rule.name)
-    if rule.max_length is not None:
-        text = value.cast("string")
+def _stored(rule: ColumnRule, kind: str) -> str:
+    """SQL for the column in its stored type; NULL where the value does not fit."""
+    value = _not_nan(rule, kind)
+    length = rule.max_length
+    if length is not None:
+        text = f"CAST({value} AS STRING)"
         # Blanks beyond the length are cut, anything else beyond it is an error.
-        fits = F.length(F.rtrim(text)) <= rule.max_length
-        cut = F.when(F.length(text) <= rule.max_length, text)
-        return cut.otherwise(F.when(fits, F.substring(text, 1, rule.max_length)))
-    if kind in ("double", "float"):
-        value = nan_to_null(value)
-    if kind == "string" and rule.sql_type == "date":
-        return iso_date(value)
-    if kind == "string" and rule.sql_type == "timestamp":
-        return iso_timestamp(value)
-    return value.try_cast(rule.sql_type)
-
-
-def _given(rule: ColumnRule, kind: str) -> Column:
-    value = F.col(rule.name)
-    return nan_to_null(value).isNotNull() if kind in ("double", "float") else value.isNotNull()
+        return (
+            f"CASE WHEN length({text}) <= {length} THEN {text} "
+            f"WHEN length(rtrim({text})) <= {length} THEN substring({text}, 1, {length}) END"
+        )
+    if kind == "string" and rule.sql_type in ("date", "timestamp"):
+        return f"CASE WHEN {value} RLIKE '{_FULL_DAY}' THEN try_cast({value} AS {rule.sql_type}) END"
+    return f"try_cast({value} AS {rule.sql_type})"
+
+
+def _not_nan(rule: ColumnRule, kind: str) -> str:
+    name = f"`{rule.name}`"
+    return f"CASE WHEN NOT isnan({name}) THEN {name} END" if kind in _FLOATS else name
+
+
+def _problem(rule: ColumnRule, kind: str) -> str:
+    """SQL for what is wrong with the column, NULL if nothing."""
+    stored = f"`_stored_{rule.name}`"
+    misfit = "too long" if rule.max_length is not None else "invalid"
+    cases = [f"WHEN {stored} IS NULL AND {_not_nan(rule, kind)} IS NOT NULL "
+             f"THEN '{rule.name}: {misfit}'"]
+    if not rule.nullable:
+        cases.append(f"WHEN {stored} IS NULL THEN '{rule.name}: missing'")
+    if rule.bounds is not None:
+        low, high = rule.bounds
+        cases.append(
+            f"WHEN NOT {stored} BETWEEN {low} AND {high} THEN '{rule.name}: out of range'"
+        )
+    return f"CASE {' '.join(cases)} END"
 
 
 def enforce_constraints(df: DataFrame, rules: Iterable[ColumnRule]) -> DataFrame:
@@ -65,34 +81,21 @@ def enforce_constraints(df: DataFrame, rules: Iterable[ColumnRule]) -> DataFrame
 
     The reason reads ``<column>: missing``, ``<column>: too long``, ``<column>: invalid`` or
     ``<column>: out of range``; several are joined with ``; ``. It is NULL for a good row. A reason
-    given by an earlier step stands alone.
+    given by an earlier step stands alone. NaN counts as NULL.
     """
-    rules = tuple(rules)
+    rules = {rule.name: rule for rule in rules}
     kinds = dict(df.dtypes)
     # The stored values get columns of their own first, so that each is computed once.
-    staged = df.withColumns({f"_stored_{r.name}": _stored(r, kinds[r.name]) for r in rules})
-    problems = []
-    for rule in rules:
-        stored = F.col(f"_stored_{rule.name}")
-        misfit = "too long" if rule.max_length is not None else "invalid"
-        problem = F.when(
-            _given(rule, kinds[rule.name]) & stored.isNull(), F.lit(f"{rule.name}: {misfit}")
-        )
-        if not rule.nullable:
-            problem = problem.when(stored.isNull(), F.lit(f"{rule.name}: missing"))
-        if rule.bounds is not None:
-            problem = problem.when(
-                ~stored.between(*rule.bounds), F.lit(f"{rule.name}: out of range")
-            )
-        problems.append(problem)
-    reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
+    staged = df.selectExpr(
+        "*", *[f"{_stored(rule, kinds[name])} AS `_stored_{name}`" for name, rule in rules.items()]
+    )
+    problems = ", ".join(_problem(rule, kinds[name]) for name, rule in rules.items())
+    reason = f"nullif(concat_ws('; ', {problems}), '')"
     if REASON in kinds:
-        reason = F.coalesce(F.col(REASON), reason)
-    ruled = {r.name for r in rules}
-    return staged.select(
-        *[F.col(f"_stored_{c}").alias(c) if c in ruled else F.col(c)
-          for c in df.columns if c != REASON],
-        reason.alias(REASON),
+        reason = f"coalesce({REASON}, {reason})"
+    return staged.selectExpr(
+        *[f"`_stored_{c}` AS `{c}`" if c in rules else f"`{c}`" for c in df.columns if c != REASON],
+        f"{reason} AS {REASON}",
     )
 
 

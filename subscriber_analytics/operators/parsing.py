@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscriber_analytics.functions.columns import float_or_null, strip
-from subscriber_analytics.operators.constraints import (
-    REASON, apply_defaults, enforce_constraints, nan_columns_to_null,
-)
+from subscriber_analytics.operators.constraints import REASON, apply_defaults, enforce_constraints
 from subscriber_analytics.schemas import (
     EVENT_COLUMNS, EVENT_JSON_SCHEMA, EVENT_LOG_RULES, PROFILE_COLUMNS, SOURCE_TO_WIRE,
 )
@@ -32,26 +30,26 @@ def parse_events(messages: DataFrame, schema: str = EVENT_JSON_SCHEMA) -> DataFr
         F.col("value").cast("string").alias("raw_value"),
     ).select("arrival", "raw_value", evt.alias("evt"))
     names = [field.split(" ")[0] for field in schema.split(", ")]
-    no_field = F.coalesce(*[F.col(f"evt.{name}").cast("string") for name in names]).isNull()
+    fields = ", ".join(f"CAST(evt.{name} AS STRING)" for name in names)
     reason = (
-        F.when(F.col("raw_value").isNull() | (F.trim("raw_value") == ""), "message: empty")
-        .when(F.col(f"evt.{_CORRUPT}").isNotNull() & no_field, "message: malformed")
+        "CASE WHEN raw_value IS NULL OR trim(raw_value) = '' THEN 'message: empty' "
+        f"WHEN evt.{_CORRUPT} IS NOT NULL AND coalesce({fields}) IS NULL "
+        "THEN 'message: malformed' END"
     )
-    return decoded.select(
-        *[F.col(f"evt.{name}").alias(name) for name in names],
-        "arrival", "raw_value", reason.alias(REASON),
+    return decoded.selectExpr(
+        *[f"evt.{name} AS {name}" for name in names], "arrival", "raw_value",
+        f"{reason} AS {REASON}",
     )
 
 
 def to_event_log(parsed: DataFrame) -> DataFrame:
     """Parsed messages as event log rows: stored types, defaults, and a reason on bad rows.
 
-    ``raw_value`` is kept on the bad rows only.
+    NaN is stored as NULL. ``raw_value`` is kept on the bad rows only. On a stream ``ingested_ts`` is
+    the start of the micro-batch, which the checkpoint keeps: a replayed batch gets the same.
     """
     rows = parsed.select(*EVENT_COLUMNS, "arrival", "raw_value", REASON)
-    rows = enforce_constraints(
-        apply_defaults(nan_columns_to_null(rows), EVENT_LOG_RULES), EVENT_LOG_RULES
-    )
+    rows = enforce_constraints(apply_defaults(rows, EVENT_LOG_RULES), EVENT_LOG_RULES)
     raw = F.when(F.col(REASON).isNotNull(), F.col("raw_value"))
     return rows.select(
         *[rule.name for rule in EVENT_LOG_RULES], "arrival", REASON, raw.alias("raw_value")

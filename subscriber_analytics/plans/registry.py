@@ -12,7 +12,7 @@ from subscriber_analytics.operators import constraints, features, lifecycle, met
 from subscriber_analytics.operators import state as st
 from subscriber_analytics.plans import reports, views
 from subscriber_analytics.schemas import EVENT_LOG_RULES, PROFILE_COLUMNS, PROFILE_DEFAULTS
-from subscriber_analytics.session import work_dir
+from subscriber_analytics.session import apply_settings, work_dir
 from subscriber_analytics.streaming import logs
 from subscriber_analytics.streaming.job import JobConfig, start_job
 
@@ -119,9 +119,17 @@ def _batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.batch_metrics(scored, ["batch_day"])
 
 
+def _spread(spark: SparkSession, sf_dir: str) -> int | None:
+    """The number of cores if the events table has fewer splits than that (no job is run)."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores if fx.table(spark, sf_dir, "events").rdd.getNumPartitions() < cores else None
+
+
 def _run_job(spark: SparkSession, sf_dir: str) -> str:
     folder = work_dir(spark, "job")
-    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint")
+    config = JobConfig(
+        root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=_spread(spark, sf_dir)
+    )
     query = start_job(fx.message_stream(spark, sf_dir), fx.SCORER, config, available_now=True)
     query.awaitTermination()
     return config.root
@@ -222,8 +230,7 @@ QUERIES: dict[str, Query] = {
 def queries() -> dict[str, Query]:
     def prepared(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return comparable(query(spark, sf_dir))
+            return comparable(query(apply_settings(spark), sf_dir))
 
         return run
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from subscriber_analytics.operators.constraints import REASON
 from subscriber_analytics.operators.features import model_inputs, preprocess, to_training_names
 from subscriber_analytics.operators.metrics import metric_columns
 from subscriber_analytics.operators.parsing import parse_events, to_event_log
@@ -27,7 +28,12 @@ _QUERY_ID = "sql.streaming.queryId"
 
 @dataclass(frozen=True)
 class JobConfig:
-    """``root`` holds the logs and ``checkpoint`` the progress; both lie on shared storage."""
+    """Settings of a job.
+
+    ``root`` holds the logs and ``checkpoint`` the progress; both lie on shared storage. ``spread``
+    distributes the raw messages over that many tasks before they are parsed: set it where the source
+    has fewer partitions than the cluster has cores, leave it None otherwise, as it costs a shuffle.
+    """
 
     root: str
     checkpoint: str
@@ -35,6 +41,7 @@ class JobConfig:
     model_name: str = "churn_model"
     model_version: str = "1"
     trigger_seconds: int = 10
+    spread: int | None = None
 
 
 def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFrame:
@@ -44,7 +51,8 @@ def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFr
     customer.
     """
     keys = ["customerID", "event_ts", "arrival"]
-    inputs = model_inputs(preprocess(to_training_names(events), order=["arrival"]), keep=keys)
+    named = to_training_names(events).drop("ingested_ts")
+    inputs = model_inputs(preprocess(named, order=["arrival"]), keep=keys)
     scored = scorer(inputs).withColumnRenamed("customerID", "customer_id")
     return to_score_log(scored, config.threshold, config.model_name, config.model_version)
 
@@ -52,25 +60,31 @@ def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFr
 def batch_processor(scorer: Scorer, config: JobConfig,
                     on_metrics: Callable[[int, dict], None] | None = None,
                     ) -> Callable[[DataFrame, int], None]:
-    """The function for ``foreachBatch``. An error leaves it, so that the batch is delivered again;
-    what the first attempt wrote is then replaced."""
+    """The function for ``foreachBatch`` on a stream of event log rows.
+
+    An error leaves it, so that the batch is delivered again; what the first attempt wrote is then
+    replaced. ``on_metrics`` gets the counts of each batch.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
-        write_batch(to_event_log(parse_events(batch)), config.root, EVENTS, query_id, batch_id)
-
+        received = Observation(f"events_{batch_id}")
+        write_batch(
+            batch.observe(received, F.count_if(F.col(REASON).isNull()).alias("nb_evenements"),
+                          F.count_if(F.col(REASON).isNotNull()).alias("nb_rejets")),
+            config.root, EVENTS, query_id, batch_id,
+        )
+        if received.get["nb_evenements"] == 0:
+            return
         events = read_batch(spark, config.root, EVENTS, query_id, batch_id)
-        scores = score_events(events.drop("ingested_ts"), scorer, config)
-        summary = Observation(f"scores_{batch_id}")
+        scored = Observation(f"scores_{batch_id}")
         write_batch(
-            scores.observe(summary, *metric_columns(config.threshold)),
+            score_events(events, scorer, config).observe(scored, *metric_columns(config.threshold)),
             config.root, SCORES, query_id, batch_id,
         )
         if on_metrics is not None:
-            on_metrics(batch_id, summary.get)
+            on_metrics(batch_id, {**received.get, **scored.get})
 
     return process
 
@@ -79,21 +93,12 @@ def start_job(messages: DataFrame, scorer: Scorer, config: JobConfig, available_
               on_metrics: Callable[[int, dict], None] | None = None) -> StreamingQuery:
     """Start the job on a stream of envelopes. With ``available_now`` it processes what is there
     and stops."""
-    writer = messages.writeStream.option("checkpointLocation", config.checkpoint)
+    if config.spread is not None:
+        messages = messages.repartition(config.spread)
+    rows = to_event_log(parse_events(messages))
+    writer = rows.writeStream.option("checkpointLocation", config.checkpoint)
     writer = (
         writer.trigger(availableNow=True) if available_now
         else writer.trigger(processingTime=f"{config.trigger_seconds} seconds")
     )
     return writer.foreachBatch(batch_processor(scorer, config, on_metrics)).start()
-
-
-def append_to_table(rows: DataFrame, url: str, table: str, **options: str) -> None:
-    """Append log rows to a database table over JDBC, as an export of a log.
-
-    ``arrival`` and the reason stay out. A failed and repeated export can append rows twice; the
-    Parquet logs cannot. Needs the driver of the database on the class path.
-    """
-    columns = [name for name in rows.columns if name not in ("arrival", "reject_reason")]
-    rows.select(*[F.col(name) for name in columns]).write.format("jdbc").options(
-        url=url, dbtable=table, **options
-    ).mode("append").save()
