@@ -137,7 +137,8 @@ def _run_job(spark: SparkSession, sf_dir: str) -> str:
 
 def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "parsed")
-    parsed = parsing.parse_events(fx.message_stream(spark, sf_dir))
+    stream, spread = fx.message_stream(spark, sf_dir), _spread(spark, sf_dir)
+    parsed = parsing.parse_events(stream if spread is None else stream.repartition(spread))
     parsed = parsed.withColumn("event_id", F.col("arrival.offset")).drop("arrival", "raw_value")
     query = (
         parsed.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")

@@ -77,14 +77,19 @@ def live_kpis(view_360: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     )
 
 
-def live_kpis_from_logs(events: DataFrame, scores: DataFrame, as_of=None, hours: int = 24
-                        ) -> DataFrame:
+def live_kpis_from_logs(events: DataFrame, scores: DataFrame, as_of=None, hours: int = 24,
+                        day_column: str | None = None) -> DataFrame:
     """``live_kpis`` that reads only the window of the score log.
 
     A customer's last score lies in the window if any score does, and is then the last one in it. So
-    the window can be cut from the log before the latest scores are found.
+    the window can be cut from the log before the latest scores are found. ``day_column`` names a
+    partition column with the date of ``predicted_ts`` (``ingest_date`` in our log); older
+    partitions are then not even listed.
     """
-    recent = scores.filter(F.col("predicted_ts") >= _window_start(as_of, hours))
+    start = _window_start(as_of, hours)
+    recent = scores.filter(F.col("predicted_ts") >= start)
+    if day_column is not None:
+        recent = recent.filter(F.col(day_column) >= start.cast("date"))
     return live_kpis(join_360(latest_state(events), latest_score(recent), as_of), as_of, hours)
 
 

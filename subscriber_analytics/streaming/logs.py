@@ -123,8 +123,9 @@ def compact(spark: SparkSession, root: str, log: str) -> dict[str, tuple[int, in
     The newest batch of a query stays out: it may be replayed, while the start of the next batch
     proves that the checkpoint holds all earlier ones. A compaction counts once its ``_SUCCESS``
     mark exists; one that was cut short is written again from the start. Readers switch over by
-    listing, so merged batch folders may be removed later by ``purge``. The work is one shuffle by day
-    and row position, so that a day with a large share of the rows still spreads over many tasks.
+    listing, so merged batch folders may be removed later by ``purge``. Rows are split by ranges of
+    day, customer and arrival: lookups of a customer skip most files by their statistics, and neither
+    a day nor a customer with a large share of the rows ends up in one task.
     """
     done = _compacted(spark, root, log)
     merged = {}
@@ -142,8 +143,8 @@ def compact(spark: SparkSession, root: str, log: str) -> dict[str, tuple[int, in
             .drop("query_id")
         )
         (
-            rows.repartitionByRange("ingest_date", "arrival")
-            .sortWithinPartitions("accepted", "ingest_date", "arrival")
+            rows.repartitionByRange("ingest_date", "customer_id", "arrival")
+            .sortWithinPartitions("accepted", "ingest_date", "customer_id", "arrival")
             .write.mode("overwrite").partitionBy("accepted", "ingest_date")
             .parquet(f"{root}/{log}/compacted/query_id={query}/first={first}/last={last}")
         )
