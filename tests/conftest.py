@@ -3,8 +3,6 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
-TABLES = ("customer", "orders", "events")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,6 +13,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
+        .config("spark.sql.debug.maxToStringFields", "100")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
