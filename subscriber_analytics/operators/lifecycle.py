@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscriber_analytics.functions.columns import ColumnLike, as_of_timestamp, column
+from subscriber_analytics.operators.constraints import accepted
+from subscriber_analytics.operators.parsing import coerce_profiles, rename_profiles
 from subscriber_analytics.schemas import EVENT_COLUMNS, TOPIC_OF_EVENT_TYPE
 
 DAYS_PER_MONTH = 30
@@ -72,6 +74,17 @@ def expand_lifecycle(profiles: DataFrame, as_of=None, source: str = "kafka_simul
     return make_events(rows, "_type", created, source).drop("_step", "_type")
 
 
+def replay_profiles(raw: DataFrame, as_of=None, source: str = "kafka_simulator",
+                    jitter: Column | None = None, draw: Column | None = None) -> DataFrame:
+    """Raw text profiles as lifecycle events: rename, type, derive both dates, expand.
+
+    Profiles without a usable number are left out: take them from ``coerce_profiles``.
+    """
+    profiles = accepted(coerce_profiles(rename_profiles(raw)))
+    dated = derive_churn_date(derive_signup_date(profiles, as_of, jitter), as_of, draw)
+    return expand_lifecycle(dated, as_of, source)
+
+
 def topic_of(event_type: ColumnLike = "event_type") -> Column:
     """Topic of an event type; NULL for an unknown type."""
     routes = [F.lit(text) for pair in TOPIC_OF_EVENT_TYPE.items() for text in pair]

@@ -268,10 +268,13 @@ ORACLES: dict[str, str] = {
         churn_date FROM dated""",
     "lifecycle_events": f"""{_PROFILES} SELECT {', '.join(PROFILE_COLUMNS)}, signup_date, churn_date,
         event_type, event_ts, 'replay' AS source FROM emitted""",
-    "event_routing": f"""{_PROFILES} SELECT 'abonnements' AS topic, customer_id AS key, event_type,
+    "event_routing": f"""WITH ev AS ({fx.ORDER_EVENTS})
+        SELECT CASE event_type WHEN 'usage' THEN 'usages' WHEN 'paiement' THEN 'paiements'
+          ELSE 'abonnements' END AS topic, customer_id AS key, event_type,
         strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_ts,
         CAST(signup_date AS VARCHAR) AS signup_date, churn, tenure,
-        churn_date IS NULL AS null_churn_date FROM emitted""",
+        CAST(monthly_charges AS DOUBLE) AS monthly_charges, churn_date IS NULL AS null_churn_date,
+        contract IS NULL AS null_contract FROM ev""",
     "retention_window": f"""WITH ev AS ({fx.ORDER_EVENTS}) SELECT id, customer_id, ingested_ts FROM ev
         WHERE ingested_ts >= {_AS_OF} - INTERVAL '7' DAY""",
     "stream_parsed": f"""{_MESSAGES} SELECT event_id, {_JSON_COLUMNS},

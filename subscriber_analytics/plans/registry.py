@@ -50,15 +50,23 @@ def _typed_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.coerce_profiles(parsing.rename_profiles(fx.customer_profiles(spark, sf_dir)))
 
 
+def _jitter():
+    return (F.col("c_custkey") % 21 - 10).cast("int")
+
+
+def _draw():
+    return F.col("c_custkey") * 48271
+
+
 def _dated_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = constraints.accepted(_typed_profiles(spark, sf_dir))
-    jitter = (F.col("c_custkey") % 21 - 10).cast("int")
-    dated = lifecycle.derive_signup_date(profiles, fx.AS_OF, jitter)
-    return lifecycle.derive_churn_date(dated, fx.AS_OF, F.col("c_custkey") * 48271)
+    dated = lifecycle.derive_signup_date(profiles, fx.AS_OF, _jitter())
+    return lifecycle.derive_churn_date(dated, fx.AS_OF, _draw())
 
 
 def _lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifecycle.expand_lifecycle(_dated_profiles(spark, sf_dir), fx.AS_OF, "replay")
+    raw = fx.customer_profiles(spark, sf_dir)
+    return lifecycle.replay_profiles(raw, fx.AS_OF, "replay", _jitter(), _draw())
 
 
 def _merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +95,10 @@ def _constraint_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = lifecycle.to_messages(_lifecycle_events(spark, sf_dir))
+    events = fx.order_events(spark, sf_dir)
+    events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    sent = lifecycle.to_messages(events)
+
     def part(name):
         return F.get_json_object("value", f"$.{name}")
 
@@ -95,7 +106,9 @@ def _event_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "topic", "key",
         *[part(name).alias(name) for name in ("event_type", "event_ts", "signup_date", "churn")],
         part("tenure").cast("int").alias("tenure"),
+        part("monthly_charges").cast("double").alias("monthly_charges"),
         F.col("value").contains('"churn_date":null').alias("null_churn_date"),
+        F.col("value").contains('"contract":null').alias("null_contract"),
     )
 
 

@@ -147,6 +147,9 @@ def _ddl(fields) -> str:
     return ", ".join(f"{name} {spark_type}" for name, spark_type in fields)
 
 
+# A raw profile: source names, every value a text.
+PROFILE_SCHEMA = _ddl((training, "string") for _, training, _ in PROFILE_FIELDS)
+
 # One JSON message: numbers are int or double, dates and timestamps are ISO text.
 EVENT_JSON_SCHEMA = _ddl(
     [(wire, _wire_type(t)) for wire, _, t in PROFILE_FIELDS]

@@ -69,6 +69,8 @@ def batch_processor(scorer: Scorer, config: JobConfig,
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
+        if query_id is None:
+            raise RuntimeError("the batch does not belong to a streaming query")
         received = Observation(f"events_{batch_id}")
         write_batch(
             batch.observe(received, F.count_if(F.col(REASON).isNull()).alias("nb_evenements"),

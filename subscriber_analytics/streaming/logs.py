@@ -11,7 +11,7 @@ batches from 0 again. Small batch folders are merged into day partitions by ``co
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscriber_analytics.operators.constraints import REASON
@@ -19,7 +19,7 @@ from subscriber_analytics.schemas import EVENT_LOG_SCHEMA, SCORE_LOG_SCHEMA
 
 EVENTS, SCORES = "events", "scores"
 _SCHEMAS = {EVENTS: EVENT_LOG_SCHEMA, SCORES: SCORE_LOG_SCHEMA}
-_DAY_OF = {EVENTS: "ingested_ts", SCORES: "predicted_ts"}
+DAY_OF = {EVENTS: "ingested_ts", SCORES: "predicted_ts"}
 
 
 def batch_path(root: str, log: str, query_id: str, batch_id: int) -> str:
@@ -30,7 +30,7 @@ def write_batch(rows: DataFrame, root: str, log: str, query_id: str, batch_id: i
     """Write all rows of a batch in one pass, good and rejected ones to folders of their own."""
     (
         rows.withColumn("accepted", F.col(REASON).isNull())
-        .write.mode("overwrite").partitionBy("accepted")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("accepted")
         .parquet(batch_path(root, log, query_id, batch_id))
     )
 
@@ -77,39 +77,70 @@ def _compacted(spark: SparkSession, root: str, log: str) -> dict[str, list[tuple
     return found
 
 
-def _read_all(spark: SparkSession, root: str, log: str) -> DataFrame:
+def closed_batches(spark: SparkSession, root: str, log: str) -> dict[str, int]:
+    """The last batch of each query that can no longer change: the start of the next batch proves
+    that the checkpoint holds it."""
+    closed = {q: max(s[1] for s in spans) for q, spans in _compacted(spark, root, log).items()}
+    for query, batches in _batches(spark, root, log).items():
+        closed[query] = max(closed.get(query, -1), max(batches) - 1)
+    return {query: batch for query, batch in closed.items() if batch >= 0}
+
+
+def _beyond(bound: dict[str, int] | None, query: str, batch: int) -> bool:
+    return bound is None or batch > bound.get(query, -1)
+
+
+def _within(bound: dict[str, int]) -> Column:
+    """Condition on a row: its batch is not after the bound of its query."""
+    inside = F.lit(False)
+    for query, batch in bound.items():
+        inside = inside | ((F.col("query_id") == query) & (F.col("batch_id") <= batch))
+    return inside
+
+
+def _read_all(spark: SparkSession, root: str, log: str, after: dict[str, int] | None = None,
+              upto: dict[str, int] | None = None) -> DataFrame:
     done = _compacted(spark, root, log)
-    last = {query: max(span[1] for span in spans) for query, spans in done.items()}
-    schema = f"{_SCHEMAS[log]}, query_id string, batch_id bigint, accepted boolean"
-    open_folders = [
+    merged_to = {query: max(span[1] for span in spans) for query, spans in done.items()}
+    spans = [
+        span[2] for query, spans in done.items() for span in spans
+        if _beyond(after, query, span[1]) and (upto is None or not _beyond(upto, query, span[0]))
+    ]
+    open_batches = [
         batch_path(root, log, query, batch)
-        for query, batches in _batches(spark, root, log).items()
-        for batch in batches if batch > last.get(query, -1)
+        for query, batches in _batches(spark, root, log).items() for batch in batches
+        if batch > merged_to.get(query, -1) and _beyond(after, query, batch)
+        and (upto is None or not _beyond(upto, query, batch))
     ]
-    landed = spark.createDataFrame([], schema)
-    if open_folders:
-        landed = (
-            spark.read.schema(schema).option("basePath", f"{root}/{log}/landing")
-            .parquet(*open_folders)
-        )
-    landed = landed.withColumn("ingest_date", F.col(_DAY_OF[log]).cast("date"))
-    if not done:
-        return landed
-    merged = (
-        spark.read.schema(f"{schema}, ingest_date date")
-        .option("basePath", f"{root}/{log}/compacted")
-        .parquet(*[span[2] for spans in done.values() for span in spans])
-    )
-    return merged.select(landed.columns).unionByName(landed)
-
-
-def read_log(spark: SparkSession, root: str, log: str) -> DataFrame:
+    schema = f"{_SCHEMAS[log]}, query_id string, batch_id bigint, accepted boolean"
+    day = F.col(DAY_OF[log]).cast("date")
+    parts = []
+    if spans:
+        merged = spark.read.schema(f"{schema}, ingest_date date").option(
+            "basePath", f"{root}/{log}/compacted").parquet(*spans)
+        parts.append(merged.drop("first", "last"))
+    if open_batches:
+        landed = spark.read.schema(schema).option(
+            "basePath", f"{root}/{log}/landing").parquet(*open_batches)
+        parts.append(landed.withColumn("ingest_date", day))
+    if not parts:
+        parts.append(spark.createDataFrame([], schema).withColumn("ingest_date", day))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if after:
+        rows = rows.filter(~_within(after))
+    return rows if upto is None else rows.filter(_within(upto))
+
+
+def read_log(spark: SparkSession, root: str, log: str, after: dict[str, int] | None = None,
+             upto: dict[str, int] | None = None) -> DataFrame:
     """All good rows of a log, merged days and open batches together.
 
     Besides the log columns a row has ``query_id``, ``batch_id`` and ``ingest_date``. Filters on
-    ``ingest_date`` skip the merged days outside them.
+    ``ingest_date`` skip the merged days outside them. ``after`` and ``upto`` give a batch per query:
+    only folders with batches after the one and up to the other are read.
     """
-    return _read_all(spark, root, log).filter("accepted").drop("accepted", REASON, "raw_value")
+    rows = _read_all(spark, root, log, after, upto)
+    return rows.filter("accepted").drop("accepted", REASON, "raw_value")
 
 
 def read_rejects(spark: SparkSession, root: str, log: str = EVENTS) -> DataFrame:
@@ -120,8 +151,7 @@ def read_rejects(spark: SparkSession, root: str, log: str = EVENTS) -> DataFrame
 def compact(spark: SparkSession, root: str, log: str) -> dict[str, tuple[int, int]]:
     """Merge the landing batches of each query into day partitions and return the merged spans.
 
-    The newest batch of a query stays out: it may be replayed, while the start of the next batch
-    proves that the checkpoint holds all earlier ones. A compaction counts once its ``_SUCCESS``
+    The newest batch of a query stays out, as it may be replayed. A compaction counts once its ``_SUCCESS``
     mark exists; one that was cut short is written again from the start. Readers switch over by
     listing, so merged batch folders may be removed later by ``purge``. Rows are split by ranges of
     day, customer and arrival: lookups of a customer skip most files by their statistics, and neither
@@ -139,13 +169,14 @@ def compact(spark: SparkSession, root: str, log: str) -> dict[str, tuple[int, in
         rows = (
             spark.read.schema(schema).option("basePath", f"{root}/{log}/landing")
             .parquet(*[batch_path(root, log, query, batch) for batch in closed])
-            .withColumn("ingest_date", F.col(_DAY_OF[log]).cast("date"))
+            .withColumn("ingest_date", F.col(DAY_OF[log]).cast("date"))
             .drop("query_id")
         )
         (
             rows.repartitionByRange("ingest_date", "customer_id", "arrival")
             .sortWithinPartitions("accepted", "ingest_date", "customer_id", "arrival")
-            .write.mode("overwrite").partitionBy("accepted", "ingest_date")
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("accepted", "ingest_date")
             .parquet(f"{root}/{log}/compacted/query_id={query}/first={first}/last={last}")
         )
         merged[query] = (first, last)

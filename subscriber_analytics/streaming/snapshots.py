@@ -1,0 +1,55 @@
+"""Snapshots of the latest row per customer, so that reports need not read a whole log.
+
+A closed batch never changes. The latest rows of the closed batches, together with all rows of the
+later ones, have the same latest row per customer as the whole log:
+
+    latest(log) = latest(latest(closed batches) + later batches)
+
+Each snapshot is made from the one before it, and a report reads one row per customer and the batches
+since, whatever the length of the log.
+
+    <path>/rows      the latest row of each customer
+    <path>/covered   the last batch of each query that went into it
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from subscriber_analytics.operators.state import latest_by
+from subscriber_analytics.streaming.logs import DAY_OF, closed_batches, read_log
+
+_MAX_QUERIES = 100_000
+
+
+def _covered(spark: SparkSession, path: str) -> dict[str, int]:
+    rows = spark.read.schema("query_id string, batch_id bigint").parquet(f"{path}/covered")
+    rows = rows.limit(_MAX_QUERIES + 1).collect()
+    if len(rows) > _MAX_QUERIES:
+        raise ValueError(f"more than {_MAX_QUERIES} queries wrote to this log")
+    return dict(rows)
+
+
+def write_snapshot(spark: SparkSession, root: str, log: str, path: str,
+                   previous: str | None = None) -> None:
+    """Write the latest row of each customer from all closed batches to a new ``path``.
+
+    ``previous`` is the path of an older snapshot: only the batches since then are read from the log.
+    """
+    closed = closed_batches(spark, root, log)
+    if previous is None:
+        rows = read_log(spark, root, log, upto=closed)
+    else:
+        newer = read_log(spark, root, log, after=_covered(spark, previous), upto=closed)
+        rows = spark.read.schema(newer.schema).parquet(f"{previous}/rows").unionByName(newer)
+    latest_by(rows, ["customer_id"], [DAY_OF[log], "arrival"]).write.parquet(f"{path}/rows")
+    covered = spark.createDataFrame(list(closed.items()), "query_id string, batch_id bigint")
+    covered.coalesce(1).write.parquet(f"{path}/covered")
+
+
+def read_current(spark: SparkSession, root: str, log: str, path: str) -> DataFrame:
+    """A snapshot and the rows since. Use it in place of the log where only the latest row of each
+    customer matters: in ``latest_state``, ``latest_score``, ``customer_360`` and all reports, but
+    not in ``live_feed``."""
+    newer = read_log(spark, root, log, after=_covered(spark, path))
+    return spark.read.schema(newer.schema).parquet(f"{path}/rows").unionByName(newer)

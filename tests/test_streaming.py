@@ -6,12 +6,14 @@ from pyspark.sql.utils import StreamingQueryException
 
 from subscriber_analytics import fixtures as fx
 from subscriber_analytics.operators.scoring import LogitScorer
-from subscriber_analytics.operators.state import keep_first
+from subscriber_analytics.operators.state import keep_first, latest_by
+from subscriber_analytics.schemas import EVENT_LOG_RULES, SCORE_LOG_RULES
 from subscriber_analytics.session import work_dir
 from subscriber_analytics.sources.events import read_event_files
 from subscriber_analytics.streaming import logs
 from subscriber_analytics.streaming.export import append_to_table
 from subscriber_analytics.streaming.job import JobConfig, start_job
+from subscriber_analytics.streaming.snapshots import read_current, write_snapshot
 from tests.helpers import envelopes, event, values
 
 SCORER = LogitScorer(-1.0, {"tenure": 0.1})
@@ -210,3 +212,48 @@ def test_export_leaves_source_position_out(spark, monkeypatch):
     df = spark.sql("SELECT 'a' AS customer_id, 1 AS arrival, NULL AS reject_reason")
     append_to_table(df, "jdbc:postgresql://host/db", "churn_data", user="u")
     assert seen["columns"] == ["customer_id"]
+
+
+@pytest.mark.parametrize("log", [logs.EVENTS, logs.SCORES])
+def test_snapshots_stand_in_for_the_log(spark, tmp_path, log):
+    """Nine days in nine batches, a third of the rows on one customer."""
+    root = str(tmp_path / "logs")
+    rows = spark.range(900).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 40) END AS customer_id",
+        "TIMESTAMP '2024-01-01 08:00:00' + make_dt_interval(CAST(id % 9 AS INT)) AS at")
+    rules = EVENT_LOG_RULES if log == logs.EVENTS else SCORE_LOG_RULES
+    known = {"customer_id": "customer_id", logs.DAY_OF[log]: "at", "event_ts": "at",
+             "churn_score": "id / 900"}
+    rows = rows.selectExpr(
+        *[f"CAST({known.get(r.name, 'NULL')} AS {r.spark_type}) AS {r.name}" for r in rules],
+        "named_struct('timestamp', at, 'topic', 't', 'partition', 0, 'offset', id) AS arrival",
+        "CAST(NULL AS STRING) AS reject_reason",
+        *(["CAST(NULL AS STRING) AS raw_value"] if log == logs.EVENTS else []), "id % 9 AS day")
+
+    def latest(df):
+        kept = latest_by(df, ["customer_id"], [logs.DAY_OF[log], "arrival"])
+        return sorted(values(kept, "customer_id", "arrival.offset", "batch_id"))
+
+    def send(days):
+        for day in days:
+            batch = rows.filter(F.col("day") == day).drop("day")
+            logs.write_batch(batch, root, log, "q", order.index(day))
+
+    # The last batches carry older days: a batch can be late.
+    order = [0, 3, 4, 5, 8, 6, 7, 1, 2]
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    send(order[:4])
+    logs.compact(spark, root, log)
+    write_snapshot(spark, root, log, first)
+    send(order[4:6])
+    write_snapshot(spark, root, log, second, previous=first)
+    logs.compact(spark, root, log)
+    logs.purge(spark, root, log)
+    send(order[6:])
+    expected = latest(logs.read_log(spark, root, log))
+    assert len(expected) == 41 and logs.read_log(spark, root, log).count() == 900
+    for path, covered in ((first, 3), (second, 5)):
+        current = read_current(spark, root, log, path)
+        assert latest(current) == expected
+        assert current.filter(F.col("batch_id") >= covered).count() == 100 * (9 - covered)
+        assert current.count() < 900
