@@ -18,6 +18,8 @@ TIERS = ("ELEVE", "MOYEN", "FAIBLE")
 _FLOAT_TEXT = (
     r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 )
+# White space of any script, and the four separator characters of ASCII.
+_BLANKS = r"\s\x1c-\x1f"
 _FLOAT_WORD = r"(?i)^[+-]?(inf|infinity|nan)$"
 
 
@@ -34,7 +36,7 @@ def as_of_timestamp(as_of: Column | datetime | str | None) -> Column:
 
 def strip(c: ColumnLike) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(column(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(column(c), rf"(?U)^[{_BLANKS}]+|[{_BLANKS}]+$", "")
 
 
 def float_or_null(c: ColumnLike) -> Column:

@@ -97,11 +97,26 @@ def clamp(n: int, cap: int) -> int:
     return min(n, cap)
 
 
+def newest_days(events: DataFrame, n: int, as_of=None, days: int = 1,
+                day_column: str = "ingest_date") -> DataFrame:
+    """The days that hold the newest ``n`` events: the last ``days`` before ``as_of`` and all later
+    ones if they hold as many, else the whole log.
+
+    ``day_column`` is a partition column with the date of ``ingested_ts``, so every event of an
+    earlier day is older. One small job decides; it stops after ``n`` rows.
+    """
+    recent = events.filter(
+        F.col(day_column) >= F.date_sub(as_of_timestamp(as_of).cast("date"), days)
+    )
+    return recent if recent.limit(n).count() == n else events
+
+
 def live_feed(events: DataFrame, scores: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` events (at most 50), newest first, each with its customer's last score.
 
     The events are cut first. Their customers, at most 50 rows, are broadcast to filter the score
-    log before its latest rows are found, so neither log is shuffled.
+    log before its latest rows are found, so neither log is shuffled. On a long log pass
+    ``newest_days(events, n)`` for ``events``.
     """
     order = [F.desc(name) for name in arrival_order(events, "ingested_ts")]
     feed = events.orderBy(*order).limit(clamp(n, MAX_FEED_ROWS))

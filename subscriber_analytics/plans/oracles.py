@@ -188,6 +188,11 @@ _JSON_COLUMNS = ", ".join(
     for c in PROFILE_COLUMNS + ("signup_date", "churn_date", "event_type", "event_ts", "source")
 )
 
+_FEED = f"""{_LOGS} SELECT f.customer_id, f.event_type, f.event_ts,
+    CAST(score.churn_score AS DOUBLE) AS churn_score
+    FROM (SELECT * FROM ev ORDER BY ingested_ts DESC, id DESC LIMIT 50) f
+    LEFT JOIN score ON score.customer_id = f.customer_id"""
+
 ORACLES: dict[str, str] = {
     "rate_by_contract": f"""{_LOGS}
         SELECT contract, count(*) AS nb_clients,
@@ -203,10 +208,8 @@ ORACLES: dict[str, str] = {
         FROM full_view""",
     "score_lookup": f"""{_LOGS} SELECT customer_id, CAST(churn_score AS DOUBLE) AS churn_score,
         churn_predicted, model_version, predicted_ts FROM score WHERE customer_id = '7'""",
-    "live_feed": f"""{_LOGS} SELECT f.customer_id, f.event_type, f.event_ts,
-        CAST(score.churn_score AS DOUBLE) AS churn_score
-        FROM (SELECT * FROM ev ORDER BY ingested_ts DESC, id DESC LIMIT 50) f
-        LEFT JOIN score ON score.customer_id = f.customer_id""",
+    "live_feed": _FEED,
+    "live_feed_recent": _FEED,
     "view_query": f"""{_LOGS} SELECT niveau_risque, contract, count(*) AS n,
         max(duree_reelle_jours) AS plus_longue FROM full_view WHERE tenure >= 12
         GROUP BY niveau_risque, contract""",

@@ -75,6 +75,14 @@ def _merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.merge_state(st.latest_state(events.filter(old)), events.filter(~old))
 
 
+def _live_feed_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = fx.order_events(spark, sf_dir)
+    events = events.withColumn("ingest_date", F.col("ingested_ts").cast("date"))
+    return st.live_feed(
+        st.newest_days(events, 50, fx.AS_OF, days=30), fx.order_scores(spark, sf_dir), 50
+    )
+
+
 def _view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.register_views(
         fx.order_events(spark, sf_dir), fx.order_scores(spark, sf_dir), fx.AS_OF
@@ -203,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "customer_360": _view_360,
     "score_lookup": lambda s, d: st.score_lookup(fx.order_scores(s, d), "7"),
     "live_feed": lambda s, d: st.live_feed(fx.order_events(s, d), fx.order_scores(s, d), 50),
+    "live_feed_recent": _live_feed_recent,
     "view_query": _view_query,
     "actual_vs_predicted": lambda s, d: reports.actual_vs_predicted(_view_360(s, d)),
     "customers_at_risk": lambda s, d: reports.customers_at_risk(_view_360(s, d), 50),

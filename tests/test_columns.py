@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -17,6 +18,24 @@ def test_float_texts(spark):
     assert dict(values(df, "t", c.float_or_null("t"))) == texts
 
 
+def _python_float(text):
+    try:
+        return repr(float(text.strip()))
+    except ValueError:
+        return None
+
+
+def test_float_texts_against_python(spark):
+    draw = random.Random(7)
+    pieces = ["0", "1", "25", ".", "e", "E", "+", "-", "_", " ", "nan", "inf", "Infinity", "d", "x",
+              "\t", "\u00a0", "\x1d", "1e400", "007"]
+    texts = sorted({"".join(draw.choices(pieces, k=draw.randrange(1, 6))) for _ in range(6000)})
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {t: None if v is None else repr(v) for t, v in values(df, "t", c.float_or_null("t"))}
+    assert got == {t: _python_float(t) for t in texts}
+    assert sum(v is not None for v in got.values()) > 300
+
+
 def test_nan_text(spark):
     df = spark.createDataFrame([("nan",), ("+NaN",)], "t string")
     assert values(df, F.isnan(c.float_or_null("t"))) == [(True,), (True,)]

@@ -93,3 +93,21 @@ def test_limits():
     assert st.clamp(500, 50) == 50 and st.clamp(0, 50) == 0
     with pytest.raises(ValueError):
         st.clamp(-1, 50)
+
+
+@pytest.mark.parametrize("n, days", [(5, 1), (5, 0), (50, 1), (50, 400), (0, 1)])
+def test_feed_of_the_newest_days_is_the_feed_of_the_log(spark, n, days):
+    log = _log(spark, _skewed(60, 4)).withColumn("ingest_date", F.to_date("ingested_ts"))
+    scores = _scores(spark, [(1, "hot", "2024-01-01", 0.5, 1)])
+    part = st.newest_days(log, n, "2024-01-09 10:00:00", days)
+    assert values(st.live_feed(part, scores, n), "*") == values(st.live_feed(log, scores, n), "*")
+    assert (part.count() < 60) == (n <= 5)
+
+
+def test_newest_days_read_only_their_partitions(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = _log(spark, _skewed(60, 4)).withColumn("ingest_date", F.to_date("ingested_ts"))
+    log.write.partitionBy("ingest_date").parquet(path)
+    part = st.newest_days(spark.read.parquet(path), 3, "2024-01-09 10:00:00")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_date" in plan.split("PartitionFilters: ")[1].split("]")[0]

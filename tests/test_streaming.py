@@ -11,7 +11,6 @@ from subscriber_analytics.schemas import EVENT_LOG_RULES, SCORE_LOG_RULES
 from subscriber_analytics.session import work_dir
 from subscriber_analytics.sources.events import read_event_files
 from subscriber_analytics.streaming import logs
-from subscriber_analytics.streaming.export import append_to_table
 from subscriber_analytics.streaming.job import JobConfig, start_job
 from subscriber_analytics.streaming.snapshots import read_current, write_snapshot
 from tests.helpers import envelopes, event, values
@@ -200,20 +199,6 @@ def test_work_dir(spark):
     assert shared is None or first.startswith(shared)
 
 
-def test_export_leaves_source_position_out(spark, monkeypatch):
-    from pyspark.sql.readwriter import DataFrameWriter
-
-    seen = {}
-
-    def save(self, *args, **kwargs):
-        seen["columns"] = self._df.columns
-
-    monkeypatch.setattr(DataFrameWriter, "save", save)
-    df = spark.sql("SELECT 'a' AS customer_id, 1 AS arrival, NULL AS reject_reason")
-    append_to_table(df, "jdbc:postgresql://host/db", "churn_data", user="u")
-    assert seen["columns"] == ["customer_id"]
-
-
 @pytest.mark.parametrize("log", [logs.EVENTS, logs.SCORES])
 def test_snapshots_stand_in_for_the_log(spark, tmp_path, log):
     """Nine days in nine batches, a third of the rows on one customer."""
