@@ -36,12 +36,21 @@ full_view AS (
 """
 
 
-def _rate(label: str = "churn") -> str:
-    return f"CAST(round(avg(CASE {label} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END), 4) AS DOUBLE)"
+def _mean(value: str, digits: int) -> str:
+    """Mean of values with at most four decimals, rounded half away from zero.
+
+    In whole numbers: DuckDB divides decimals as doubles, and a tie can then fall to either side.
+    """
+    total = f"sum(CAST(CAST({value} AS DECIMAL(18,4)) * 10000 AS HUGEINT))"
+    count = f"count({value})"
+    rounded = (
+        f"(2 * abs({total}) * {10 ** digits} + 10000 * {count}) // (20000 * {count})"
+    )
+    return f"sign({total}) * CAST({rounded} AS DOUBLE) / {10 ** digits}.0"
 
 
-def _mean(value: str, digits: int) -> str:
-    return f"CAST(round(avg({value}), {digits}) AS DOUBLE)"
+def _rate(label: str = "churn") -> str:
+    return _mean(f"(CASE {label} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END)", 4)
 
 
 def _plain(columns: str) -> str:
@@ -308,8 +317,7 @@ ORACLES: dict[str, str] = {
           round(1 / (1 + exp(-(-1.0 + 0.01 * value))), 4) AS score FROM events)
         SELECT batch_day, count(*) AS nb_scores,
         sum(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END)::BIGINT AS nb_a_risque,
-        CAST(round(sum(CAST(score AS DECIMAL(9,4))) / count(*), 3) AS DOUBLE) AS score_moyen
-        FROM s GROUP BY 1""",
+        """ + _mean("score", 3) + " AS score_moyen FROM s GROUP BY 1",
 }
 
 
