@@ -217,9 +217,10 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
-def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The events table as a stream, without a copy of it. The pattern matches one name, be it a
     file or a folder of part files."""
-    schema = table(spark, sf_dir, "events").schema
-    return messages(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
-
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return messages(reader.parquet(f"{sf_dir}/events.parque[t]"))

@@ -19,6 +19,7 @@ from subscriber_analytics.streaming.job import JobConfig, start_job
 Query = Callable[[SparkSession, str], DataFrame]
 
 KPI_HOURS = 30 * 24
+FILES_PER_BATCH = 10_000
 STATE_COLUMNS = ("id",) + tuple(rule.name for rule in EVENT_LOG_RULES)
 RULED_RAW_COLUMNS = (
     "customer_id", "gender", "senior_citizen", "partner", "tenure", "monthly_charges", "signup_date",
@@ -146,19 +147,24 @@ def _spread(spark: SparkSession, sf_dir: str) -> int | None:
     return cores if fx.table(spark, sf_dir, "events").rdd.getNumPartitions() < cores else None
 
 
-def _run_job(spark: SparkSession, sf_dir: str) -> str:
+def _run_job(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
+    """Run the job over the events table and return the folder of its logs.
+
+    Scores depend on where a micro-batch ends: without ``max_files`` the table is one batch.
+    """
     folder = work_dir(spark, "job")
     config = JobConfig(
         root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=_spread(spark, sf_dir)
     )
-    query = start_job(fx.message_stream(spark, sf_dir), fx.SCORER, config, available_now=True)
+    messages = fx.message_stream(spark, sf_dir, max_files)
+    query = start_job(messages, fx.SCORER, config, available_now=True)
     query.awaitTermination()
     return config.root
 
 
 def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "parsed")
-    stream, spread = fx.message_stream(spark, sf_dir), _spread(spark, sf_dir)
+    stream, spread = fx.message_stream(spark, sf_dir, FILES_PER_BATCH), _spread(spark, sf_dir)
     parsed = parsing.parse_events(stream if spread is None else stream.repartition(spread))
     parsed = parsed.withColumn("event_id", F.col("arrival.offset")).drop("arrival", "raw_value")
     query = (
@@ -170,13 +176,13 @@ def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.read_log(spark, _run_job(spark, sf_dir), logs.EVENTS)
+    rows = logs.read_log(spark, _run_job(spark, sf_dir, FILES_PER_BATCH), logs.EVENTS)
     kept = [rule.name for rule in EVENT_LOG_RULES if rule.name != "ingested_ts"]
     return rows.select(F.col("arrival.offset").alias("event_id"), *kept)
 
 
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.read_rejects(spark, _run_job(spark, sf_dir))
+    rows = logs.read_rejects(spark, _run_job(spark, sf_dir, FILES_PER_BATCH))
     return rows.select(F.col("arrival.offset").alias("event_id"), "customer_id", "reject_reason")
 
 
