@@ -30,7 +30,7 @@ full_view AS (
   SELECT state.customer_id, gender, senior_citizen, partner, dependents, tenure, contract,
     payment_method, internet_service, online_security, tech_support, monthly_charges,
     total_charges, churn AS churn_observe, signup_date, churn_date,
-    coalesce(churn_date, CAST({_AS_OF} AS DATE)) - signup_date AS duree_reelle_jours,
+    CAST(coalesce(churn_date, CAST({_AS_OF} AS DATE)) - signup_date AS INT) AS duree_reelle_jours,
     churn_score, churn_predicted, niveau_risque, model_version, predicted_ts
   FROM state LEFT JOIN score ON state.customer_id = score.customer_id)
 """
@@ -174,7 +174,9 @@ checked AS (SELECT *, coalesce(message_reason, nullif(concat_ws('; ',
     CASE WHEN TRY_CAST(signup_date AS DATE) IS NULL THEN 'signup_date: invalid' END,
     CASE WHEN time_text IS NULL THEN 'event_ts: missing' END), '')) AS reject_reason
   FROM parsed),
-good AS (SELECT * EXCLUDE (signup_date, churn_date, tenure_read, monthly_charges, total_charges),
+good AS (SELECT * EXCLUDE (
+      signup_date, churn_date, tenure_read, monthly_charges, total_charges, senior_citizen),
+    CAST(senior_citizen AS SMALLINT) AS senior_citizen,
     tenure_read AS tenure, CAST(signup_date AS DATE) AS signup_date,
     CAST(churn_date AS DATE) AS churn_date,
     CAST(monthly_charges AS DECIMAL(8,2)) AS monthly_charges,
@@ -297,7 +299,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN message_reason IS NULL THEN customer_id END AS customer_id, reject_reason
         FROM checked WHERE reject_reason IS NOT NULL""",
     "stream_scored": f"""{_MESSAGES} SELECT event_id, customer_id, round(p, 4) AS churn_score,
-        CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS churn_predicted,
+        CAST(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS SMALLINT) AS churn_predicted,
         CAST(0.5 AS DOUBLE) AS seuil_applique, 'churn_model' AS model_name, '1' AS model_version,
         ts AS event_ts FROM scored""",
     "stream_360": f"""{_MESSAGES}, last_event AS (SELECT * FROM good
@@ -306,8 +308,10 @@ ORACLES: dict[str, str] = {
         l.contract, l.payment_method, l.internet_service, l.online_security, l.tech_support,
         CAST(l.monthly_charges AS DOUBLE) AS monthly_charges,
         CAST(l.total_charges AS DOUBLE) AS total_charges, l.churn AS churn_observe, l.signup_date,
-        l.churn_date, coalesce(l.churn_date, DATE '2024-02-01') - l.signup_date AS duree_reelle_jours,
-        round(p, 4) AS churn_score, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS churn_predicted,
+        l.churn_date,
+        CAST(coalesce(l.churn_date, DATE '2024-02-01') - l.signup_date AS INT) AS duree_reelle_jours,
+        round(p, 4) AS churn_score,
+        CAST(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS SMALLINT) AS churn_predicted,
         CASE WHEN round(p, 4) >= 0.7 THEN 'ELEVE' WHEN round(p, 4) >= 0.5 THEN 'MOYEN'
           ELSE 'FAIBLE' END AS niveau_risque, '1' AS model_version
         FROM last_event l LEFT JOIN scored s ON l.customer_id = s.customer_id""",
