@@ -18,8 +18,11 @@ TIERS = ("ELEVE", "MOYEN", "FAIBLE")
 _FLOAT_TEXT = (
     r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 )
-# White space of any script, and the four separator characters of ASCII.
-_BLANKS = r"\s\x1c-\x1f"
+# Every white space character of Unicode, with the four separators of ASCII.
+_BLANKS = "".join(chr(code) for code in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+))
 _FLOAT_WORD = r"(?i)^[+-]?(inf|infinity|nan)$"
 
 
@@ -36,7 +39,7 @@ def as_of_timestamp(as_of: Column | datetime | str | None) -> Column:
 
 def strip(c: ColumnLike) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(column(c), rf"(?U)^[{_BLANKS}]+|[{_BLANKS}]+$", "")
+    return F.btrim(column(c), F.lit(_BLANKS))
 
 
 def float_or_null(c: ColumnLike) -> Column:

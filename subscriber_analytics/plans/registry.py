@@ -108,14 +108,11 @@ def _event_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
     sent = lifecycle.to_messages(events)
 
-    def part(name):
-        return F.get_json_object("value", f"$.{name}")
-
-    return sent.select(
-        "topic", "key",
-        *[part(name).alias(name) for name in ("event_type", "event_ts", "signup_date", "churn")],
-        part("tenure").cast("int").alias("tenure"),
-        part("monthly_charges").cast("double").alias("monthly_charges"),
+    read = F.from_json(
+        "value", "event_type string, event_ts string, signup_date string, churn string, tenure int, "
+        "monthly_charges double")
+    return sent.select("topic", "key", "value", read.alias("read")).select(
+        "topic", "key", "read.*",
         F.col("value").contains('"churn_date":null').alias("null_churn_date"),
         F.col("value").contains('"contract":null').alias("null_contract"),
     )

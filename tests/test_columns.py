@@ -18,6 +18,13 @@ def test_float_texts(spark):
     assert dict(values(df, "t", c.float_or_null("t"))) == texts
 
 
+def test_strip_against_python(spark):
+    blanks = [chr(code) for code in range(0x3100) if chr(code).isspace()]
+    texts = [f"{b}a{b}é{b}" for b in blanks] + ["".join(blanks), "a", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in values(df, c.strip("t"))] == [t.strip() for t in texts]
+
+
 def _python_float(text):
     try:
         return repr(float(text.strip()))
