@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +39,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch; a smaller setting stays."""
+def prepare(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch, and let local workers find this package where the driver has it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    workers = spark.sparkContext.environment
+    paths = [p for p in (workers.get("PYTHONPATH"), str(Path(__file__).resolve().parents[2])) if p]
+    workers["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(os.pathsep.join(paths).split(os.pathsep)))
 
 
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:
@@ -74,7 +79,7 @@ def add_columns(
     docs: DataFrame, text: str, fields: T.StructType, work: Callable[[pa.Array], dict[str, object]],
 ) -> DataFrame:
     """docs with the columns that ``work`` derives from the texts of a block; equal names are replaced."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     kept = without(docs, [f.name for f in fields])
     source = docs.select(*[f"`{c}`" for c in kept], docs[text].alias("__text"))
     schema = T.StructType([docs.schema[c] for c in kept] + list(fields))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import tokens
+from subscriber_analytics.llm import simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,9 +23,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_token_counts": op4_token_counts,
+        "op10_simhash": op10_simhash,
     }
 
 
