@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import simhash, tokens
+from subscriber_analytics.llm import language, quality, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,12 +17,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language.held_out()
+    model = language.learn(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "distance")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
@@ -31,7 +46,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op7_quality": op7_quality,
         "op10_simhash": op10_simhash,
     }
 
