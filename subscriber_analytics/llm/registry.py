@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import language, quality, simhash, tokens
+from subscriber_analytics.llm import language, licenses, pii, quality, simhash, tokens
+
+# The key of a deployment is its own secret; this one is for the queries here.
+PII_KEY = b"key of the registered queries"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.protect(docs, PII_KEY)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = language.held_out()
@@ -31,6 +39,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f.name for f in licenses.FIELDS if f.name != "spans"])
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.judge(docs).select(
@@ -46,8 +59,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_pii": op2_pii,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op6_licenses": op6_licenses,
         "op7_quality": op7_quality,
         "op10_simhash": op10_simhash,
     }
