@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import language, licenses, pii, quality, simhash, tokens
+from subscriber_analytics.llm import language, licenses, mixing, pii, quality, simhash, tokens
 
 # The key of a deployment is its own secret; this one is for the queries here.
 PII_KEY = b"key of the registered queries"
@@ -51,6 +51,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "distance")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, keep_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
@@ -64,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": op4_token_counts,
         "op6_licenses": op6_licenses,
         "op7_quality": op7_quality,
+        "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
     }
 
