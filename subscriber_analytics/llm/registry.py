@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import language, licenses, mixing, pii, quality, simhash, tokens
+from subscriber_analytics.llm import decontaminate, language, licenses, mixing, pii, quality, simhash, tokens, urls
 
 # The key of a deployment is its own secret; this one is for the queries here.
 PII_KEY = b"key of the registered queries"
@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.protect(docs, PII_KEY)
@@ -39,6 +46,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [F.struct(F.lit(rule).alias("rule"), F.lit(action).alias("action")) for rule, action in urls.RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rows)))
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *[f.name for f in licenses.FIELDS if f.name != "spans"])
@@ -65,9 +79,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_pii": op2_pii,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op5_url_filter": op5_url_filter,
         "op6_licenses": op6_licenses,
         "op7_quality": op7_quality,
         "op9_mixing": op9_mixing,
