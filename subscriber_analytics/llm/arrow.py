@@ -64,12 +64,12 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
-def blocks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of at most BLOCK_BYTES of text, or of one row."""
+def blocks(batch: pa.RecordBatch, text: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``size`` bytes of text, or of one row."""
     _, offsets = flat(batch.column(text).cast(pa.string()))
     start = 0
     while start < batch.num_rows:
-        stop = int(np.searchsorted(offsets, offsets[start] + BLOCK_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import decontaminate, language, licenses, mixing, pii, quality, simhash, tokens, urls
+from subscriber_analytics.llm import decontaminate, language, licenses, mixing, pii, quality, simhash, substrings, tokens, urls
 
 # The key of a deployment is its own secret; this one is for the queries here.
 PII_KEY = b"key of the registered queries"
@@ -65,6 +65,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "distance")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs, keep_text=False)
@@ -86,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op5_url_filter": op5_url_filter,
         "op6_licenses": op6_licenses,
         "op7_quality": op7_quality,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
     }
