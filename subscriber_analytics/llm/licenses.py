@@ -233,7 +233,6 @@ cecill-b | cecill | cecill b
 cecill-c | cecill | cecill c
 mulan-psl-2.0 | mulan | mulan (psl|permissive) (software) (license) (v2)
 blueoak-1.0 | blue | blue oak model license
-public-domain | domain | released (in)to the public domain
 public-domain | domain | released into the public domain
 public-domain | domain | this (work|software|file) is in the public domain
 public-domain | domain | dedicated to the public domain

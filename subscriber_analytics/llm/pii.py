@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from subscriber_analytics.llm.arrow import add_columns
 
 ROUNDS = 8
+# Characters permuted as one number; a longer text is permuted piece by piece.
+PIECE = 64
 # Dates are permuted among these days.
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
@@ -27,7 +29,7 @@ FIELDS = T.StructType([
 GATE = re.compile(r"[0-9@=:]")
 _END = r"(?!\w)"
 _LETTERS = (
-    r"(?P<secret>(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<value>[^\s\"'<>&#*$%|,;]{6,}))",
+    r"(?P<secret>(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<value>[^\s\"'<>&#*$%|,;]{5,}[^\s\"'<>&#*$%|,;.:!?()]))",
     rf"(?P<key>(?:AKIA|ASIA)[A-Z0-9]{{16}}{_END}|(?:ghp|gho|ghs)_[A-Za-z0-9]{{36}}{_END}|sk[-_][A-Za-z0-9_-]{{20,}})",
     rf"(?P<iban>[A-Z]{{2}}\d\d(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END})",
 )
@@ -56,7 +58,7 @@ class Pseudonyms:
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
     def _round(self, kind: str, n: int, sizes: tuple[int, int], value: int, size: int) -> int:
-        said = f"{kind}|{n}|{sizes[0]}|{sizes[1]}|{value}".encode()
+        said = f"{kind}|{n}|{sizes[0]:x}|{sizes[1]:x}|{value:x}".encode()
         return int.from_bytes(hashlib.blake2b(said, key=self.key, digest_size=64).digest(), "big") % size
 
     def _feistel(self, kind: str, value: int, sizes: tuple[int, int], back: bool) -> int:
@@ -109,7 +111,10 @@ class Pseudonyms:
         places = [k for k, c in enumerate(text) if c in alphabets]
         own = [alphabets[text[k]] for k in places]
         out = list(text)
-        made = self.digits(kind, [a.index(text[k]) for k, a in zip(places, own, strict=True)], [len(a) for a in own])
+        made: list[int] = []
+        for start in range(0, len(places), PIECE):
+            part = slice(start, start + PIECE)
+            made += self.digits(kind, [a.index(text[k]) for k, a in zip(places[part], own[part], strict=True)], [len(a) for a in own[part]])
         for k, a, v in zip(places, own, made, strict=True):
             out[k] = a[v]
         return "".join(out)

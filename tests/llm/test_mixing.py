@@ -1,0 +1,63 @@
+from pyspark.sql import functions as F
+
+from subscriber_analytics.llm import mixing, registry
+from tests.llm.data import ROWS, SPACED, documents
+
+
+def brute_targets(sizes):
+    """Source sizes (source -> words): targets by filling up in rounds."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: (1, 2, 3)[n % 3] for n, s in enumerate(order)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in full)
+        free = sum(weight[s] for s in order if s not in full)
+        target = {s: 3.0 * sizes[s] if s in full else rest * weight[s] / free for s in order}
+        over = {s for s in order if s not in full and target[s] > 3 * sizes[s]}
+        if not over:
+            return target
+        full |= over
+
+
+def check(rows, texts):
+    sizes, largest = {}, {}
+    for r in rows:
+        assert r["size"] == len(SPACED.findall(texts[r["doc_id"]] or "")) if r["doc_id"] in texts else True
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        largest[r["source"]] = max(largest.get(r["source"], 0), r["size"])
+    targets = brute_targets(sizes)
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]] and abs(r["target"] - targets[r["source"]]) < 1e-6 * max(1, r["target"])
+        assert r["taken"] % max(1, r["size"]) == 0 and r["taken"] <= 3 * r["size"]
+    for source, target in targets.items():
+        taken = sum(r["taken"] for r in rows if r["source"] == source)
+        assert abs(taken - target) <= largest[source] + 1e-6, (source, taken, target)
+
+
+def test_sources_of_the_table_come_near_their_targets_and_runs_agree(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "source")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    first = registry.queries()["op9_mixing"](spark, path).join(docs.select("doc_id", "source"), "doc_id").collect()
+    check(first, texts)
+    other = mixing.mix(docs.repartition(7)).collect()
+    assert {r["doc_id"]: r["taken"] for r in first} == {r["doc_id"]: r["taken"] for r in other}
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark).withColumn("Taken", F.lit("mine")).withColumn("_rank", F.lit("mine"))
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(ROWS) and "_rank" not in rows[0].asDict()
+    check(rows, {r[0]: r[1] for r in ROWS if r[0] is not None})
+    assert mixing.mix(docs.limit(0)).collect() == []
+    assert {r["taken"] for r in mixing.mix(docs.where("doc_id IN (3, 4, 5)")).collect()} == {0}
+
+
+def test_longer_documents_are_taken_more_often(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a b").otherwise(F.repeat(F.lit("w "), 64)).alias("text"),
+        F.when(F.col("id") < 2000, "s").otherwise("t").alias("source"))
+    rows = mixing.mix(docs).where("source = 's'").groupBy("size").agg(F.avg("copies").alias("c")).collect()
+    mean = {r["size"]: r["c"] for r in rows}
+    # Expected copies go with the bits of the size: 2 for two words, 7 for 64.
+    assert abs(mean[64] / mean[2] - 3.5) < 0.5
