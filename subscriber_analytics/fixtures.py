@@ -47,7 +47,7 @@ SELECT o_orderkey AS id, CAST(o_custkey AS STRING) AS customer_id,
 FROM orders
 """
 
-# Score log: none for one customer in ten, two model versions.
+# Score log: a score for each order, two model versions.
 ORDER_SCORES = """
 SELECT o_orderkey AS id, CAST(o_custkey AS STRING) AS customer_id,
   CAST(((o_orderkey * 7919) % 10001) / 10000.0 AS DECIMAL(5,4)) AS churn_score,
@@ -55,7 +55,7 @@ SELECT o_orderkey AS id, CAST(o_custkey AS STRING) AS customer_id,
   CAST(0.5 AS DECIMAL(4,3)) AS seuil_applique, 'churn_model' AS model_name,
   CAST(1 + o_orderkey % 2 AS STRING) AS model_version,
   o_orderdate AS event_ts, o_orderdate + INTERVAL '10' SECOND AS predicted_ts
-FROM orders WHERE o_custkey % 10 <> 0
+FROM orders
 """
 
 # Event rows that break storage rules: untyped, from orders.

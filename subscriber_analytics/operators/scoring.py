@@ -6,6 +6,8 @@ probability of termination, as a double.
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -16,14 +18,14 @@ from pyspark.sql import functions as F
 
 from subscriber_analytics.functions.columns import decision, risk_tier
 from subscriber_analytics.operators.constraints import (
-    accepted, enforce_constraints, validate_profiles,
+    REASON, enforce_constraints, validate_profiles,
 )
 from subscriber_analytics.operators.features import add_features, model_inputs, read_leniently
 from subscriber_analytics.schemas import SCORE_LOG_RULES
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-MAX_COEFFICIENTS = 10_000
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -42,10 +44,7 @@ class LogitScorer:
     def from_table(cls, coefficients: DataFrame) -> LogitScorer:
         """Read a coefficients table ``(feature, level, weight)``. ``level`` is NULL for a numeric
         feature, and the feature ``intercept`` is the constant."""
-        rows = coefficients.select("feature", "level", "weight").limit(MAX_COEFFICIENTS + 1)
-        rows = rows.collect()
-        if len(rows) > MAX_COEFFICIENTS:
-            raise ValueError(f"more than {MAX_COEFFICIENTS} coefficients")
+        rows = coefficients.select("feature", "level", "weight").collect()
         intercept, numeric, categorical = 0.0, {}, {}
         for feature, level, weight in rows:
             if level is not None:
@@ -61,10 +60,9 @@ class LogitScorer:
         for name, weight in self.numeric.items():
             z = z + F.lit(float(weight)) * F.coalesce(F.col(name).cast("double"), F.lit(0.0))
         for name, weights in self.categorical.items():
-            term = F.lit(0.0)
-            for level, weight in weights.items():
-                term = F.when(F.col(name) == level, float(weight)).otherwise(term)
-            z = z + term
+            # One literal map, folded when the query is planned: its size adds nothing to the plan's depth.
+            table = F.from_json(F.lit(json.dumps({k: float(w) for k, w in weights.items()})), "map<string,double>")
+            z = z + F.coalesce(F.try_element_at(table, F.col(name).cast("string")), F.lit(0.0))
         return 1.0 / (1.0 + F.exp(-z))
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -93,10 +91,18 @@ def load_scorer(primary: str, fallback: str) -> PipelineScorer:
             return PipelineScorer(PipelineModel.load(fallback))
         except Exception:
             raise RuntimeError(f"no model at {primary} and none at {fallback}") from failure
-    model.write().overwrite().save(fallback)
+    _refresh(lambda: model.write().overwrite().save(fallback), fallback)
     return PipelineScorer(model)
 
 
+def _refresh(save: Callable[[], None], fallback: str) -> None:
+    """A copy that cannot be written is no reason to go without the model that was read."""
+    try:
+        save()
+    except Exception:
+        log.warning("the copy at %s was not refreshed", fallback, exc_info=True)
+
+
 def load_coefficients(spark: SparkSession, primary: str, fallback: str) -> LogitScorer:
     """The same for a Parquet coefficients table."""
     try:
@@ -107,7 +113,7 @@ def load_coefficients(spark: SparkSession, primary: str, fallback: str) -> Logit
             return LogitScorer.from_table(spark.read.parquet(fallback))
         except Exception:
             raise RuntimeError(f"no model at {primary} and none at {fallback}") from failure
-    table.write.mode("overwrite").parquet(fallback)
+    _refresh(lambda: table.write.mode("overwrite").parquet(fallback), fallback)
     return scorer
 
 
@@ -131,19 +137,26 @@ def to_score_log(scored: DataFrame, threshold: float = 0.5, model_name: str = "c
 
 def score_profiles(profiles: DataFrame, scorer: Scorer, threshold: float = 0.5,
                    keep: tuple[str, ...] = (), tier_from_stored: bool = True) -> DataFrame:
-    """Score profiles that are not saved, each row on its own. Invalid ones are left out: take them
-    from ``validate_profiles``.
+    """Score profiles that are not saved, each row on its own. An invalid one has no score, no
+    decision and no tier, but its ``reject_reason``.
 
     The tier follows the four-decimal score that is shown, as it does in the log, or with
     ``tier_from_stored=False`` the unrounded one. ``keep`` names columns to carry along.
     """
-    valid = accepted(validate_profiles(profiles))
-    scored = scorer(model_inputs(add_features(read_leniently(valid)), keep))
+    checked = validate_profiles(profiles)
+    # A scorer never sees what made a row invalid: its numbers become 0.
+    numbers = [name for name, kind in checked.dtypes if kind in ("int", "bigint", "float", "double") and name not in keep]
+    good = F.col(REASON).isNull()
+    checked = checked.withColumns({
+        name: F.when(good, F.col(name)).otherwise(F.lit(0)).cast(kind) for name, kind in checked.dtypes if name in numbers})
+    scored = scorer(model_inputs(add_features(read_leniently(checked)), (*keep, REASON)))
+    scored = scored.withColumn("churn_score", F.when(good & ~F.isnan("churn_score"), F.col("churn_score")))
     shown = F.round("churn_score", 4)
     return scored.select(
         *keep,
         shown.alias("churn_score"),
         (F.col("churn_score") >= threshold).alias("churn_predicted"),
-        risk_tier(shown if tier_from_stored else "churn_score").alias("niveau_risque"),
+        F.when(shown.isNotNull(), risk_tier(shown if tier_from_stored else "churn_score")).alias("niveau_risque"),
         F.lit(float(threshold)).alias("seuil_applique"),
+        REASON,
     )

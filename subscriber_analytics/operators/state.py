@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from subscriber_analytics.functions.columns import as_of_timestamp, lifetime_days, risk_tier
 
@@ -20,8 +21,11 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
 
 
 def arrival_order(df: DataFrame, ts: str) -> list[str]:
-    """``ts``, then what breaks its ties: the source position or the row id, if the frame has it."""
-    return [ts] + [name for name in ("arrival", "id") if name in df.columns]
+    """The source position where the frame has it, as files of a source may be read in any batches;
+    else ``ts``, then the row id if there is one."""
+    if "arrival" in df.columns:
+        return ["arrival", ts]
+    return [ts] + [name for name in ("id",) if name in df.columns]
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,12 +39,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def latest_state(events: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """The last event of each customer, by ingestion time unless ``order`` says otherwise."""
+    """The last event of each customer, by source position or ingestion time unless ``order`` says otherwise."""
     return latest_by(events, ["customer_id"], order or arrival_order(events, "ingested_ts"))
 
 
 def latest_score(scores: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """The last score of each customer, by prediction time, with its risk tier."""
+    """The last score of each customer, by source position or prediction time, with its risk tier."""
     last = latest_by(scores, ["customer_id"], order or arrival_order(scores, "predicted_ts"))
     return last.select(
         "customer_id", "churn_score", "churn_predicted", "seuil_applique", "model_version",
@@ -90,44 +94,38 @@ def customer_360(events: DataFrame, scores: DataFrame, as_of=None) -> DataFrame:
     return join_360(latest_state(events), latest_score(scores), as_of)
 
 
-def clamp(n: int, cap: int) -> int:
-    """Row limit of a request: at most ``cap``; a negative limit is an error."""
-    if n < 0:
-        raise ValueError(f"limit must not be negative: {n}")
-    return min(n, cap)
+def checked_limit(n: int, cap: int) -> int:
+    """Row limit of a request; one that is negative or above the cap is an error, not a shorter answer."""
+    if not 0 <= n <= cap:
+        raise ValueError(f"limit must be between 0 and {cap}: {n}")
+    return n
 
 
-def newest_days(events: DataFrame, n: int, as_of=None, days: int = 1,
-                day_column: str = "ingest_date") -> DataFrame:
-    """The days that hold the newest ``n`` events: the last ``days`` before ``as_of`` and all later
-    ones if they hold as many, else the whole log.
+def within_days(events: DataFrame, days: int, as_of=None, day_column: str = "ingest_date") -> DataFrame:
+    """The events of the last ``days`` days before ``as_of`` and later ones.
 
-    ``day_column`` is a partition column with the date of ``ingested_ts``, so every event of an
-    earlier day is older. One small job decides; it stops after ``n`` rows.
+    ``day_column`` is a partition column with the date of ``ingested_ts``, so that older days are not read.
     """
-    recent = events.filter(
-        F.col(day_column) >= F.date_sub(as_of_timestamp(as_of).cast("date"), days)
-    )
-    return recent if recent.limit(n).count() == n else events
+    return events.filter(F.col(day_column) >= F.date_sub(as_of_timestamp(as_of).cast("date"), days))
 
 
-def live_feed(events: DataFrame, scores: DataFrame, n: int = 20) -> DataFrame:
-    """The newest ``n`` events (at most 50), newest first, each with its customer's last score.
+def live_feed(events: DataFrame, scores: DataFrame, n: int = 20, cap: int = MAX_FEED_ROWS) -> DataFrame:
+    """The newest ``n`` events, newest first, each with its customer's last score.
 
-    The events are cut first. Their customers, at most 50 rows, are broadcast to filter the score
-    log before its latest rows are found, so neither log is shuffled. On a long log pass
-    ``newest_days(events, n)`` for ``events``.
+    The events are cut to at most ``cap`` rows in one scan and fetched: both joins start from these
+    rows, and only their customers' scores are looked at, so neither log is shuffled. For a feed of
+    recent days pass ``within_days(events, days)``.
     """
-    order = [F.desc(name) for name in arrival_order(events, "ingested_ts")]
-    feed = events.orderBy(*order).limit(clamp(n, MAX_FEED_ROWS))
-    feed = feed.select(
-        "customer_id", "event_type", "event_ts", F.struct(
-            *arrival_order(events, "ingested_ts")).alias("_newest")
-    )
+    order = arrival_order(events, "ingested_ts")
+    newest = events.select("customer_id", "event_type", "event_ts", *order).orderBy(
+        *[F.desc(name) for name in order]).limit(checked_limit(n, cap)).drop(*order)
+    feed = events.sparkSession.createDataFrame(
+        [(place, *row) for place, row in enumerate(newest.collect())],
+        StructType([StructField("_place", LongType()), *newest.schema]))
     customers = F.broadcast(feed.select("customer_id"))
     shown = latest_score(scores.join(customers, "customer_id", "left_semi"))
     return (
         feed.join(shown.select("customer_id", "churn_score"), "customer_id", "left")
-        .orderBy(F.desc("_newest"))
+        .orderBy("_place")
         .select("customer_id", "event_type", "event_ts", "churn_score")
     )

@@ -220,7 +220,7 @@ ORACLES: dict[str, str] = {
     "score_lookup": f"""{_LOGS} SELECT customer_id, CAST(churn_score AS DOUBLE) AS churn_score,
         churn_predicted, model_version, predicted_ts FROM score WHERE customer_id = '7'""",
     "live_feed": _FEED,
-    "live_feed_recent": _FEED,
+    "live_feed_recent": _FEED.replace("FROM ev ORDER", f"FROM ev WHERE CAST(ingested_ts AS DATE) >= CAST({_AS_OF} AS DATE) - 30 ORDER"),
     "view_query": f"""{_LOGS} SELECT niveau_risque, contract, count(*) AS n,
         max(duree_reelle_jours) AS plus_longue FROM full_view WHERE tenure >= 12
         GROUP BY niveau_risque, contract""",
@@ -275,9 +275,10 @@ ORACLES: dict[str, str] = {
           - 0.1 * (CASE WHEN OnlineSecurity = 'Yes' THEN 1 ELSE 0 END) + 0.2 * SeniorCitizen
           + CASE Contract WHEN 'Month-to-month' THEN 0.6 WHEN 'Two year' THEN -0.8 ELSE 0 END)))
           AS p FROM filled WHERE reject_reason IS NULL)
-        SELECT c_custkey, round(p, 4) AS churn_score, p >= 0.5 AS churn_predicted,
-        CASE WHEN round(p, 4) >= 0.7 THEN 'ELEVE' WHEN round(p, 4) >= 0.5 THEN 'MOYEN'
-          ELSE 'FAIBLE' END AS niveau_risque, CAST(0.5 AS DOUBLE) AS seuil_applique FROM s""",
+        SELECT filled.c_custkey, round(p, 4) AS churn_score, p >= 0.5 AS churn_predicted,
+        CASE WHEN p IS NULL THEN NULL WHEN round(p, 4) >= 0.7 THEN 'ELEVE' WHEN round(p, 4) >= 0.5 THEN 'MOYEN'
+          ELSE 'FAIBLE' END AS niveau_risque, CAST(0.5 AS DOUBLE) AS seuil_applique, reject_reason
+        FROM filled LEFT JOIN s ON filled.c_custkey = s.c_custkey""",
     "lifecycle_dates": f"""{_PROFILES} SELECT customer_id, tenure, total_charges, churn, signup_date,
         churn_date FROM dated""",
     "lifecycle_events": f"""{_PROFILES} SELECT {', '.join(PROFILE_COLUMNS)}, signup_date, churn_date,
@@ -318,9 +319,9 @@ ORACLES: dict[str, str] = {
     "batch_dedupe": """SELECT CAST(ts AS DATE) AS batch_day, user_id, event_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY event_id) = 1""",
     "batch_metrics": """WITH s AS (SELECT CAST(ts AS DATE) AS batch_day,
-          round(1 / (1 + exp(-(-1.0 + 0.01 * value))), 4) AS score FROM events)
+          1 / (1 + exp(-(-1.0 + 0.01 * value))) AS p, round(p, 4) AS score FROM events)
         SELECT batch_day, count(*) AS nb_scores,
-        sum(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END)::BIGINT AS nb_a_risque,
+        sum(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END)::BIGINT AS nb_a_risque,
         """ + _mean("score", 3) + " AS score_moyen FROM s GROUP BY 1",
 }
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscriber_analytics import fixtures as fx
+from subscriber_analytics.functions.columns import decision
 from subscriber_analytics.operators import constraints, features, lifecycle, metrics, parsing, scoring
 from subscriber_analytics.operators import state as st
 from subscriber_analytics.plans import reports, views
@@ -19,7 +20,10 @@ from subscriber_analytics.streaming.job import JobConfig, start_job
 Query = Callable[[SparkSession, str], DataFrame]
 
 KPI_HOURS = 30 * 24
+# Bounds a micro-batch of the queries whose result does not depend on batches; it drops nothing.
 FILES_PER_BATCH = 10_000
+# Tasks that raw messages are dealt to before they are parsed.
+SPREAD = 16
 STATE_COLUMNS = ("id",) + tuple(rule.name for rule in EVENT_LOG_RULES)
 RULED_RAW_COLUMNS = (
     "customer_id", "gender", "senior_citizen", "partner", "tenure", "monthly_charges", "signup_date",
@@ -80,7 +84,7 @@ def _live_feed_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.order_events(spark, sf_dir)
     events = events.withColumn("ingest_date", F.col("ingested_ts").cast("date"))
     return st.live_feed(
-        st.newest_days(events, 50, fx.AS_OF, days=30), fx.order_scores(spark, sf_dir), 50
+        st.within_days(events, 30, fx.AS_OF), fx.order_scores(spark, sf_dir), 50
     )
 
 
@@ -133,36 +137,32 @@ def _batch_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = scoring.LogitScorer(-1.0, {"value": 0.01})
-    stored = F.round("churn_score", 4).cast("decimal(5,4)")
-    scored = scorer(_batches(spark, sf_dir)).withColumn("churn_score", stored)
+    scored = scorer(_batches(spark, sf_dir)).withColumns({
+        "churn_predicted": decision("churn_score", 0.5),
+        "churn_score": F.round("churn_score", 4).cast("decimal(5,4)"),
+    })
     return metrics.batch_metrics(scored, ["batch_day"])
 
 
-def _spread(spark: SparkSession, sf_dir: str) -> int | None:
-    """The number of cores if the events table has fewer splits than that (no job is run)."""
-    cores = spark.sparkContext.defaultParallelism
-    return cores if fx.table(spark, sf_dir, "events").rdd.getNumPartitions() < cores else None
-
-
-def _run_job(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
+def _run_job(spark: SparkSession, sf_dir: str, max_files: int | None = None, scorer=fx.SCORER) -> str:
     """Run the job over the events table and return the folder of its logs.
 
     Scores depend on where a micro-batch ends: without ``max_files`` the table is one batch.
     """
     folder = work_dir(spark, "job")
     config = JobConfig(
-        root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=_spread(spark, sf_dir)
+        root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=SPREAD
     )
     messages = fx.message_stream(spark, sf_dir, max_files)
-    query = start_job(messages, fx.SCORER, config, available_now=True)
+    query = start_job(messages, scorer, config, available_now=True)
     query.awaitTermination()
     return config.root
 
 
 def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "parsed")
-    stream, spread = fx.message_stream(spark, sf_dir, FILES_PER_BATCH), _spread(spark, sf_dir)
-    parsed = parsing.parse_events(stream if spread is None else stream.repartition(spread))
+    stream = fx.message_stream(spark, sf_dir, FILES_PER_BATCH)
+    parsed = parsing.parse_events(stream.repartition(SPREAD))
     parsed = parsed.withColumn("event_id", F.col("arrival.offset")).drop("arrival", "raw_value")
     query = (
         parsed.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
@@ -173,13 +173,13 @@ def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.read_log(spark, _run_job(spark, sf_dir, FILES_PER_BATCH), logs.EVENTS)
+    rows = logs.read_log(spark, _run_job(spark, sf_dir, FILES_PER_BATCH, None), logs.EVENTS)
     kept = [rule.name for rule in EVENT_LOG_RULES if rule.name != "ingested_ts"]
     return rows.select(F.col("arrival.offset").alias("event_id"), *kept)
 
 
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.read_rejects(spark, _run_job(spark, sf_dir, FILES_PER_BATCH))
+    rows = logs.read_rejects(spark, _run_job(spark, sf_dir, FILES_PER_BATCH, None))
     return rows.select(F.col("arrival.offset").alias("event_id"), "customer_id", "reject_reason")
 
 

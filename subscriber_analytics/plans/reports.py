@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from subscriber_analytics.functions.columns import (
     HIGH_RISK, as_of_timestamp, churn_rate, count_yes, exact_mean, exact_median, is_yes,
 )
-from subscriber_analytics.operators.state import clamp, join_360, latest_score, latest_state
+from subscriber_analytics.operators.state import checked_limit, join_360, latest_score, latest_state
 from subscriber_analytics.schemas import SERVICE_COLUMNS
 
 MAX_RISK_ROWS = 500
@@ -48,10 +48,10 @@ def predicted_churners(view_360: DataFrame) -> DataFrame:
     )
 
 
-def customers_at_risk(view_360: DataFrame, n: int = 50) -> DataFrame:
-    """The ``n`` (at most 500) predicted churners with the highest scores; ties by customer."""
+def customers_at_risk(view_360: DataFrame, n: int = 50, cap: int = MAX_RISK_ROWS) -> DataFrame:
+    """The ``n`` predicted churners with the highest scores; ties by customer. More than ``cap`` is an error."""
     order = (F.desc("churn_score"), F.col("customer_id"))
-    return predicted_churners(view_360).orderBy(*order).limit(clamp(n, MAX_RISK_ROWS))
+    return predicted_churners(view_360).orderBy(*order).limit(checked_limit(n, cap))
 
 
 def _window_start(as_of, hours: int) -> Column:
@@ -82,7 +82,8 @@ def live_kpis_from_logs(events: DataFrame, scores: DataFrame, as_of=None, hours:
     """``live_kpis`` that reads only the window of the score log.
 
     A customer's last score lies in the window if any score does, and is then the last one in it. So
-    the window can be cut from the log before the latest scores are found. ``day_column`` names a
+    the window can be cut from the log before the latest scores are found, and the events to the
+    customers of the window before their latest state is. ``day_column`` names a
     partition column with the date of ``predicted_ts`` (``ingest_date`` in our log); older
     partitions are then not even listed.
     """
@@ -90,7 +91,9 @@ def live_kpis_from_logs(events: DataFrame, scores: DataFrame, as_of=None, hours:
     recent = scores.filter(F.col("predicted_ts") >= start)
     if day_column is not None:
         recent = recent.filter(F.col(day_column) >= start.cast("date"))
-    return live_kpis(join_360(latest_state(events), latest_score(recent), as_of), as_of, hours)
+    last = latest_score(recent)
+    concerned = events.join(last.select("customer_id"), "customer_id", "left_semi")
+    return live_kpis(join_360(latest_state(concerned), last, as_of), as_of, hours)
 
 
 def rate_by(state: DataFrame, column: str = "contract") -> DataFrame:

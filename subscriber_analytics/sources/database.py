@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from subscriber_analytics.schemas import EVENT_LOG_RULES, SCORE_LOG_RULES
 
 
 def read_table(spark: SparkSession, url: str, table: str, id_bounds: tuple[int, int] | None = None,
@@ -21,13 +22,19 @@ def read_table(spark: SparkSession, url: str, table: str, id_bounds: tuple[int,
     return reader.load()
 
 
+def stored_columns(rows: DataFrame) -> DataFrame:
+    """The columns that a log table has, in the order of its rules."""
+    rules = SCORE_LOG_RULES if "churn_score" in rows.columns else EVENT_LOG_RULES
+    return rows.select(*[rule.name for rule in rules if rule.name in rows.columns])
+
+
 def append_to_table(rows: DataFrame, url: str, table: str, **options: str) -> None:
     """Append log rows to a table, as an export of a log.
 
-    ``arrival`` and the reason stay out. A failed and repeated export can append rows twice; the
+    Only the stored columns of a log are written: what reading adds (batch, day, source position, reason)
+    stays out. A failed and repeated export can append rows twice; the
     Parquet logs cannot.
     """
-    columns = [name for name in rows.columns if name not in ("arrival", "reject_reason")]
-    rows.select(*[F.col(name) for name in columns]).write.format("jdbc").options(
+    stored_columns(rows).write.format("jdbc").options(
         url=url, dbtable=table, **options
     ).mode("append").save()

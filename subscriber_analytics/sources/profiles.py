@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,20 @@ from pyspark.sql import functions as F
 def read_profiles(spark: SparkSession, path: str, **options) -> DataFrame:
     """CSV with a header, UTF-8, every column as text.
 
-    Columns are found by header name, in any order. Only the first line is read to learn them, types
-    are not inferred. Quotes inside quoted fields are doubled. Fields with line breaks need
+    Columns are found by header name, in any order: the header of each file is read, files with the
+    same one are read together, and a column that a file lacks is NULL there. Types are not inferred. Quotes inside quoted fields are doubled. Fields with line breaks need
     ``multiLine=True``, which makes a file one task.
     """
-    return spark.read.options(
+    reader = spark.read.options(
         **{"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', **options}
-    ).csv(path)
+    )
+    together: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.format("binaryFile").load(path).inputFiles()):
+        together.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    if len(together) < 2:
+        return reader.csv(path)
+    parts = [reader.csv(files) for files in together.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def first_profiles(df: DataFrame, n: int | None, order: Sequence[str] = ()) -> DataFrame:

@@ -57,13 +57,13 @@ def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFr
     return to_score_log(scored, config.threshold, config.model_name, config.model_version)
 
 
-def batch_processor(scorer: Scorer, config: JobConfig,
+def batch_processor(scorer: Scorer | None, config: JobConfig,
                     on_metrics: Callable[[int, dict], None] | None = None,
                     ) -> Callable[[DataFrame, int], None]:
     """The function for ``foreachBatch`` on a stream of event log rows.
 
     An error leaves it, so that the batch is delivered again; what the first attempt wrote is then
-    replaced. ``on_metrics`` gets the counts of each batch.
+    replaced. ``on_metrics`` gets the counts of each scored batch. Without a scorer events are stored only.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -77,12 +77,12 @@ def batch_processor(scorer: Scorer, config: JobConfig,
                           F.count_if(F.col(REASON).isNotNull()).alias("nb_rejets")),
             config.root, EVENTS, query_id, batch_id,
         )
-        if received.get["nb_evenements"] == 0:
+        if scorer is None or received.get["nb_evenements"] == 0:
             return
         events = read_batch(spark, config.root, EVENTS, query_id, batch_id)
         scored = Observation(f"scores_{batch_id}")
         write_batch(
-            score_events(events, scorer, config).observe(scored, *metric_columns(config.threshold)),
+            score_events(events, scorer, config).observe(scored, *metric_columns(F.col(REASON).isNull())),
             config.root, SCORES, query_id, batch_id,
         )
         if on_metrics is not None:
@@ -91,7 +91,7 @@ def batch_processor(scorer: Scorer, config: JobConfig,
     return process
 
 
-def start_job(messages: DataFrame, scorer: Scorer, config: JobConfig, available_now: bool = False,
+def start_job(messages: DataFrame, scorer: Scorer | None, config: JobConfig, available_now: bool = False,
               on_metrics: Callable[[int, dict], None] | None = None) -> StreamingQuery:
     """Start the job on a stream of envelopes. With ``available_now`` it processes what is there
     and stops."""

@@ -2,16 +2,19 @@
 
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
+from subscriber_analytics.schemas import EVENT_LOG_RULES, SCORE_LOG_RULES
 from subscriber_analytics.sources.database import append_to_table, read_table
+from subscriber_analytics.streaming import logs
 
 
 def test_export_leaves_source_position_out(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(
         DataFrameWriter, "save", lambda self: seen.update(columns=self._df.columns))
-    df = spark.sql("SELECT 'a' AS customer_id, 1 AS arrival, NULL AS reject_reason")
-    append_to_table(df, "jdbc:postgresql://host/db", "churn_data", user="u")
-    assert seen["columns"] == ["customer_id"]
+    for log, rules in ((logs.EVENTS, EVENT_LOG_RULES), (logs.SCORES, SCORE_LOG_RULES)):
+        df = logs.read_log(spark, "/tmp/no-such-log", log)
+        append_to_table(df, "jdbc:postgresql://host/db", "churn_data", user="u")
+        assert seen["columns"] == [rule.name for rule in rules]
 
 
 def test_parallel_read(spark, monkeypatch):

@@ -113,6 +113,14 @@ def test_nan_to_null(spark):
     assert values(con.nan_columns_to_null(df), "x", "t") == [(None, "nan"), (1.0, "x")]
 
 
+def test_profile_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("customerID,tenure\na,1\n")
+    (tmp_path / "b.csv").write_text("tenure,customerID,Churn\n2,b,Yes\n")
+    (tmp_path / "c.csv").write_text("customerID,tenure\nc,3\n")
+    raw = read_profiles(spark, str(tmp_path))
+    assert sorted(values(raw, "customerID", "tenure", "Churn")) == [("a", "1", None), ("b", "2", "Yes"), ("c", "3", None)]
+
+
 def test_profiles_from_csv(spark, tmp_path):
     (tmp_path / "p.csv").write_text(
         'tenure,customerID,Extra,PaymentMethod,MonthlyCharges,TotalCharges,Churn,SeniorCitizen\n'

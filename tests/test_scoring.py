@@ -116,6 +116,22 @@ def test_profile_scores_and_tiers(spark):
         assert "customerID" not in inputs.columns
         return inputs.withColumn("churn_score", F.lit(0.69996))
     got = values(scoring.score_profiles(df, scorer, keep=("n",)), "*")
-    assert got == [(1, 0.7, True, "ELEVE", 0.5), (2, 0.7, True, "ELEVE", 0.5)]
+    assert got == [(1, 0.7, True, "ELEVE", 0.5, None), (2, 0.7, True, "ELEVE", 0.5, None),
+                   (3, None, None, None, 0.5, "tenure: out of range")]
     exact = scoring.score_profiles(df, scorer, threshold=0.8, keep=("n",), tier_from_stored=False)
-    assert values(exact, "*")[0] == (1, 0.7, False, "MOYEN", 0.8)
+    assert values(exact, "*")[0] == (1, 0.7, False, "MOYEN", 0.8, None)
+
+
+def test_many_levels_are_one_lookup(spark):
+    scorer = scoring.LogitScorer(0.0, {}, {"c": {f"v{k}": k / 20_000 for k in range(20_000)}})
+    df = spark.createDataFrame([("v19999",), ("other",), (None,)], "c string")
+    got = [r["churn_score"] for r in scorer(df).collect()]
+    assert [round(x, 6) for x in got] == [round(1 / (1 + 2.718281828459045 ** -0.99995), 6), 0.5, 0.5]
+
+
+def test_a_copy_that_cannot_be_written_does_not_stop_loading(spark, tmp_path):
+    path = str(tmp_path / "model")
+    spark.createDataFrame([("intercept", None, 1.0)], "feature string, level string, weight double").write.parquet(path)
+    (tmp_path / "blocked").write_text("a file")
+    scorer = scoring.load_coefficients(spark, path, str(tmp_path / "blocked" / "copy"))
+    assert scorer.intercept == 1.0
