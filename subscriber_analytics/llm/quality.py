@@ -172,7 +172,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     the limits; a group of fewer than LEAST_GROUP of them has none, and its documents pass. Null
     languages or sources form groups of their own. Repeated rows are judged each.
     """
-    own = [*FIELDS.names, *FEATURES, "group", "base_failed", "distance", "kept"]
+    own = [*FIELDS.names, *FEATURES, *_MODEL.names, "base_failed", "distance", "kept"]
     counted = statistics(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in own]), text).drop(text)
     group = F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))
     rows = stored(_features(counted.withColumn("base_failed", base_failed()).withColumn("group", group)), "statistics")
