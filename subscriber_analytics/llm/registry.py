@@ -97,8 +97,3 @@ def queries() -> dict[str, Query]:
         "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL of the queries that SQL can express on whole tables."""
-    return {}
