@@ -2,16 +2,16 @@
 
     <root>/events/landing/query_id=<id>/batch_id=<n>/accepted=<true|false>/part-*.parquet
     <root>/scores/landing/query_id=<id>/batch_id=<n>/accepted=<true|false>/part-*.parquet
-    <root>/<log>/compacted/query_id=<id>/first=<n>/last=<n>/accepted=.../ingest_date=.../...
 
 A batch is one folder, written by overwrite: a batch that is delivered twice replaces itself. The
 query id, kept in the checkpoint, is part of the path because a job with a new checkpoint counts its
-batches from 0 again. Small batch folders are merged into day partitions by ``compact``.
+batches from 0 again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscriber_analytics.operators.constraints import REASON
@@ -43,154 +43,27 @@ def read_batch(spark: SparkSession, root: str, log: str, query_id: str, batch_id
     return rows.filter("accepted").drop("accepted", REASON, "raw_value")
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob pattern; folder names only, no data is read."""
-    files, where = _hadoop(spark, pattern)
-    return sorted(str(status.getPath().toString()) for status in files.globStatus(where) or [])
-
-
-def _value(path: str, key: str) -> str:
-    return path.split(f"/{key}=", 1)[1].split("/", 1)[0]
-
-
-def _batches(spark: SparkSession, root: str, log: str) -> dict[str, list[int]]:
-    """Finished landing batches per query."""
-    found: dict[str, list[int]] = {}
-    for path in _folders(spark, f"{root}/{log}/landing/query_id=*/batch_id=*/_SUCCESS"):
-        found.setdefault(_value(path, "query_id"), []).append(int(_value(path, "batch_id")))
-    return found
-
-
-def _compacted(spark: SparkSession, root: str, log: str) -> dict[str, list[tuple[int, int, str]]]:
-    """Finished compactions per query as ``(first, last, path)``."""
-    found: dict[str, list[tuple[int, int, str]]] = {}
-    for mark in _folders(spark, f"{root}/{log}/compacted/query_id=*/first=*/last=*/_SUCCESS"):
-        path = mark.rsplit("/", 1)[0]
-        span = (int(_value(path, "first")), int(_value(path, "last")), path)
-        found.setdefault(_value(path, "query_id"), []).append(span)
-    return found
-
-
-def closed_batches(spark: SparkSession, root: str, log: str) -> dict[str, int]:
-    """The last batch of each query that can no longer change: the start of the next batch proves
-    that the checkpoint holds it."""
-    closed = {q: max(s[1] for s in spans) for q, spans in _compacted(spark, root, log).items()}
-    for query, batches in _batches(spark, root, log).items():
-        closed[query] = max(closed.get(query, -1), max(batches) - 1)
-    return {query: batch for query, batch in closed.items() if batch >= 0}
-
-
-def _beyond(bound: dict[str, int] | None, query: str, batch: int) -> bool:
-    return bound is None or batch > bound.get(query, -1)
-
+def _read_all(spark: SparkSession, root: str, log: str) -> DataFrame:
+    """All batches of a log; the folder names give query, batch and acceptance."""
+    schema = f"{_SCHEMAS[log]}, query_id string, batch_id bigint, accepted boolean"
+    try:
+        rows = spark.read.schema(schema).parquet(f"{root}/{log}/landing")
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+    return rows.withColumn("ingest_date", F.col(DAY_OF[log]).cast("date"))
 
-def _within(bound: dict[str, int]) -> Column:
-    """Condition on a row: its batch is not after the bound of its query."""
-    inside = F.lit(False)
-    for query, batch in bound.items():
-        inside = inside | ((F.col("query_id") == query) & (F.col("batch_id") <= batch))
-    return inside
 
+def read_log(spark: SparkSession, root: str, log: str) -> DataFrame:
+    """All good rows of a log.
 
-def _read_all(spark: SparkSession, root: str, log: str, after: dict[str, int] | None = None,
-              upto: dict[str, int] | None = None) -> DataFrame:
-    done = _compacted(spark, root, log)
-    merged_to = {query: max(span[1] for span in spans) for query, spans in done.items()}
-    spans = [
-        span[2] for query, spans in done.items() for span in spans
-        if _beyond(after, query, span[1]) and (upto is None or not _beyond(upto, query, span[0]))
-    ]
-    open_batches = [
-        batch_path(root, log, query, batch)
-        for query, batches in _batches(spark, root, log).items() for batch in batches
-        if batch > merged_to.get(query, -1) and _beyond(after, query, batch)
-        and (upto is None or not _beyond(upto, query, batch))
-    ]
-    schema = f"{_SCHEMAS[log]}, query_id string, batch_id bigint, accepted boolean"
-    day = F.col(DAY_OF[log]).cast("date")
-    parts = []
-    if spans:
-        merged = spark.read.schema(f"{schema}, ingest_date date").option(
-            "basePath", f"{root}/{log}/compacted").parquet(*spans)
-        parts.append(merged.drop("first", "last"))
-    if open_batches:
-        landed = spark.read.schema(schema).option(
-            "basePath", f"{root}/{log}/landing").parquet(*open_batches)
-        parts.append(landed.withColumn("ingest_date", day))
-    if not parts:
-        parts.append(spark.createDataFrame([], schema).withColumn("ingest_date", day))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if after:
-        rows = rows.filter(~_within(after))
-    return rows if upto is None else rows.filter(_within(upto))
-
-
-def read_log(spark: SparkSession, root: str, log: str, after: dict[str, int] | None = None,
-             upto: dict[str, int] | None = None) -> DataFrame:
-    """All good rows of a log, merged days and open batches together.
-
-    Besides the log columns a row has ``query_id``, ``batch_id`` and ``ingest_date``. Filters on
-    ``ingest_date`` skip the merged days outside them. ``after`` and ``upto`` give a batch per query:
-    only folders with batches after the one and up to the other are read.
+    Besides the log columns a row has ``query_id``, ``batch_id`` and ``ingest_date``. Filters on the
+    first two skip folders, filters on the day reach the statistics of the files.
     """
-    rows = _read_all(spark, root, log, after, upto)
-    return rows.filter("accepted").drop("accepted", REASON, "raw_value")
+    return _read_all(spark, root, log).filter("accepted").drop("accepted", REASON, "raw_value")
 
 
 def read_rejects(spark: SparkSession, root: str, log: str = EVENTS) -> DataFrame:
     """All rejected rows of a log with their reason and, for events, the raw message."""
     return _read_all(spark, root, log).filter("NOT accepted").drop("accepted")
-
-
-def compact(spark: SparkSession, root: str, log: str) -> dict[str, tuple[int, int]]:
-    """Merge the landing batches of each query into day partitions and return the merged spans.
-
-    The newest batch of a query stays out, as it may be replayed. A compaction counts once its ``_SUCCESS``
-    mark exists; one that was cut short is written again from the start. Readers switch over by
-    listing, so merged batch folders may be removed later by ``purge``. Rows are split by ranges of
-    day, customer and arrival: lookups of a customer skip most files by their statistics, and neither
-    a day nor a customer with a large share of the rows ends up in one task.
-    """
-    done = _compacted(spark, root, log)
-    merged = {}
-    for query, batches in _batches(spark, root, log).items():
-        first = max((span[1] for span in done.get(query, [])), default=-1) + 1
-        closed = [batch for batch in batches if first <= batch < max(batches)]
-        if not closed:
-            continue
-        last = max(closed)
-        schema = f"{_SCHEMAS[log]}, query_id string, batch_id bigint, accepted boolean"
-        rows = (
-            spark.read.schema(schema).option("basePath", f"{root}/{log}/landing")
-            .parquet(*[batch_path(root, log, query, batch) for batch in closed])
-            .withColumn("ingest_date", F.col(DAY_OF[log]).cast("date"))
-            .drop("query_id")
-        )
-        (
-            rows.repartitionByRange("ingest_date", "customer_id", "arrival")
-            .sortWithinPartitions("accepted", "ingest_date", "customer_id", "arrival")
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("accepted", "ingest_date")
-            .parquet(f"{root}/{log}/compacted/query_id={query}/first={first}/last={last}")
-        )
-        merged[query] = (first, last)
-    return merged
-
-
-def purge(spark: SparkSession, root: str, log: str) -> int:
-    """Remove landing batches that a finished compaction covers. Run it when no reader that started
-    before the compaction is left."""
-    removed = 0
-    last = {q: max(s[1] for s in spans) for q, spans in _compacted(spark, root, log).items()}
-    for query, batches in _batches(spark, root, log).items():
-        for batch in batches:
-            if batch <= last.get(query, -1):
-                files, where = _hadoop(spark, batch_path(root, log, query, batch))
-                removed += bool(files.delete(where, True))
-    return removed

@@ -12,7 +12,6 @@ from subscriber_analytics.session import work_dir
 from subscriber_analytics.sources.events import read_event_files
 from subscriber_analytics.streaming import logs
 from subscriber_analytics.streaming.job import JobConfig, start_job
-from subscriber_analytics.streaming.snapshots import read_current, write_snapshot
 from tests.helpers import envelopes, event, values
 
 SCORER = LogitScorer(-1.0, {"tenure": 0.1})
@@ -117,58 +116,21 @@ def test_processing_time_trigger(spark, source, tmp_path):
     assert logs.read_log(spark, config.root, logs.EVENTS).count() == 2
 
 
-def _contents(spark, root, log):
-    rows = logs.read_log(spark, root, log)
-    return sorted(values(rows, "arrival.offset", "customer_id", "batch_id", "ingest_date"))
-
-
-def test_compaction(spark, source, place):
-    for i in range(4):
-        _send(spark, source, [(event(customer_id=f"c{i}"), "usages", 2 * i),
-                              ("broken", "usages", 2 * i + 1)])
-    _run(spark, source, place)
-    before = {log: _contents(spark, place.root, log) for log in (logs.EVENTS, logs.SCORES)}
-    for log, rows in before.items():
-        (span,) = logs.compact(spark, place.root, log).values()
-        assert span == (0, 2)  # the newest batch stays open
-        assert logs.compact(spark, place.root, log) == {}
-        assert _contents(spark, place.root, log) == rows
-        assert logs.purge(spark, place.root, log) == 3
-        assert _contents(spark, place.root, log) == rows
-    assert logs.read_rejects(spark, place.root).count() == 4
-
-    _send(spark, source, [(event(customer_id="new"), "usages", 100)])
-    _send(spark, source, [(event(customer_id="newer"), "usages", 101)])
-    _run(spark, source, place)
-    (span,) = logs.compact(spark, place.root, logs.EVENTS).values()
-    assert span == (3, 4)
-    assert len(_contents(spark, place.root, logs.EVENTS)) == 6
-
-
-def test_unfinished_compaction_is_ignored(spark, source, place):
-    import pathlib
-
-    for i in range(3):
-        _send(spark, source, [(event(customer_id=f"c{i}"), "usages", i)])
-    query = _run(spark, source, place)
-    before = _contents(spark, place.root, logs.EVENTS)
-    logs.compact(spark, place.root, logs.EVENTS)
-    folder = pathlib.Path(place.root) / f"events/compacted/query_id={query.id}/first=0/last=1"
-    (folder / "_SUCCESS").rename(folder / "_UNFINISHED")
-    assert _contents(spark, place.root, logs.EVENTS) == before
-    assert list(logs.compact(spark, place.root, logs.EVENTS).values()) == [(0, 1)]
-    assert _contents(spark, place.root, logs.EVENTS) == before
-
-
-def test_compacted_days_are_pruned(spark, source, place):
+def test_filters_on_days_and_batches_reach_the_scan(spark, source, place):
     for i in range(2):
         _send(spark, source, [(event(customer_id=f"c{i}"), "usages", i)])
     _run(spark, source, place)
-    logs.compact(spark, place.root, logs.EVENTS)
-    rows = logs.read_log(spark, place.root, logs.EVENTS).filter("ingest_date >= DATE '2020-01-01'")
+    rows = logs.read_log(spark, place.root, logs.EVENTS).filter(
+        "ingest_date >= DATE '2020-01-01' AND batch_id = 1")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*ingest_date[^\]]* >= 2020-01-01", plan)
-    assert "GreaterThanOrEqual(ingested_ts,2020-01-01" in plan  # the open batches
+    assert re.search(r"PartitionFilters: \[[^\]]*batch_id[^\]]* = 1", plan)
+    assert "GreaterThanOrEqual(ingested_ts,2020-01-01" in plan
+    assert values(rows, "customer_id") == [("c1",)]
+
+
+def test_a_log_without_batches_is_empty(spark, tmp_path):
+    assert logs.read_log(spark, str(tmp_path), logs.SCORES).count() == 0
+    assert logs.read_rejects(spark, str(tmp_path)).count() == 0
 
 
 def test_many_batches_equal_one_pass(spark, sf_dir, place, tmp_path):
@@ -197,48 +159,3 @@ def test_work_dir(spark):
     assert first != second
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or first.startswith(shared)
-
-
-@pytest.mark.parametrize("log", [logs.EVENTS, logs.SCORES])
-def test_snapshots_stand_in_for_the_log(spark, tmp_path, log):
-    """Nine days in nine batches, a third of the rows on one customer."""
-    root = str(tmp_path / "logs")
-    rows = spark.range(900).selectExpr(
-        "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 40) END AS customer_id",
-        "TIMESTAMP '2024-01-01 08:00:00' + make_dt_interval(CAST(id % 9 AS INT)) AS at")
-    rules = EVENT_LOG_RULES if log == logs.EVENTS else SCORE_LOG_RULES
-    known = {"customer_id": "customer_id", logs.DAY_OF[log]: "at", "event_ts": "at",
-             "churn_score": "id / 900"}
-    rows = rows.selectExpr(
-        *[f"CAST({known.get(r.name, 'NULL')} AS {r.spark_type}) AS {r.name}" for r in rules],
-        "named_struct('timestamp', at, 'topic', 't', 'partition', 0, 'offset', id) AS arrival",
-        "CAST(NULL AS STRING) AS reject_reason",
-        *(["CAST(NULL AS STRING) AS raw_value"] if log == logs.EVENTS else []), "id % 9 AS day")
-
-    def latest(df):
-        kept = latest_by(df, ["customer_id"], [logs.DAY_OF[log], "arrival"])
-        return sorted(values(kept, "customer_id", "arrival.offset", "batch_id"))
-
-    def send(days):
-        for day in days:
-            batch = rows.filter(F.col("day") == day).drop("day")
-            logs.write_batch(batch, root, log, "q", order.index(day))
-
-    # The last batches carry older days: a batch can be late.
-    order = [0, 3, 4, 5, 8, 6, 7, 1, 2]
-    first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    send(order[:4])
-    logs.compact(spark, root, log)
-    write_snapshot(spark, root, log, first)
-    send(order[4:6])
-    write_snapshot(spark, root, log, second, previous=first)
-    logs.compact(spark, root, log)
-    logs.purge(spark, root, log)
-    send(order[6:])
-    expected = latest(logs.read_log(spark, root, log))
-    assert len(expected) == 41 and logs.read_log(spark, root, log).count() == 900
-    for path, covered in ((first, 3), (second, 5)):
-        current = read_current(spark, root, log, path)
-        assert latest(current) == expected
-        assert current.filter(F.col("batch_id") >= covered).count() == 100 * (9 - covered)
-        assert current.count() < 900
