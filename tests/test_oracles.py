@@ -3,14 +3,16 @@
 import pytest
 
 import __spark_entry__ as contract
+from subscriber_analytics.plans import oracles, registry
 from tests.comparison import duckdb_rows, spark_rows
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
-def test_every_query_has_a_twin():
+def test_every_query_has_a_twin_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
