@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,9 +93,9 @@ def topic_of(event_type: ColumnLike = "event_type") -> Column:
     return F.try_element_at(F.create_map(*routes), column(event_type))
 
 
-def to_messages(events: DataFrame) -> DataFrame:
+def to_messages(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Events as ``(topic, key, value)``: the value is a JSON object with every event field, NULLs
-    included, timestamps to the microsecond with their offset."""
+    included, timestamps to the microsecond with their offset. ``keep`` names columns to carry along."""
     payload = F.to_json(
         F.struct(*EVENT_COLUMNS),
         {
@@ -103,7 +105,7 @@ def to_messages(events: DataFrame) -> DataFrame:
         },
     )
     return events.select(
-        topic_of().alias("topic"), F.col("customer_id").alias("key"), payload.alias("value")
+        topic_of().alias("topic"), F.col("customer_id").alias("key"), payload.alias("value"), *keep
     )
 
 

@@ -61,6 +61,9 @@ def _plain(columns: str) -> str:
     )
 
 
+_TOPIC = ("CASE event_type WHEN 'usage' THEN 'usages' WHEN 'paiement' THEN 'paiements' "
+          "ELSE 'abonnements' END")
+
 _KPIS = f"""
 SELECT count(*) AS nb_predictions_24h, count(DISTINCT customer_id) AS nb_clients_24h,
   {_mean('churn_score', 4)} AS score_moyen_24h,
@@ -284,12 +287,15 @@ ORACLES: dict[str, str] = {
     "lifecycle_events": f"""{_PROFILES} SELECT {', '.join(PROFILE_COLUMNS)}, signup_date, churn_date,
         event_type, event_ts, 'replay' AS source FROM emitted""",
     "event_routing": f"""WITH ev AS ({fx.ORDER_EVENTS})
-        SELECT CASE event_type WHEN 'usage' THEN 'usages' WHEN 'paiement' THEN 'paiements'
-          ELSE 'abonnements' END AS topic, customer_id AS key, event_type,
+        SELECT {_TOPIC} AS topic, customer_id AS key, event_type,
         strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_ts,
         CAST(signup_date AS VARCHAR) AS signup_date, churn, tenure,
         CAST(monthly_charges AS DOUBLE) AS monthly_charges, churn_date IS NULL AS null_churn_date,
         contract IS NULL AS null_contract FROM ev""",
+    "publish_roundtrip": f"""WITH ev AS ({fx.ORDER_EVENTS}), routed AS (SELECT *, {_TOPIC} AS topic FROM ev)
+        SELECT id, {_plain(', '.join(PROFILE_COLUMNS))}, signup_date, churn_date, event_type, event_ts, source
+        FROM routed QUALIFY row_number() OVER (
+          PARTITION BY customer_id ORDER BY event_ts DESC, topic DESC, id DESC) = 1""",
     "retention_window": f"""WITH ev AS ({fx.ORDER_EVENTS}) SELECT id, customer_id, ingested_ts FROM ev
         WHERE ingested_ts >= {_AS_OF} - INTERVAL '7' DAY""",
     "stream_parsed": f"""{_MESSAGES} SELECT event_id, {_JSON_COLUMNS},

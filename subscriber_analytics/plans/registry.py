@@ -14,6 +14,7 @@ from subscriber_analytics.operators import state as st
 from subscriber_analytics.plans import reports, views
 from subscriber_analytics.schemas import EVENT_LOG_RULES, PROFILE_COLUMNS, PROFILE_DEFAULTS
 from subscriber_analytics.session import apply_settings, work_dir
+from subscriber_analytics.sources.events import read_event_files, write_event_files
 from subscriber_analytics.streaming import logs
 from subscriber_analytics.streaming.job import JobConfig, start_job
 
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 KPI_HOURS = 30 * 24
 # Bounds a micro-batch of the queries whose result does not depend on batches; it drops nothing.
 FILES_PER_BATCH = 10_000
+PUBLISHED_FILES = 7
 # Tasks that raw messages are dealt to before they are parsed.
 SPREAD = 16
 STATE_COLUMNS = ("id",) + tuple(rule.name for rule in EVENT_LOG_RULES)
@@ -159,6 +161,22 @@ def _run_job(spark: SparkSession, sf_dir: str, max_files: int | None = None, sco
     return config.root
 
 
+def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published to several files, read back one file a batch, and the state they leave."""
+    folder = work_dir(spark, "published")
+    events = fx.order_events(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    # The identity and the time of an event travel beside its message.
+    sent = lifecycle.to_messages(events, keep=("id", "event_ts"))
+    envelope = lifecycle.to_envelope(sent, F.col("event_ts"), F.col("id"))
+    write_event_files(envelope, f"{folder}/files", partitions=PUBLISHED_FILES)
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint")
+    stream = read_event_files(spark, f"{folder}/files", max_files_per_trigger=1)
+    start_job(stream, None, config, available_now=True).awaitTermination()
+    kept = [rule.name for rule in EVENT_LOG_RULES if rule.name != "ingested_ts"]
+    state = st.latest_state(logs.read_log(spark, config.root, logs.EVENTS))
+    return state.select(F.col("arrival.offset").alias("id"), *kept)
+
+
 def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "parsed")
     stream = fx.message_stream(spark, sf_dir, FILES_PER_BATCH)
@@ -240,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "lifecycle_events": lambda s, d: _lifecycle_events(s, d).select(
         *PROFILE_COLUMNS, "signup_date", "churn_date", "event_type", "event_ts", "source"),
     "event_routing": _event_routing,
+    "publish_roundtrip": _publish_roundtrip,
     "retention_window": lambda s, d: lifecycle.retain(
         fx.order_events(s, d), fx.AS_OF, days=7, ts="ingested_ts"
     ).select("id", "customer_id", "ingested_ts"),
