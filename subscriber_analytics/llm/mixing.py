@@ -99,7 +99,7 @@ def _cuts(rows: DataFrame, rests: DataFrame) -> DataFrame:
             F.coalesce(F.col("at.below"), F.lit(0)).alias("_below")), "cuts")
     at_cut = rows.join(cuts, "_id").where("_rank = _cut").groupBy("_id").agg(F.sum("size").alias("words"))
     nearer = F.coalesce(F.col("_below") + F.col("words") - F.col("_rest") < F.col("_rest") - F.col("_below"), F.lit(False))
-    return cuts.join(at_cut, "_id", "left").select("_id", "_cut", nearer.alias("_last"))
+    return stored(cuts.join(at_cut, "_id", "left").select("_id", "_cut", nearer.alias("_last")), "cuts")
 
 
 def _placed(sized: DataFrame, targets: DataFrame, source: str) -> DataFrame:

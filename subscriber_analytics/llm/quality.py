@@ -177,7 +177,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     group = F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))
     rows = stored(_features(counted.withColumn("base_failed", base_failed()).withColumn("group", group)), "statistics")
     passed = rows.where("NOT base_failed").select("group", *FEATURES)
-    enough = passed.groupBy("group").count().where(F.col("count") >= LEAST_GROUP).select("group")
+    # Stored: the join with it is then planned by its size, and can be split where a group is hot.
+    enough = stored(passed.groupBy("group").count().where(F.col("count") >= LEAST_GROUP).select("group"), "groups")
     models = robust_models(passed.join(enough, "group", "left_semi"))
     judged = rows.join(models, "group", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
