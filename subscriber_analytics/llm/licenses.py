@@ -21,6 +21,7 @@ _GAP = rb"[^0-9a-z\x80-\xff]+"
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
+# Bytes of a stretch of text, by which kept spans are looked up.
 STRETCH = 64
 
 # The base phrases: found wherever their words stand one behind the other.
@@ -283,10 +284,9 @@ def _pattern(text: str) -> bytes:
 def rules() -> tuple[tuple[Rule, ...], ahocorasick.Automaton]:
     """The rules, strongest first, and an automaton over their keywords that gives rule numbers."""
     found = []
-    lines = [line for line in SIGNATURES.strip().splitlines()]
-    for n, line in enumerate(lines):
+    for n, line in enumerate(SIGNATURES.strip().splitlines()):
         label, keyword, text = (part.strip() for part in line.split("|", 2))
-        fixed = len([w for w in re.sub(r"\([^)]*\)", "", text).split()])
+        fixed = len(re.sub(r"\([^)]*\)", "", text).split())
         # A long fixed phrase is stronger evidence than a short one.
         found.append(Rule(label, keyword, _bounded(_pattern(text)), n, min(1.0, 0.4 + 0.1 * fixed)))
     keywords: dict[str, list[int]] = {}
