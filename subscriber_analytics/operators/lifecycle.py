@@ -27,23 +27,29 @@ def default_draw(key: ColumnLike = "customer_id") -> Column:
     return F.xxhash64(column(key), F.lit("churn_date"))
 
 
+def _or_given(df: DataFrame, name: str, derived: Column) -> Column:
+    """The date that the profile carries, where it carries one that can be read."""
+    return F.coalesce(F.col(name).try_cast("date"), derived) if name in df.columns else derived
+
+
 def derive_signup_date(df: DataFrame, as_of=None, jitter: Column | None = None) -> DataFrame:
-    """Add ``signup_date``: ``tenure`` months of 30 days and the jitter before ``as_of``."""
+    """Add ``signup_date``: the profile's own, else ``tenure`` months of 30 days and the jitter before ``as_of``."""
     jitter = default_jitter() if jitter is None else jitter
     days = (F.col("tenure").cast("bigint") * DAYS_PER_MONTH + jitter).try_cast("int")
-    return df.withColumn("signup_date", F.date_sub(as_of_timestamp(as_of).cast("date"), days))
+    derived = F.date_sub(as_of_timestamp(as_of).cast("date"), days)
+    return df.withColumn("signup_date", _or_given(df, "signup_date", derived))
 
 
 def derive_churn_date(df: DataFrame, as_of=None, draw: Column | None = None) -> DataFrame:
-    """Add ``churn_date`` for churners: a day in the last 40 % of the tenure, both ends included,
-    but at the latest the day before ``as_of``. NULL for all others."""
+    """Add ``churn_date`` for churners: the profile's own, else a day in the last 40 % of the tenure, both
+    ends included, but at the latest the day before ``as_of``. NULL for all others."""
     draw = default_draw() if draw is None else draw
     life = F.greatest(F.col("tenure").cast("bigint") * DAYS_PER_MONTH, F.lit(SHORTEST_LIFE_DAYS))
     first = F.floor(life * 6 / F.lit(10))
     day = (first + F.pmod(draw, life - first + 1)).try_cast("int")
     latest = F.date_sub(as_of_timestamp(as_of).cast("date"), 1)
     date = F.least(F.date_add("signup_date", day), latest)
-    return df.withColumn("churn_date", F.when(F.col("churn") == "Yes", date))
+    return df.withColumn("churn_date", F.when(F.col("churn") == "Yes", _or_given(df, "churn_date", date)))
 
 
 def make_events(

@@ -26,6 +26,15 @@ def test_dates(spark):
     assert got == {"a": (30, None), "b": (30, 18), "c": (0, -1), "d": (-30, -31), "e": (30, None)}
 
 
+def test_dates_of_the_profile_come_first(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "Yes", "2020-05-06", "2021-07-08"), ("b", 1, "Yes", "", None), ("c", 1, "No", "soon", "2021-07-08")],
+        "customer_id string, tenure int, churn string, signup_date string, churn_date string")
+    df = lc.derive_churn_date(lc.derive_signup_date(df, AS_OF, F.lit(0)), AS_OF, F.lit(0))
+    got = {name: (str(s), c and str(c)) for name, s, c in values(df, "customer_id", "signup_date", "churn_date")}
+    assert got == {"a": ("2020-05-06", "2021-07-08"), "b": ("2024-01-31", "2024-02-18"), "c": ("2024-01-31", None)}
+
+
 def test_draw_covers_the_window_and_both_ends(spark):
     df = spark.range(1000).selectExpr("cast(id as string) customer_id", "10 tenure", "'Yes' churn")
     df = lc.derive_churn_date(
