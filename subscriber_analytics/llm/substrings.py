@@ -205,7 +205,7 @@ def _contexts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct contexts with their number of occurrences and one owner; and sizes of keys with several."""
     contexts = stored(rows.groupBy("key", "full").agg(
         F.count("*").alias("n"), F.min(F.struct("uid", "pos", "id", "lo", "hi")).alias("owner")), "contexts")
-    sizes = contexts.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = stored(contexts.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     return contexts, sizes
 
 
@@ -224,7 +224,8 @@ def repeated_spans(
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.lit("uid"), doc_id, text).alias("uid"), F.col(text).alias("text"))
     schema = _schema(docs, doc_id, [*_PLACE, *_KEYS])
     found = stored(rows.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(schema, length, gram), schema), "anchors")
-    keys = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Stored, as sizes are, so that the join with them is one that Spark can split where a key is hot.
+    keys = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
     met = stored(found.join(keys, "key", "left_semi"), "anchors-met")
 
     def whole(of: DataFrame, contexts: DataFrame) -> DataFrame:
