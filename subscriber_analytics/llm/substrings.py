@@ -22,6 +22,7 @@ GRAM = 64
 # Different contexts of a gram that are sorted in one task; more are split by longer shared bytes.
 SORTED_TOGETHER = 256
 BLOCK = 1 << 20
+SEGMENT = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -84,6 +85,20 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
             "key": hashes[pos].view(np.int64), "full": full.view(np.int64)}
 
 
+def anchors_by_segment(
+    data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, segment: int = SEGMENT,
+) -> dict[str, np.ndarray]:
+    """``anchors``, a text longer than ``segment`` bytes piece by piece: pieces overlap so that each string lies in one."""
+    if len(offsets) != 2 or len(data) <= segment + length:
+        return anchors(data, offsets, length, gram)
+    parts = []
+    for start in range(0, len(data) - length + 1, segment):
+        piece = data[start:start + segment + length - 1]
+        rows = anchors(piece, np.array([0, len(piece)]), length, gram)
+        parts.append(rows | {"pos": rows["pos"] + start})
+    return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+
 def repeated_ranges(group: list[tuple[int, int, bytes]], length: int = LENGTH, gram: int = GRAM) -> list[list[tuple[int, int]]]:
     """Of each context (lo, hi, bytes around an anchor), the distances at which a string starts that another has too.
 
@@ -137,7 +152,7 @@ def _anchor_rows(schema: T.StructType, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                rows = anchors(*flat(part.column("text").cast(pa.string())), length, gram)
+                rows = anchors_by_segment(*flat(part.column("text").cast(pa.string())), length, gram)
                 owners = pa.array(rows["text"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(owners), part.column("uid").take(owners)]

@@ -62,6 +62,18 @@ def test_equal_strings_have_equal_anchors():
         assert at[0, 50 + k] == at[1, 16 + k] == at[2, k]
 
 
+def test_a_long_text_has_all_its_strings_whatever_the_segments():
+    random.seed(6)
+    data, offsets = flat(pa.array(["".join(random.choices("ab ", k=5000)) + "x" * 700]))
+    for segment in (100, 333, 5300, 10_000):
+        rows = substrings.anchors_by_segment(data, offsets, 400, 64, segment)
+        starts = [p - d for p, lo, hi in zip(*(rows[c].tolist() for c in ("pos", "lo", "hi"))) for d in range(lo, hi + 1)]
+        assert sorted(starts) == list(range(len(data) - 399))
+        whole = substrings.anchors(data, offsets)
+        at = {p: k for p, k in zip(whole["pos"].tolist(), whole["key"].tolist())}
+        assert all(at[p] == k for p, k in zip(rows["pos"].tolist(), rows["key"].tolist()))
+
+
 def _texts():
     random.seed(4)
 
