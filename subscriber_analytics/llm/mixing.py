@@ -83,7 +83,8 @@ def _cuts(rows: DataFrame, rests: DataFrame) -> DataFrame:
     the target is reached is the place of the cut, and the next level looks only inside it. Each
     level sends at most 2 ** DIGIT sums a source to one task.
     """
-    cuts = rests.select("_id", "_rest", F.lit(0).cast("long").alias("_cut"), F.lit(0).cast("long").alias("_below"))
+    # Stored, as the cuts of each level are: a join with a stored table is planned by its size, and split where hot.
+    cuts = stored(rests.select("_id", "_rest", F.lit(0).cast("long").alias("_cut"), F.lit(0).cast("long").alias("_below")), "cuts")
     for level in range(LEVELS):
         shift = RANK_BITS - DIGIT * (level + 1)
         inside = rows.join(cuts, "_id").where(F.shiftright("_rank", shift + DIGIT) == F.col("_cut"))
