@@ -14,11 +14,15 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """One round: larger neighbours move to the smallest neighbour, then smaller ones do."""
+    """One round: larger neighbours move to the smallest neighbour, then smaller ones do.
+
+    The minima are stored: a join with a stored table is one that Spark can split where a hub is hot.
+    """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select("b", "a"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+    large = stored(large, "large")
+    lowest = stored(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
     small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.unionAll(lowest.select("a", F.col("m").alias("b"))).distinct()
 
