@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,6 +24,8 @@ SAMPLE_DOCUMENTS = 3000
 # Words, and n-grams of each length, kept of a language: the most frequent ones.
 KEPT_WORDS = 20_000
 KEPT_GRAMS = 6_000
+# Labels beyond this number are no languages: learning is refused.
+MOST_LANGUAGES = 1000
 # Unseen words whose scores a worker remembers; the memory starts anew when it is full.
 REMEMBERED = 150_000
 UNDETERMINED = "und"
@@ -41,61 +44,77 @@ def grams(word: str, size: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequency of words and n-grams in each language; size 0 stands for whole words."""
+    """Log frequency of words and n-grams in each language, a row each; size 0 stands for whole words."""
 
     langs: list[str]
-    tables: dict[int, dict[str, np.ndarray]]
+    index: dict[int, dict[str, int]]
+    table: np.ndarray
     _rows: dict[str, int] = field(default_factory=dict)
-    _scores: list[np.ndarray] = field(default_factory=list)
+    _scores: np.ndarray | None = None
 
     @classmethod
     def from_counts(cls, rows: list[tuple[str, int, str, int]]) -> LanguageModel:
-        """From (lang, size, gram, count); what a language lacks has half a count there."""
+        """From (lang, size, gram, count). What a language lacks has half a count of the largest language
+        there, so that one with few words is not taken for what nobody has."""
         langs = sorted({r[0] for r in rows})
         at = {lang: k for k, lang in enumerate(langs)}
-        totals: dict[int, np.ndarray] = defaultdict(lambda: np.ones(len(langs)))
-        counts: dict[int, dict[str, np.ndarray]] = defaultdict(dict)
+        index: dict[int, dict[str, int]] = {size: {} for size in (0, *LENGTHS)}
+        number = 0
+        for _, size, gram, _ in rows:
+            if gram not in index[size]:
+                index[size][gram] = number
+                number += 1
+        counts = np.zeros((number, len(langs)))
+        totals = {size: np.ones(len(langs)) for size in index}
         for lang, size, gram, n in rows:
-            counts[size].setdefault(gram, np.full(len(langs), 0.5))[at[lang]] = n
+            counts[index[size][gram], at[lang]] = n
             totals[size][at[lang]] += n
-        tables = {size: {g: np.log(c / totals[size]).astype(np.float32) for g, c in found.items()}
-                  for size, found in counts.items()}
-        return cls(langs, tables)
-
-    def word_scores(self, word: str) -> np.ndarray:
-        """Log frequency by language; of an unseen word the mean over its longest known n-grams."""
-        known = self.tables.get(0, {}).get(word)
-        if known is not None:
-            return known
-        for size in LENGTHS:
-            table = self.tables.get(size, {})
-            found = [table[g] for g in grams(word, size) if g in table]
-            if found:
-                return np.mean(found, axis=0, dtype=np.float32)
-        return np.zeros(len(self.langs), np.float32)
+        for size, found in index.items():
+            members = np.fromiter(found.values(), np.int64, len(found))
+            shares = counts[members] / totals[size]
+            counts[members] = np.where(shares > 0, shares, 0.5 / totals[size].max(initial=1))
+        return cls(langs, index, np.log(counts).astype(np.float32))
+
+    def backed_off(self, words: list[str]) -> np.ndarray:
+        """Scores of unseen words: the mean over a word's longest n-grams that are known, 0 without any."""
+        tables = [(size, self.index[size].get) for size in LENGTHS]
+        rows: list[int] = []
+        sizes = np.zeros(len(words), np.int64)
+        for n, word in enumerate(words):
+            padded = f" {word} "
+            for size, get in tables:
+                found = [r for k in range(len(padded) - size + 1) if (r := get(padded[k:k + size])) is not None]
+                if found:
+                    rows += found
+                    sizes[n] = len(found)
+                    break
+        scores = np.zeros((len(words), len(self.langs)), np.float32)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            starts = np.cumsum(sizes[some]) - sizes[some]
+            scores[some] = np.add.reduceat(self.table[rows], starts, axis=0) / sizes[some, None]
+        return scores
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language of each text and its probability among the languages of the model."""
         words = [WORDS.findall(t.lower()) for t in texts]
-        if len(self._scores) > REMEMBERED:
-            self._rows, self._scores = {}, []
-        rows, scores = self._rows, self._scores
+        if self._scores is None or len(self._scores) - len(self.table) > REMEMBERED:
+            self._rows, self._scores = dict(self.index.get(0, {})), self.table
         seen: set[str] = set()
         for found in words:
             seen.update(found)
-        for word in seen:
-            if word not in rows:
-                rows[word] = len(scores)
-                scores.append(self.word_scores(word))
-        table = np.array(scores, np.float32).reshape(len(scores), len(self.langs))
+        new = [word for word in seen if word not in self._rows]
+        self._rows.update(zip(new, range(len(self._scores), len(self._scores) + len(new)), strict=True))
+        self._scores = np.concatenate([self._scores, self.backed_off(new)])
         langs, sure = [], []
         for found in words:
-            if not found or not self.langs:
+            # The word pattern lets signs like superscript two pass, which are no letters.
+            if not self.langs or not any(map(str.isalpha, found)) and not any(c.isalpha() for w in found for c in w):
                 langs.append(UNDETERMINED)
                 sure.append(0.0)
                 continue
-            index = np.fromiter(map(rows.__getitem__, found), np.int64, len(found))
-            total = table[index].sum(axis=0, dtype=np.float64)
+            index = np.fromiter(map(self._rows.__getitem__, found), np.int64, len(found))
+            total = self._scores[index].sum(axis=0, dtype=np.float64)
             best = int(np.argmax(total))
             langs.append(self.langs[best])
             sure.append(float(1 / np.exp(np.maximum(total - total[best], -700)).sum()))
@@ -119,8 +138,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         else:
                             counts[word] = n
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(counts)), pa.array([size] * len(counts), pa.int32()),
-                        pa.array(list(counts)), pa.array(list(counts.values()), pa.int64()),
+                        pa.array([lang] * len(counts), pa.string()), pa.array([size] * len(counts), pa.int32()),
+                        pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()),
                     ], names=_COUNTS.names)
 
 
@@ -133,13 +152,17 @@ def learn(
     ``sample`` documents of each language are expected to be read: those whose key's hash falls below
     sample / (documents of the language); a language with fewer gives all. The model holds at most
     ``words`` + 5 * ``per_length`` entries a language, however large the table is. Rows without a
-    label or key teach nothing; without any labelled row the model has no language.
+    label or key teach nothing; without any labelled row the model has no language, and more than
+    MOST_LANGUAGES labels are an error.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    share = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    shares = F.from_json(F.lit(json.dumps({r["lang"]: sample / r["count"] for r in sizes})), "map<string,double>")
     draw = F.pmod(F.xxhash64(F.lit("language-sample"), "key"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    drawn = rows.withColumn("draw", draw).join(F.broadcast(share), "lang").where("draw < share")
+    drawn = rows.where(draw < F.try_element_at(shares, F.col("lang")))
     prepare(labelled.sparkSession)
     counts = drawn.select("lang", "text").mapInArrow(_counted, _COUNTS)
     totals = counts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))

@@ -10,6 +10,7 @@ def test_words_come_first_then_longer_grams():
     rows = [("a", 0, "known", 8), ("b", 0, "other", 8), ("a", 3, "kno", 1), ("b", 3, "kno", 4), ("b", 1, "z", 9), ("a", 1, "q", 9)]
     model = language.LanguageModel.from_counts(rows)
     assert model.predict(["known", "knot", "z", "qq", "known known z", "", "12 !", "ж"])[0] == ["a", "b", "b", "a", "a", "und", "und", "a"]
+    assert model.predict(["² ½ 12", "²z²"])[0] == ["und", "b"]
     assert all(0 <= s <= 1 for s in model.predict(["known", "z", ""])[1])
     assert language.LanguageModel.from_counts([]).predict(["word"]) == (["und"], [0.0])
 
