@@ -70,7 +70,7 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SE
     return result
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased words with one space between them, bounds of all shingles, and shingles per text."""
     word = ~_SPACE[data]
     first = word.copy()
@@ -88,7 +88,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return text, starts, ends, counts
     owner = np.repeat(np.arange(len(counts)), counts)
     nth = np.arange(len(starts)) - np.repeat(np.cumsum(counts) - counts, counts)
-    width = np.minimum(counts, SHINGLE_WORDS)[owner]
+    width = np.minimum(counts, size)[owner]
     keep = nth + width <= counts[owner]
     index = np.flatnonzero(keep)
     return text, starts[index], ends[index + width[index] - 1], np.bincount(owner[index], minlength=len(counts))
