@@ -26,9 +26,9 @@ FIELDS = T.StructType([T.StructField(n, T.LongType()) for n in (
 
 # Transformed statistics: mean word length, and roots of the shares of symbols, repeated lines and words.
 FEATURES = ("f_length", "f_symbols", "f_lines", "f_repeats")
-# Least standard deviation of each, so that a group in which a share is almost always 0 does not
-# take its smallest deviation for an outlier.
-FLOORS = (0.08, 0.10, 0.10, 0.10)
+# Least standard deviation of each. Symbols: a guard for groups without any. Length, repeated lines and words:
+# clean documents have some now and then, and the labels say that less takes those for outliers (README).
+FLOORS = (0.04, 0.01, 0.10, 0.10)
 # Share of a group that the determinant is taken over.
 CORE = 0.75
 # Groups with fewer documents than this are judged by the rules alone.
@@ -36,8 +36,8 @@ LEAST_GROUP = 30
 MAX_STEPS = 12
 # Distances fall into so many steps of their logarithm; the core of a group is cut between two of them.
 DISTANCE_BINS = 2048
-# Squared distance beyond which a document is an outlier: chi-square with 4 degrees of freedom at 1 - 1e-7.
-CUTOFF = 38.2
+# Squared distance beyond which a document is an outlier: chi-square with 4 degrees of freedom at 0.999.
+CUTOFF = 18.47
 # What makes the covariance of a normal core that of all: CORE by the share that chi-square with 6 degrees
 # of freedom has below 5.385, where that with 4 degrees reaches CORE.
 CONSISTENCY = CORE / 0.5046

@@ -41,6 +41,13 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(got[k] for k in range(120)) and not any(got[1000 + k] for k in range(12))
 
 
+def test_a_share_of_symbols_is_an_outlier_where_none_has_symbols(spark):
+    plain = [(k, " ".join(f"word{100 + (k * 31 + j) % 500}" for j in range(80)), "en", "a", 1) for k in range(120)]
+    odd = [(1000 + k, " ".join(f"word{100 + (k * 17 + j) % 500}#" for j in range(80)), "en", "a", 1) for k in range(12)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(documents(spark, plain + odd)).collect()}
+    assert all(got[k] for k in range(120)) and not any(got[1000 + k] for k in range(12))
+
+
 def test_query_has_the_base_figures(spark):
     path = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
