@@ -31,7 +31,7 @@ FEATURES = ("f_length", "f_symbols", "f_lines", "f_repeats")
 FLOORS = (0.04, 0.01, 0.10, 0.10)
 # Share of a group that the determinant is taken over.
 CORE = 0.75
-# Groups with fewer documents than this are judged by the rules alone.
+# Groups with fewer documents than this are judged by the estimate of their language, or by that of all documents.
 LEAST_GROUP = 30
 MAX_STEPS = 12
 # Distances fall into so many steps of their logarithm; the core of a group is cut between two of them.
@@ -165,21 +165,31 @@ def robust_models(rows: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
-    """docs (without text) with the statistics, base_failed, distance (squared, null if not judged) and kept.
+    """docs (without text) with the statistics, base_failed, distance (squared, null if base_failed) and kept.
 
     A document goes if it fails the fixed limits, or if its statistics lie beyond ``cutoff`` from the
     robust center of its language and source. The estimates are taken over all documents that pass
-    the limits; a group of fewer than LEAST_GROUP of them has none, and its documents pass. Null
+    the limits; a group of fewer than LEAST_GROUP of them is judged by that of all sources of the language, or
+    of all documents if those are as few, so each that passes the limits has a distance. Null
     languages or sources form groups of their own. Repeated rows are judged each.
     """
-    own = [*FIELDS.names, *FEATURES, *_MODEL.names, "base_failed", "distance", "kept"]
+    own = [*FIELDS.names, *FEATURES, *_MODEL.names, "wider", "widest", "_group", "_model", "base_failed", "distance", "kept"]
     counted = statistics(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in own]), text).drop(text)
     group = F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))
-    rows = stored(_features(counted.withColumn("base_failed", base_failed()).withColumn("group", group)), "statistics")
-    passed = rows.where("NOT base_failed").select("group", *FEATURES)
-    # Stored: the join with it is then planned by its size, and can be split where a group is hot.
-    enough = stored(passed.groupBy("group").count().where(F.col("count") >= LEAST_GROUP).select("group"), "groups")
-    models = robust_models(passed.join(enough, "group", "left_semi"))
-    judged = rows.join(models, "group", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
-    return judged.withColumn("kept", kept).drop("group", "center", "inverse", "logdet", *FEATURES)
+    wider = F.concat(F.lit("language "), F.to_json(F.struct(F.col(lang).alias("l"))))
+    rows = stored(_features(counted.withColumn("base_failed", base_failed()).withColumns(
+        {"group": group, "wider": wider, "widest": F.lit("all")})), "statistics")
+    passed = rows.where("NOT base_failed").select("group", "wider", "widest", *FEATURES)
+    sizes = stored(passed.groupBy("group", "wider", "widest").count(), "groups")
+    langs = stored(sizes.groupBy("wider").agg(F.sum("count").alias("n")), "languages")
+    # Stored: the joins with it are then planned by its size, and can be split where a group is hot.
+    plan = stored(sizes.join(langs, "wider").select(F.col("group").alias("_group"), F.when(
+        F.col("count") >= LEAST_GROUP, F.col("group")).when(F.col("n") >= LEAST_GROUP, F.col("wider")).otherwise(
+        F.col("widest")).alias("_model")), "plan")
+    used = stored(plan.select(F.col("_model").alias("group")).distinct(), "models")
+    levels = passed.select(F.explode(F.array("group", "wider", "widest")).alias("group"), *FEATURES)
+    models = robust_models(levels.join(used, "group", "left_semi")).withColumnRenamed("group", "_model")
+    judged = rows.join(plan, rows["group"] == plan["_group"], "left").join(models, "_model", "left").withColumn(
+        "distance", F.when(~F.col("base_failed"), _distance()))
+    kept = ~F.col("base_failed") & (F.col("distance") <= cutoff)
+    return judged.withColumn("kept", F.coalesce(kept, F.lit(False))).drop("group", "wider", "widest", "_group", "_model", "center", "inverse", "logdet", *FEATURES)

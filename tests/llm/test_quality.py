@@ -48,6 +48,19 @@ def test_a_share_of_symbols_is_an_outlier_where_none_has_symbols(spark):
     assert all(got[k] for k in range(120)) and not any(got[1000 + k] for k in range(12))
 
 
+def test_small_groups_are_judged_by_the_next_wider_one(spark):
+    def text(k, mark=""):
+        return " ".join(f"word{100 + (k * 31 + j) % 500}{mark}" for j in range(80))
+
+    # English has 60 documents in sources of 5; the other languages have 3 each; one short document of a group of its own.
+    rows = [(k, text(k), "en", f"s{k // 5}", 1) for k in range(60)] + [(100 + k, text(k), f"l{k // 3}", None, 1) for k in range(30)]
+    odd = [(1000, text(1, "#"), "en", "s1", 1), (1001, text(2, "#"), "l2", None, 1), (1002, text(3, "#"), None, "x", 1)]
+    got = {r["doc_id"]: r for r in quality.judge(documents(spark, [*rows, *odd, (2000, "too short", "xx", "y", 1)])).collect()}
+    assert all(got[r[0]]["kept"] and got[r[0]]["distance"] is not None for r in rows)
+    assert all(not got[r[0]]["kept"] and got[r[0]]["distance"] is not None for r in odd)
+    assert not got[2000]["kept"] and got[2000]["distance"] is None
+
+
 def test_query_has_the_base_figures(spark):
     path = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
