@@ -27,25 +27,34 @@ FIELDS = T.StructType([
 
 # A text without any of these characters holds nothing that PATTERN finds.
 GATE = re.compile(r"[0-9@=:]")
-_END = r"(?!\w)"
+# A value ends and begins where its own alphabet does: letters of other scripts and '_' may touch it.
+_END = r"(?![A-Za-z0-9])"
+_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+_MONTH = r"(?:(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in _MONTHS) + r"|sept)\.?)"
+# Secret names may be parts of longer ones.
+_SECRET = r"(?P<secret>(?i:password|passwd|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<value>[^\s\"'<>&#*$%|,;]{5,}[^\s\"'<>&#*$%|,;.:!?()]))"
 _LETTERS = (
-    r"(?P<secret>(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<value>[^\s\"'<>&#*$%|,;]{5,}[^\s\"'<>&#*$%|,;.:!?()]))",
     rf"(?P<key>(?:AKIA|ASIA)[A-Z0-9]{{16}}{_END}|(?:ghp|gho|ghs)_[A-Za-z0-9]{{36}}{_END}|sk[-_][A-Za-z0-9_-]{{20,}})",
     rf"(?P<iban>[A-Z]{{2}}\d\d(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END})",
+    rf"(?P<named>{_MONTH} ?\d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}{_END})",
 )
 _FIGURES = (
-    r"(?P<ip>(?<!\.)\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))",
-    r"(?P<iso>\d{4}-\d\d-\d\d(?!\d|-\d))",
-    r"(?P<day>(?<![/.])\d{1,2}(?P<sep>[/.])\d{1,2}(?P=sep)\d{4}(?![\w/]))",
-    r"(?P<ssn>(?<!-)\d{3}-\d\d-\d{4}(?![\w-]))",
+    rf"(?P<ip>(?<!\.)\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?![A-Za-z0-9]|\.\d))",
+    r"(?P<iso>\d{4}(?P<sep0>[/.-])\d{1,2}(?P=sep0)\d{1,2}(?!\d|(?P=sep0)\d))",
+    r"(?P<day>(?<![/.])\d{1,2}(?P<sep>[/.])\d{1,2}(?P=sep)\d{4}(?![A-Za-z0-9/]))",
+    r"(?P<dashed>(?<!-)\d{1,2}-\d{1,2}-\d{4}(?![A-Za-z0-9-]))",
+    rf"(?P<named2>\d{{1,2}}(?:st|nd|rd|th)?\.?[ -](?:of )?{_MONTH},?[ -]\d{{4}}{_END})",
+    r"(?P<ssn>(?<!-)\d{3}-\d\d-\d{4}(?![A-Za-z0-9-]))",
     rf"(?P<nanp>(?<!\()(?:\+?1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{_END})",
-    rf"(?P<phone>(?<!\+)\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{1,4}}(?:[ .-]?\d{{2,4}}){{1,4}}{_END})",
-    r"(?P<card>(?<!-)(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{5})(?![\w-]))",
+    rf"(?P<phone>(?<!\+)(?:\+|00)\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{1,4}}(?:[ .-]?\d{{2,4}}){{1,4}}{_END})",
+    r"(?P<card>(?<!-)(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{5})(?![A-Za-z0-9-]))",
+    # A national number: trunk prefix 0, or a mobile one as in China.
+    r"(?P<national>(?:(?:\(0[1-9]\d{0,3}\)|0[1-9]\d{0,3})(?:[ ./-]|(?<=\)))\d{2,8}(?:[ .-]\d{2,4}){0,4}|0[1-9]\d{8,9}|1[3-9]\d(?:[ -]?\d{4}){2})(?![A-Za-z0-9/]|[.-]\d))",
 )
-# Every match begins outside a word, which most places of a text are not.
+# A match begins outside a run of its own alphabet, which most places of a text do not; secret names begin anywhere.
 PATTERN = re.compile(
-    r"(?<!\w)(?:(?=[A-Za-z])(?:" + "|".join(_LETTERS) + r")|(?=[0-9+(])(?:" + "|".join(_FIGURES)
-    + r")|(?P<email>(?<![.+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?!\w)))")
+    r"(?:(?=[PpSsTtAa])" + _SECRET + r"|(?<![A-Za-z0-9])(?:(?=[A-Za-z])(?:" + "|".join(_LETTERS) + r")|(?=[0-9+(])(?:" + "|".join(_FIGURES)
+    + r")|(?P<email>(?<![.+%_-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))))")
 
 _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 _HEX = "0123456789abcdef"
@@ -149,9 +158,11 @@ def _iban_rest(text: str) -> int:
 
 
 def _iban(text: str, names: Pseudonyms) -> str | None:
+    """The number, or its longest valid beginning that ends at a blank: the words after it may look like more groups."""
     plain = text.replace(" ", "")
     if not 15 <= len(plain) <= 34 or _iban_rest(plain) != 1:
-        return None
+        shorter, blank, _ = text.rpartition(" ")
+        return _iban(shorter, names) if blank else None
     body = names.characters("iban", plain[4:])
     made = plain[:2] + f"{98 - _iban_rest(plain[:2] + '00' + body):02d}" + body
     fresh = iter(made)
@@ -172,16 +183,41 @@ def _day(value: date, names: Pseudonyms) -> date | None:
 
 
 def _iso(text: str, names: Pseudonyms) -> str | None:
+    sep = text[4]
+    year, month, day = text.split(sep)
     try:
-        made = _day(date(*map(int, text.split("-"))), names)
+        made = _day(date(int(year), int(month), int(day)), names)
     except ValueError:
         return None
-    return made and made.isoformat()
+    wide = 2 if len(text) == 10 else 1
+    return made and f"{made.year}{sep}{made.month:0{wide}d}{sep}{made.day:0{wide}d}"
+
+
+def _named(text: str, names: Pseudonyms) -> str | None:
+    """A date with the name of its month, which stays as short or long, and as large, as it was."""
+    said = re.search(r"(?!st|nd|rd|th|of)[A-Za-z]{3,}", text)
+    month = next(n for n, m in enumerate(_MONTHS, 1) if m[:3].lower() == said[0][:3].lower())
+    day, year = (re.search(p, text) for p in (r"(?<!\d)\d{1,2}(?!\d)", r"\d{4}"))
+    try:
+        made = _day(date(int(year[0]), month, int(day[0])), names)
+    except ValueError:
+        return None
+    if made is None:
+        return None
+    name = _MONTHS[made.month - 1]
+    name = name if len(said[0]) > 4 or said[0].lower() == _MONTHS[month - 1].lower() else name[:3]
+    name = name.upper() if said[0].isupper() else name.lower() if said[0].islower() else name
+    wide = 2 if day[0].startswith("0") else 1
+    parts = sorted([(said.span(), name), (day.span(), f"{made.day:0{wide}d}"), (year.span(), str(made.year))], reverse=True)
+    for (start, end), new in parts:
+        text = text[:start] + new + text[end:]
+    ending = "th" if 11 <= made.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(made.day % 10, "th")
+    return re.sub(r"(?<=\d)(?:st|nd|rd|th)", ending, text)
 
 
 def _written(text: str, names: Pseudonyms) -> str | None:
-    """Day and month in the order that is possible; with a stroke the month comes first if both are, with a point the day."""
-    sep = "/" if "/" in text else "."
+    """Day and month in the order that is possible; with a stroke the month comes first if both are, with a point or dash the day."""
+    sep = next(c for c in text if not c.isdigit())
     a, b, year = (int(p) for p in text.split(sep))
     for day, month in ((b, a), (a, b)) if sep == "/" else ((a, b), (b, a)):
         try:
@@ -209,7 +245,7 @@ def _nanp(text: str, names: Pseudonyms) -> str | None:
     digits = re.sub(r"\D", "", text)
     lead, own = digits[:-10], digits[-10:]
     if own[0] in "01" or own[3] in "01":
-        return None
+        return _national(text, names) if not lead and own[0] == "0" and own[1] != "0" else None
     radix = [8, 10, 10, 8, 10, 10, 10, 10, 10, 10]
     low = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
     made = names.digits("nanp", [int(c) - o for c, o in zip(own, low, strict=True)], radix)
@@ -225,6 +261,15 @@ def _phone(text: str, names: Pseudonyms) -> str | None:
     return _refill(text, digits[:2] + "".join(map(str, made)))
 
 
+def _national(text: str, names: Pseudonyms) -> str | None:
+    digits = re.sub(r"\D", "", text)
+    if not 9 <= len(digits) <= 12:
+        return None
+    # The trunk prefix and the first digit of the area stay.
+    made = names.digits("national", [int(c) for c in digits[2:]], [10] * (len(digits) - 2))
+    return _refill(text, digits[:2] + "".join(map(str, made)))
+
+
 def _email(text: str, names: Pseudonyms) -> str | None:
     local, domain = text.rsplit("@", 1)
     return f"{names.characters('email', local)}@{domain}"
@@ -236,31 +281,40 @@ def _key(text: str, names: Pseudonyms) -> str | None:
 
 
 HANDLERS = {
-    "key": _key, "email": _email, "iban": _iban, "ip": _ip, "iso": _iso, "day": _written, "ssn": _ssn,
-    "nanp": _nanp, "phone": _phone, "card": _card,
+    "key": _key, "email": _email, "iban": _iban, "ip": _ip, "iso": _iso, "day": _written, "dashed": _written,
+    "named": _named, "named2": _named, "ssn": _ssn,
+    "nanp": _nanp, "phone": _phone, "national": _national, "card": _card,
 }
 
 
+# The kind of a pattern, where it has another name.
+KINDS = {**dict.fromkeys(("iso", "day", "dashed", "named", "named2"), "date"), **dict.fromkeys(("nanp", "national"), "phone")}
+
+
 def pseudonymize(text: str, names: Pseudonyms) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the kinds of what was replaced."""
     kinds: list[str] = []
     if not GATE.search(text):
         return text, kinds
 
-    def replaced(match: re.Match[str]) -> str:
-        kind = next(k for k in ("secret", *HANDLERS) if match[k])
-        found = match[0]
+    parts, place = [], 0
+    match = PATTERN.search(text)
+    while match:
+        kind, found, end = next(k for k in ("secret", *HANDLERS) if match[k]), match[0], match.end()
         if kind == "secret":
             value = match["value"]
             made = found[:match.start("value") - match.start()] + names.characters("secret", value) + found[match.end("value") - match.start():]
         else:
             made = HANDLERS[kind](found, names)
-        if made is None:
-            return found
-        kinds.append({"iso": "date", "day": "date", "nanp": "phone"}.get(kind, kind))
-        return made
-
-    return PATTERN.sub(replaced, text), kinds
+        if kind == "iban":
+            # What is not part of it may hold another value.
+            end = match.start() + (len(made) if made else len(found.split(" ")[0]))
+        if made is not None:
+            parts += [text[place:match.start()], made]
+            place = end
+            kinds.append(KINDS.get(kind, kind))
+        match = PATTERN.search(text, end)
+    return "".join([*parts, text[place:]]), kinds
 
 
 @functools.lru_cache(maxsize=4)
