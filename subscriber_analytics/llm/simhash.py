@@ -270,16 +270,20 @@ def links(prints: DataFrame, budget: int = MAX_BITS, trie_size: int = TRIE_SIZE)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = MAX_BITS) -> DataFrame:
-    """docs (without text) with simhash and component_id, the smallest id reachable over near fingerprints.
+    """docs (without text) with simhash, cluster and component_id.
 
-    Exact copies share a fingerprint, so only distinct fingerprints are joined. Rows without words have
-    fingerprint zero and are linked like any other. Repeated rows stay, in one component; a row
-    without an id gets the component of its fingerprint, or null if no row there has an id. An empty table gives an empty one.
+    The nodes are the distinct fingerprints: cluster is the smallest fingerprint (as a signed number) reachable
+    over near ones, component_id the smallest id of a row there. Exact copies share a fingerprint, so they
+    are never paired. Rows without words have fingerprint zero and are linked like any other. Rows without an id
+    link like any other and get the component's id; it is null if no row there has one. Repeated rows stay, in one
+    component. Columns of the three names are replaced. An empty table gives an empty one.
     """
-    printed = fingerprints(docs.select(*[f"`{c}`" for c in without(docs, ["simhash", "component_id"])]), text)
+    printed = fingerprints(docs.select(*[f"`{c}`" for c in without(docs, ["simhash", "cluster", "component_id"])]), text)
     printed = stored(printed.drop(text), "fingerprints")
-    prints = stored(printed.groupBy("simhash").agg(F.min(doc_id).alias("rep")), "distinct-fingerprints")
-    found = components(links(prints.where("rep IS NOT NULL"), budget))
-    named = prints.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "simhash", F.coalesce("component", "rep").alias("component_id"))
+    prints = stored(printed.groupBy("simhash").agg(F.min(doc_id).alias("least")), "distinct-fingerprints")
+    found = components(links(prints.select("simhash", F.col("simhash").alias("rep")), budget))
+    grouped = prints.join(found.withColumnRenamed("node", "simhash"), "simhash", "left").select(
+        "simhash", "least", F.coalesce("component", "simhash").alias("cluster"))
+    ids = stored(grouped.groupBy("cluster").agg(F.min("least").alias("component_id")), "component-ids")
+    named = stored(grouped.drop("least").join(ids, "cluster"), "clusters")
     return printed.join(named, "simhash", "left")

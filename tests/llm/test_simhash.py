@@ -88,6 +88,15 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_without_an_id_link_those_with_one(spark, monkeypatch):
+    # Fingerprints 0, 3 (of a row without an id) and 15: one component, and one of rows without ids alone.
+    rows = [(4, "a", 0), (None, "b", 3), (7, "c", 15), (None, "d", -1), (None, "e", -3), (9, "f", 7 << 40)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, simhash long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, text: made)
+    got = {r["simhash"]: (r["cluster"], r["component_id"]) for r in simhash.near_duplicates(made).collect()}
+    assert got == {0: (0, 4), 3: (0, 4), 15: (0, 4), -1: (-3, None), -3: (-3, None), 7 << 40: (7 << 40, 9)}
+
+
 def test_query_is_the_brute_force_one(spark):
     found = registry.queries()["op10_simhash"](spark, "/root/testdata/sf0.001")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
