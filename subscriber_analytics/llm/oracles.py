@@ -39,7 +39,8 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
 def _place(url: str) -> str:
     host = f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), {_LOWER})"
     path = f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
-    return f"{host} AS host, {path} AS path"
+    query = f"regexp_extract({url}, '(?s)^.*?://[^?#]*(\\?[^#]*)', 1)"
+    return f"{host} AS host, {path} AS path, {host} || {path} || {query} AS address"
 
 
 def _quoted(pattern: str) -> str:
@@ -51,27 +52,31 @@ _RULES = ", ".join(f"('{rule}', '{action}', '{rule.split('/', 1)[0]}', '{rule[le
 URL_FILTER = rf"""
 WITH RECURSIVE rules(rule, action, rule_host, rule_path) AS (VALUES {_RULES}),
 own AS (SELECT page_id, html, {_place("coalesce(url, '')")} FROM pages),
-tags AS (SELECT host, path, unnest(regexp_extract_all(coalesce(html, ''), '{_quoted(urls.TAGS)}')) AS tag FROM own WHERE host <> ''),
-named AS (SELECT host, path, trim(CASE WHEN regexp_matches(tag, '{_quoted(urls.CANONICAL)}')
+tags AS (SELECT host, path, address, unnest(regexp_extract_all(coalesce(html, ''), '{_quoted(urls.TAGS)}')) AS tag FROM own WHERE host <> ''),
+named AS (SELECT host, path, address, trim(CASE WHEN regexp_matches(tag, '{_quoted(urls.CANONICAL)}')
     THEN regexp_extract(tag, '{_quoted(urls.HREF)}', 1) || regexp_extract(tag, '{_quoted(urls.HREF)}', 2) || regexp_extract(tag, '{_quoted(urls.HREF)}', 3)
     WHEN regexp_matches(tag, '{_quoted(urls.REFRESH)}') THEN regexp_extract(tag, '{_quoted(urls.TARGET)}', 1) END) AS target FROM tags),
-full_urls AS (SELECT host AS a_host, path AS a_path, CASE WHEN regexp_matches(target, '(?i)^[a-z][a-z0-9+.-]*://') THEN target
+full_urls AS (SELECT host AS a_host, path AS a_path, address AS a, CASE WHEN regexp_matches(target, '(?i)^[a-z][a-z0-9+.-]*://') THEN target
     WHEN starts_with(target, '//') THEN 'http:' || target WHEN starts_with(target, '/') THEN 'http://' || host || target
-    ELSE 'http://' || host || regexp_replace(path, '[^/]*$', '') || target END AS target FROM named WHERE target <> ''),
-aliases AS (SELECT DISTINCT a_host, a_path, host AS b_host, path AS b_path FROM (
-    SELECT a_host, a_path, {_place('target')} FROM full_urls) WHERE host <> ''),
+    WHEN starts_with(target, '?') THEN 'http://' || host || path || target
+    ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || target END AS target
+  FROM named WHERE target <> '' AND NOT starts_with(target, '#')),
+aliases AS (SELECT DISTINCT a_host, a_path, a, host AS b_host, path AS b_path, address AS b FROM (
+    SELECT a_host, a_path, a, {_place('target')} FROM full_urls) WHERE host <> ''),
 places AS (SELECT DISTINCT host, path FROM own UNION SELECT b_host, b_path FROM aliases),
 decided AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
   FROM places LEFT JOIN rules ON host <> '' AND (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY host, path),
-edges AS (SELECT a_host || a_path AS a, b_host || b_path AS b FROM aliases UNION SELECT b_host || b_path, a_host || a_path FROM aliases),
+edges AS (SELECT a, b FROM aliases UNION SELECT b, a FROM aliases),
 reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+nodes AS (SELECT a_host AS host, a_path AS path, a AS node FROM aliases UNION SELECT b_host, b_path, b FROM aliases),
 spread AS (SELECT reach.a AS node, bool_or(action = 'block') AND NOT bool_or(action = 'allow') AS blocked
-  FROM reach JOIN decided ON reach.b = decided.host || decided.path WHERE action IS NOT NULL GROUP BY reach.a)
+  FROM reach JOIN nodes ON reach.b = nodes.node JOIN decided ON nodes.host = decided.host AND nodes.path = decided.path
+  WHERE action IS NOT NULL GROUP BY reach.a)
 SELECT page_id, own.host, own.path, rule,
   coalesce(action, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
 FROM own JOIN decided ON own.host = decided.host AND own.path = decided.path
-LEFT JOIN spread ON spread.node = own.host || own.path
+LEFT JOIN spread ON spread.node = own.address
 """
 
 

@@ -12,7 +12,7 @@ from subscriber_analytics.llm.components import components
 
 # (rule, action): a host, which stands for its subdomains too, and the begin of a path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-OWN = ("host", "path", "rule", "verdict")
+OWN = ("host", "path", "_address", "_blocked", "rule", "verdict")
 
 # Tags that name another address of the same page.
 TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
@@ -30,25 +30,39 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def _address(url: Column) -> Column:
+    """Host, path and query; a host holds no slash and a path begins with one, so the text names one address."""
+    return F.concat(_host(url), _path(url), F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1))
+
+
 def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
-    """pages with host and path; both empty for a null url or one without "://"."""
-    address = F.coalesce(F.col(url), F.lit(""))
-    return pages.select(*[f"`{c}`" for c in without(pages, OWN)], _host(address).alias("host"), _path(address).alias("path"))
+    """pages with host, path and _address, the path with its query; all empty for a null url or one without "://"."""
+    full = F.coalesce(F.col(url), F.lit(""))
+    return pages.select(*[f"`{c}`" for c in without(pages, OWN)], _host(full).alias("host"), _path(full).alias("path"),
+                        _address(full).alias("_address"))
 
 
 def alias_edges(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(host, path, to_host, to_path): pages and the addresses that their canonical links and redirects name."""
+    """(host, path, address, to_host, to_path, to_address): pages and what their canonical links and redirects name.
+
+    A link may be absolute, or relative to the page's scheme, host, folder or path (with a query of its own);
+    one that begins with # names the page itself and is no alias.
+    """
     tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(TAGS), F.lit(0))
-    tagged = pages.where(F.col("host") != "").select("host", "path", F.explode(tags).alias("tag"))
+    tagged = pages.where(F.col("host") != "").select("host", "path", F.col("_address").alias("address"), F.explode(tags).alias("tag"))
     href = F.concat(*[F.regexp_extract("tag", HREF, k) for k in (1, 2, 3)])
     target = F.when(F.col("tag").rlike(CANONICAL), href).when(F.col("tag").rlike(REFRESH), F.regexp_extract("tag", TARGET, 1))
-    found = tagged.withColumn("to", F.trim(target)).where("to <> ''")
+    found = tagged.withColumn("to", F.trim(target)).where("to <> '' AND NOT startswith(to, '#')")
     here = F.concat(F.lit("http://"), "host")
+    folder = F.when(F.col("path") == "", "/").otherwise(F.regexp_replace("path", "[^/]*$", ""))
     absolute = (F.when(F.col("to").rlike("(?i)^[a-z][a-z0-9+.-]*://"), F.col("to"))
                 .when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to"))
                 .when(F.col("to").startswith("/"), F.concat(here, "to"))
-                .otherwise(F.concat(here, F.regexp_replace("path", "[^/]*$", ""), "to")))
-    return found.select("host", "path", _host(absolute).alias("to_host"), _path(absolute).alias("to_path")).where("to_host <> ''").distinct()
+                .when(F.col("to").startswith("?"), F.concat(here, "path", "to"))
+                .otherwise(F.concat(here, folder, "to")))
+    return found.select(
+        "host", "path", "address", _host(absolute).alias("to_host"), _path(absolute).alias("to_path"),
+        _address(absolute).alias("to_address")).where("to_host <> ''").distinct()
 
 
 def matched(places: DataFrame, rules: DataFrame) -> DataFrame:
@@ -79,22 +93,24 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str = "htm
     """pages (without html) with host, path, rule and verdict.
 
     A page with a rule of its own gets that rule's action. Any other is judged with its aliases, all
-    addresses that redirects and canonical links connect it with, pages or not: if a rule blocks one
-    of them the page is blocked, unless a rule allows one of them; without either it is allowed. A null url, or one
-    without a host, has no alias and is allowed. Repeated pages are judged alike.
+    addresses (host, path and query) that redirects and canonical links connect it with, pages or not: if a rule
+    blocks one of them the page is blocked, unless a rule allows one of them; without either it is allowed. A null
+    url, or one without a host, has no alias and is allowed. Repeated pages are judged alike. An empty table
+    gives an empty one. Columns named like the new ones are replaced, _address and _blocked
+    are dropped.
     """
     places = parsed(pages, url)
     edges = stored(alias_edges(places, html), "aliases")
     places = places.drop(html)
     known = places.select("host", "path").unionAll(edges.select("to_host", "to_path"))
     decided = stored(matched(known, rules), "decisions")
-    # A host holds no slash and a path begins with one or is empty, so the two joined are one address.
-    node, other = F.concat("host", "path"), F.concat("to_host", "to_path")
-    classes = components(edges.select(node.alias("a"), other.alias("b")))
-    decided = decided.withColumn("node", node).join(classes, "node", "left").drop("node")
-    ruled = decided.where("component IS NOT NULL AND action IS NOT NULL").groupBy("component").agg(
-        (F.bool_or(F.col("action") == "block") & ~F.bool_or(F.col("action") == "allow")).alias("spread"))
-    judged = decided.join(ruled, "component", "left")
-    verdict = F.coalesce("action", F.when(F.col("spread"), "block").otherwise("allow"))
-    judged = judged.select("host", "path", "rule", verdict.alias("verdict"))
-    return places.join(judged, ["host", "path"], "left")
+    classes = stored(components(edges.select(F.col("address").alias("a"), F.col("to_address").alias("b"))), "classes")
+    linked = edges.select("host", "path", "address").unionAll(edges.select("to_host", "to_path", "to_address")).distinct()
+    ruled = linked.join(decided.where("action IS NOT NULL"), ["host", "path"]).join(classes, F.col("address") == F.col("node"))
+    spread = stored(ruled.groupBy("component").agg(
+        (F.bool_or(F.col("action") == "block") & ~F.bool_or(F.col("action") == "allow")).alias("blocked")), "spread")
+    blocked = stored(classes.join(spread.where("blocked"), "component").select(
+        F.col("node").alias("_address"), F.col("blocked").alias("_blocked")), "blocked")
+    ruled_pages = places.join(decided.withColumnRenamed("action", "verdict"), ["host", "path"], "left")
+    verdict = F.coalesce("verdict", F.when(F.col("_blocked"), "block").otherwise("allow"))
+    return ruled_pages.join(blocked, "_address", "left").withColumn("verdict", verdict).drop("_address", "_blocked")
