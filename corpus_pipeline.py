@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import copies, decontaminate, language, mixing, pii
+from subscriber_analytics.llm import decontaminate, language, mixing, pii, simhash
 from subscriber_analytics.llm.arrow import stored
 from subscriber_analytics.llm.registry import PII_KEY
 
@@ -39,15 +39,16 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id.
+    """One document of each group that SimHash links: that of the smallest id.
 
-    Near copies share four fifths of their 5-word shingles. Rows repeated under one id and text are one
-    document. A document without an id stays only where none of its group has one.
+    3-word shingles and at most 2 differing bits, as the operator's contract says. Rows repeated under one id and
+    text are one document. A document without an id stays only where none of its group has one.
     """
-    found = stored(copies.near_copies(docs.select("doc_id", "text")), "near-duplicates")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    found = stored(simhash.near_duplicates(keyed), "near-duplicates")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = stored(found.groupBy("group").agg(F.min(place).alias("first")), "first-of-group")
-    later = found.join(first, "group").where(place != F.col("first"))
+    first = stored(found.groupBy("cluster").agg(F.min(place).alias("first")), "first-of-group")
+    later = found.join(first, "cluster").where(place != F.col("first"))
     losers = later.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     repeated = found.groupBy("doc_id", "text_key").count().where("count > 1").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
