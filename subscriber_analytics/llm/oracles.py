@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express on whole tables.
 
 The others have no such form: keyed pseudonyms, a learned language model, byte-pair merges, 219
-signature rules, covariance steps, repeated byte strings, hashed draws and XXH64 fingerprints. They are tested against
+signature rules, covariance steps, repeated byte strings, hashed draws, XXH64 fingerprints and checksums. They are tested against
 brute force in tests/llm.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import string
 
-from subscriber_analytics.llm import decontaminate, urls
+from subscriber_analytics.llm import decontaminate, phrases, urls
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 _SPLIT = (r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), " + _LOWER + r"), "
@@ -80,5 +80,44 @@ LEFT JOIN spread ON spread.node = own.address
 """
 
 
+_COUNTS = " UNION ALL ".join(
+    f"SELECT lang, {k} AS k, array_to_string(list_slice(w, i, i + {k - 1}), ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces WHERE len(w) >= {k})"
+    for k in range(1, len(phrases.WORDS) + 1))
+
+PHRASES = rf"""
+WITH lines AS (SELECT coalesce(lang, '{phrases.NO_LANG}') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '{phrases.PIECE_ENDS}')) AS piece FROM documents),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '{phrases.BLANKS}'), lambda w: w <> '') AS w FROM lines),
+counted AS (SELECT lang, k, phrase, count(*) AS f FROM ({_COUNTS}) GROUP BY lang, k, phrase),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+found AS (SELECT * FROM counted WHERE f >= {phrases.LEAST_COUNT}),
+chosen AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM found WHERE k > 1),
+cuts AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM chosen),
+sized AS (SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+    (CAST(c.a AS HUGEINT) * {phrases.SCALE} // (CAST(x.f AS HUGEINT) + y.f))::BIGINT AS score
+  FROM cuts c JOIN found x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, c.cut), ' ')
+  JOIN found y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, c.cut + 1, c.k), ' ')),
+best AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, a, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+  FROM (SELECT lang, k, a, w, size, unnest(range(1, k - size + 2)) AS i FROM (
+    SELECT *, unnest(range(2, k)) AS size FROM chosen WHERE k > 2))),
+around AS (SELECT lang, phrase, max(a) AS around FROM inside GROUP BY lang, phrase),
+remaining AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase)
+  WHERE around IS NULL OR CAST(around AS HUGEINT) * 100 < CAST(a AS HUGEINT) * {phrases.COVER_PERCENT})
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM remaining JOIN totals USING (lang)
+QUALIFY rank <= {phrases.TOP}
+"""
+
+EXACT_DEDUP = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS body, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS normal FROM documents),
+placed AS (SELECT *, row_number() OVER longest AS place, first_value(doc_id) OVER longest AS keep_id,
+    count(*) OVER (PARTITION BY normal) AS group_size
+  FROM texts WINDOW longest AS (PARTITION BY normal ORDER BY length(body) DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(normal) AS text_sha256 FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": DECONTAMINATION, "op5_url_filter": URL_FILTER}
+    return {"op1_decontamination": DECONTAMINATION, "op5_url_filter": URL_FILTER, "op11_phrases": PHRASES,
+            "op12_exact_dedup": EXACT_DEDUP}

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscriber_analytics.llm import decontaminate, language, licenses, mixing, pii, quality, simhash, substrings, tokens, urls
+from subscriber_analytics.llm import (
+    decontaminate, language, licenses, mixing, phrases, pii, quality, recipes, simhash, spelling, substrings, tokens, urls,
+)
 
 # The key of a deployment is its own secret; this one is for the queries here.
 PII_KEY = b"key of the registered queries"
@@ -84,6 +86,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recipes.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -96,4 +111,7 @@ def queries() -> dict[str, Query]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
+        "op11_phrases": op11_phrases,
+        "op12_exact_dedup": op12_exact_dedup,
+        "op13_spelling": op13_spelling,
     }

@@ -1,0 +1,78 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from subscriber_analytics.llm import recipes, registry
+from tests.llm.data import LONG, ROWS, documents
+
+SPACES = re.compile(r"[\x20\x09-\x0D]")
+EXTRA = [
+    (20, "ab cd", "en", "a", 1), (21, "a b c d", "en", "a", 1), (19, "abcd  \n ", "en", "a", 1), (18, " abcd    ", "en", "a", 1),
+    (22, LONG.replace(" ", "  "), "en", "a", 1), (23, LONG[:-1], "en", "a", 1), (24, "abdc", "en", "a", 1),
+    (None, "abcd", "en", "a", 1), (25, "🙂 🙂🙂", "en", "a", 1), (26, "🙂🙂🙂", "en", "a", 1), (27, "ab cd", "en", "a", 1),
+]
+
+
+def brute(rows):
+    """rows of (doc_id, text): sorted (doc_id, keep_id, group_size, kept, sha)."""
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[SPACES.sub("", text or "")].append((-len(text or ""), doc is None, doc or 0, doc))
+    found = []
+    for normal, members in groups.items():
+        members.sort(key=lambda m: m[:3])
+        digest = hashlib.sha256(normal.encode()).hexdigest()
+        found += [(m[3], members[0][3], len(members), n == 0, digest) for n, m in enumerate(members)]
+    return sorted(found, key=repr)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=repr)
+
+
+def weak(body):
+    return F.crc32(body) % 7
+
+
+@pytest.mark.parametrize("identify", [recipes.chunk_hash, weak, lambda body: F.length(body).cast("long")])
+def test_awkward_rows_are_the_brute_force_ones(spark, identify):
+    rows = [*ROWS, *EXTRA]
+    docs = documents(spark, rows).withColumns({c: F.lit("mine") for c in ("Kept", "own", "row", "id", "recipe", "places", "first", "hash", "size")})
+    got = recipes.judge(docs, identify=identify)
+    assert rows_of(got) == brute([(r[0], r[1]) for r in rows])
+    assert {r["row"] for r in got.collect()} == {"mine"} and "text" not in got.columns
+    assert recipes.judge(docs.limit(0), identify=identify).collect() == []
+
+
+def test_chunks_are_the_text_and_meet_again_behind_an_edit(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(400)]
+    body = "".join(words[k] for k in rng.integers(0, 400, 20_000))
+    texts = [body, "x" + body, body[:50_000] + "é🙂" + body[50_000:], "a" * 10_000, "日本語" * 3_000, ""]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    found = {r["k"]: [bytes(b) for b in r["c"]] for r in table.select("k", recipes.chunks(F.col("text")).alias("c")).collect()}
+    for k, text in enumerate(texts):
+        assert b"".join(found[k]) == text.encode()
+        assert all(len(c) <= recipes.MOST for c in found[k]) and all(len(c) >= recipes.LEAST for c in found[k][:-1])
+    for k in (1, 2):
+        assert len(set(found[0]) & set(found[k])) > 0.8 * len(set(found[0]))
+
+
+def test_rows_that_stay_are_whole(spark):
+    rows = [*ROWS, *EXTRA]
+    left = recipes.drop_copies(documents(spark, rows))
+    assert left.columns == documents(spark, rows).columns
+    want = [r[0] for r in brute([(r[0], r[1]) for r in rows]) if r[3]]
+    got = left.collect()
+    assert sorted((r["doc_id"] for r in got), key=repr) == sorted(want, key=repr)
+    assert all(tuple(r) in rows for r in got)
+
+
+def test_query_is_the_brute_force_one(spark):
+    path = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    assert rows_of(registry.queries()["op12_exact_dedup"](spark, path)) == brute(docs)
