@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from subscriber_analytics.llm.arrow import stored
+from subscriber_analytics.llm.arrow import blocks, flat, prepare, stored
 
 LEAST_COUNT = 30
 TOP = 2000
@@ -19,27 +23,163 @@ WORDS = ("w1", "w2", "w3", "w4")
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 BLANKS = r"[\x20\x09]+"
 NO_LANG = "und"
+# Bytes of text whose windows are counted together before the shuffle; a longer text is a block of its own.
+BLOCK_BYTES = 8 << 20
+# A word is common with more than this share of all words, so there are fewer common words than this. Windows
+# that begin with two common words are dealt by their other words too.
+COMMON = 256
+SALTS = 64
+
+WINDOW_FIELDS = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("pair", T.StringType()), T.StructField("rest", T.StringType()),
+    T.StructField("common", T.BooleanType()), T.StructField("f", T.LongType())])
+WORD_FIELDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("f", T.LongType())])
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_END = np.zeros(256, bool)
+_END[[*b".,;:!?", 10, 11, 12, 13]] = True
+_WORD = ~_END
+_WORD[[9, 32]] = False
+
+
+def _words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """The lower-cased words of all texts, the text of each, and whether the next word is in the same piece."""
+    data, offsets = flat(texts)
+    word = _WORD[data]
+    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    first[begins] = word[begins]
+    last[:-1] &= ~word[1:]
+    last[begins[1:] - 1] = word[begins[1:] - 1]
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    bounds = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(stops - starts, out=bounds[1:])
+    body = _LOWER[data[word]]
+    found = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(body)])
+    owner = np.searchsorted(offsets[1:], starts, side="right")
+    piece = np.searchsorted(np.flatnonzero(_END[data]), starts)
+    same = np.zeros(len(starts), bool)
+    same[:-1] = (owner[1:] == owner[:-1]) & (piece[1:] == piece[:-1])
+    return found.dictionary_encode(), owner, same
+
+
+def _taken(words: pa.Array, codes: np.ndarray) -> pa.Array:
+    return words.take(pa.array(codes, mask=codes < 0))
+
+
+def _counted_windows(texts: pa.Array, langs: pa.Array, common: pa.Array) -> pa.RecordBatch:
+    """The windows of a block in the order of their words' codes, each once with its count."""
+    words, owner, same = _words(texts)
+    langs = langs.fill_null(NO_LANG).dictionary_encode()
+    lead = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    columns, within = [lead], same
+    for k in range(1, len(WORDS)):
+        ahead = np.full(len(lead), -1, np.int64)
+        ahead[:-k] = np.where(within[:-k], lead[k:], -1)
+        columns.append(ahead)
+        within = within & np.r_[same[k:], np.zeros(min(k, len(same)), bool)]
+    lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
+    keys = ((lang << 32) | columns[0], ((columns[1] + 1) << 32) | (columns[2] + 1), columns[3])
+    order = np.lexsort(keys[::-1])
+    changed = np.zeros(len(order), bool)
+    changed[:1] = True
+    for key in keys:
+        changed[1:] |= key[order[1:]] != key[order[:-1]]
+    at = np.flatnonzero(changed)
+    rows = order[at]
+    known = words.dictionary
+    w1, w2, w3, w4 = (_taken(known, c[rows]) for c in columns)
+    is_common = pc.is_in(known, value_set=common).to_numpy(zero_copy_only=False)
+    both = is_common[columns[0][rows]] & (columns[1][rows] >= 0) & is_common[columns[1][rows]] if len(known) else np.zeros(0, bool)
+
+    def joined(a: pa.Array, b: pa.Array) -> pa.Array:
+        # Words hold no spaces.
+        return pc.ascii_rtrim(pc.binary_join_element_wise(a.fill_null(""), b.fill_null(""), " "), " ")
+
+    return pa.RecordBatch.from_arrays(
+        [langs.dictionary.take(pa.array(lang[rows])), joined(w1, w2), joined(w3, w4), pa.array(both),
+         pa.array(np.diff(np.r_[at, len(order)]))], names=WINDOW_FIELDS.names)
+
+
+def _counted_words(texts: pa.Array) -> pa.RecordBatch:
+    words, _, _ = _words(texts)
+    counts = np.bincount(words.indices.to_numpy(zero_copy_only=False), minlength=len(words.dictionary))
+    return pa.RecordBatch.from_arrays([words.dictionary, pa.array(counts.astype(np.int64))], names=WORD_FIELDS.names)
+
+
+def _large_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of about BLOCK_BYTES of text."""
+    held, size = [], 0
+    for batch in batches:
+        for part in blocks(batch, "text", BLOCK_BYTES):
+            held.append(part)
+            size += part.nbytes
+            if size >= BLOCK_BYTES:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).cast(pa.string())
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+
+
+def common_words(docs: DataFrame) -> list[str]:
+    """The words with more than 1 / COMMON of all words of docs (text), so fewer than COMMON."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _large_blocks(batches):
+            yield _counted_words(_column(table, "text"))
+
+    counted = stored(docs.select("text").mapInArrow(run, WORD_FIELDS).groupBy("word").agg(F.sum("f").alias("f")), "word-counts")
+    total = counted.agg(F.sum("f")).first()[0] or 0
+    return sorted(r["word"] for r in counted.where(F.col("f").cast("decimal(20,0)") * COMMON > total).collect())
+
+
+def windows(docs: DataFrame, common: list[str]) -> DataFrame:
+    """(lang, pair, rest, common, f) of docs (text, lang): the windows of a block of texts, each with its count.
+
+    A window is a word and the three that follow it in its piece, or fewer at the piece's end: the first two in
+    pair, the others in rest. common tells that both words of the pair are common ones.
+    """
+    hot = pa.array(common, pa.string())
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _large_blocks(batches):
+            yield _counted_windows(_column(table, "text"), _column(table, "lang"), hot)
 
-def windows(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, w1 to w4): a row for each word, with the three that follow it in its piece, null beyond the end."""
-    low = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    pieces = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(NO_LANG)).alias("lang"), F.explode(F.split(low, PIECE_ENDS)).alias("piece"))
-    words = pieces.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).where("piece <> ''").select(
-        "lang", F.split("piece", BLANKS).alias("w"))
-    leads = [F.slice("w", k + 1, F.size("w")) for k in range(len(WORDS))]
-    return words.select("lang", F.inline(F.arrays_zip(*leads))).toDF("lang", *WORDS)
+    return docs.select("text", "lang").mapInArrow(run, WINDOW_FIELDS)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT) -> DataFrame:
     """(lang, k, phrase, f): phrases of k = 1 to 4 words with at least ``least`` occurrences, and all words as k = 0.
 
     Only whole windows are counted; the ROLLUP over (w1, w2, w3, w4) adds them up to the phrases they begin with.
-    A window that is rarer than ``least`` is no phrase of four words: its last word is hidden like padding before
-    the ROLLUP, so those windows meet again in one row and still count for their beginnings.
+    Windows of one pair of words meet in one task, where a beginning that is rarer than ``least`` shows: it is no
+    phrase, so its last words are hidden like padding before the ROLLUP, and nearly nothing is moved again. The
+    windows of two common words, the only ones that many rows may share, are dealt over SALTS tasks; of these only
+    whole windows are hidden, as a task has but part of their beginnings.
     """
-    full = windows(docs, text, lang).groupBy("lang", *WORDS).agg(F.count("*").alias("f"))
-    shown = full.withColumn(WORDS[-1], F.when(F.col("f") >= least, F.col(WORDS[-1])))
+    prepare(docs.sparkSession)
+    plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    salt = F.when(F.col("common"), F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
+    dealt = windows(plain, common_words(plain)).select("lang", "pair", "rest", salt.alias("salt"), "f").repartition("lang", "pair", "salt")
+    third, fourth = F.substring_index("rest", " ", 1), F.substring_index("rest", " ", -1)
+    both = F.col("rest").contains(" ")
+    split = dealt.select("lang", "pair", "salt", F.when(F.col("rest") != "", third).alias("w3"), F.when(both, fourth).alias("w4"), "f")
+    group = ["lang", "pair", "salt"]
+    totals = split
+    for depth, columns in ((4, ["w3", "w4"]), (3, ["w3"]), (2, [])):
+        totals = totals.withColumn(f"f{depth}", F.sum("f").over(W.partitionBy(*group, *columns)))
+    alone = F.col("salt") == 0
+    shown = totals.select(
+        "lang", F.substring_index("pair", " ", 1).alias("w1"),
+        F.when(F.col("pair").contains(" ") & (~alone | (F.col("f2") >= least)), F.substring_index("pair", " ", -1)).alias("w2"),
+        F.when(~alone | (F.col("f3") >= least), F.col("w3")).alias("w3"),
+        F.when(F.col("f4") >= least, F.col("w4")).alias("w4"), "f")
     summed = shown.rollup("lang", *WORDS).agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out"))
     # Bit j of left_out tells that the j-th grouping column from the right was summed over.
     level = F.when(F.col("left_out") == (1 << len(WORDS)) - 1, 0)

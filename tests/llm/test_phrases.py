@@ -51,6 +51,16 @@ def test_awkward_rows_are_the_brute_force_ones(spark, top):
     assert phrases.collocations(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("common", [1, 4, 1000])
+def test_common_pairs_are_dealt_and_counted_whole(spark, monkeypatch, common):
+    rows = [("a b " * 3000, "en"), ("a b c a b d. " * 500, "en"), ("a b", None), (" ".join(f"a b x{k}" for k in range(2000)), "en")]
+    monkeypatch.setattr(phrases, "COMMON", common)
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    words = phrases.common_words(docs)
+    assert words == {1: [], 4: ["a", "b"]}.get(common, ["a", "b", "c", "d"])
+    assert sorted(tuple(r) for r in phrases.collocations(docs).collect()) == brute(rows, 30)
+
+
 def test_products_pass_64_bits(spark):
     big = 10 ** 17
     counts = [("en", 0, "", 9 * big), ("en", 1, "a", 3 * big), ("en", 1, "b", 2 * big), ("en", 2, "a b", big + 1)]
