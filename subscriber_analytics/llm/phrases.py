@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -25,14 +26,21 @@ BLANKS = r"[\x20\x09]+"
 NO_LANG = "und"
 # Bytes of text whose windows are counted together before the shuffle; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
+OUT_ROWS = 50_000
+# The most frequent words are short numbers in the shuffle, all others are written out. So many, of so many
+# characters at most: that bounds what is sent to every task.
+CODED_WORDS, CODED_LETTERS = 50_000, 40
 # A word is common with more than this share of all words, so there are fewer common words than this. Windows
 # that begin with two common words are dealt by their other words too.
 COMMON = 256
 SALTS = 64
+# Digits of the numbers: printable, without the blank between words and the mark of a word written out.
+DIGITS = "".join(chr(c) for c in range(35, 127))
+SPELLED = "!"
 
-WINDOW_FIELDS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("pair", T.StringType()), T.StructField("rest", T.StringType()),
-    T.StructField("common", T.BooleanType()), T.StructField("f", T.LongType())])
+PAIR_FIELDS = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("pair", T.StringType()), T.StructField("salt", T.IntegerType()),
+    T.StructField("f", T.LongType()), T.StructField("rests", T.StringType())])
 WORD_FIELDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("f", T.LongType())])
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,42 +73,64 @@ def _words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]
     return found.dictionary_encode(), owner, same
 
 
-def _taken(words: pa.Array, codes: np.ndarray) -> pa.Array:
-    return words.take(pa.array(codes, mask=codes < 0))
+def _number(place: int) -> str:
+    """The place of a word as digits: fewer for the more frequent."""
+    digits, place = "", place + 1
+    while place:
+        place, digit = divmod(place - 1, len(DIGITS))
+        digits = DIGITS[digit] + digits
+    return digits
 
 
-def _counted_windows(texts: pa.Array, langs: pa.Array, common: pa.Array) -> pa.RecordBatch:
-    """The windows of a block in the order of their words' codes, each once with its count."""
+def _coded(words: pa.Array, coded: pa.Array) -> pa.Array:
+    """Each word as its number among the coded ones, or written out behind the mark."""
+    numbers = pa.array([_number(k) for k in range(len(coded))], pa.string())
+    spelled = pc.binary_join_element_wise(pa.scalar(SPELLED), words, "")
+    return pc.coalesce(numbers.take(pc.index_in(words, value_set=coded)), spelled)
+
+
+def _joined(tokens: pa.Array, first: np.ndarray, second: np.ndarray) -> pa.Array:
+    """Two words with a blank between them; -1 is no word."""
+    a, b = (tokens.take(pa.array(c, mask=c < 0)).fill_null("") for c in (first, second))
+    return pc.ascii_rtrim(pc.binary_join_element_wise(a, b, " "), " ")
+
+
+def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common: int) -> pa.RecordBatch:
+    """The windows of a block: for each pair of first words their number, and all ends with theirs."""
     words, owner, same = _words(texts)
     langs = langs.fill_null(NO_LANG).dictionary_encode()
+    known = words.dictionary
     lead = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    columns, within = [lead], same
+    leads, within = [lead], same
     for k in range(1, len(WORDS)):
         ahead = np.full(len(lead), -1, np.int64)
         ahead[:-k] = np.where(within[:-k], lead[k:], -1)
-        columns.append(ahead)
+        leads.append(ahead)
         within = within & np.r_[same[k:], np.zeros(min(k, len(same)), bool)]
+    hashes = np.r_[pd.util.hash_array(known.to_numpy(zero_copy_only=False), categorize=False), np.uint64(0)]
+    hot = np.r_[pc.is_in(known, value_set=coded[:common]).to_numpy(zero_copy_only=False).astype(bool), False]
+    mixed = (hashes[leads[2]] * np.uint64(31) + hashes[leads[3]]) >> np.uint64(32)
+    salt = np.where(hot[lead] & hot[leads[1]], (mixed % np.uint64(SALTS)).astype(np.int64) + 1, 0)
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    keys = ((lang << 32) | columns[0], ((columns[1] + 1) << 32) | (columns[2] + 1), columns[3])
-    order = np.lexsort(keys[::-1])
-    changed = np.zeros(len(order), bool)
-    changed[:1] = True
-    for key in keys:
-        changed[1:] |= key[order[1:]] != key[order[:-1]]
-    at = np.flatnonzero(changed)
-    rows = order[at]
-    known = words.dictionary
-    w1, w2, w3, w4 = (_taken(known, c[rows]) for c in columns)
-    is_common = pc.is_in(known, value_set=common).to_numpy(zero_copy_only=False)
-    both = is_common[columns[0][rows]] & (columns[1][rows] >= 0) & is_common[columns[1][rows]] if len(known) else np.zeros(0, bool)
-
-    def joined(a: pa.Array, b: pa.Array) -> pa.Array:
-        # Words hold no spaces.
-        return pc.ascii_rtrim(pc.binary_join_element_wise(a.fill_null(""), b.fill_null(""), " "), " ")
-
+    start = (lang << 32) | lead, ((leads[1] + 1) << 8) | salt
+    end = ((leads[2] + 1) << 32) | (leads[3] + 1)
+    order = np.lexsort((end, start[1], start[0]))
+    new_pair = np.ones(len(order), bool)
+    new_pair[1:] = (np.diff(start[0][order]) != 0) | (np.diff(start[1][order]) != 0)
+    new_end = new_pair.copy()
+    new_end[1:] |= np.diff(end[order]) != 0
+    pairs, ends = np.flatnonzero(new_pair), np.flatnonzero(new_end)
+    counts = np.diff(np.r_[ends, len(order)])
+    tokens = _coded(known, coded)
+    rests = _joined(tokens, leads[2][order[ends]], leads[3][order[ends]])
+    many = pc.binary_join_element_wise(pa.scalar("\r"), pa.array(counts).cast(pa.string()), "")
+    items = pc.binary_join_element_wise(rests, pc.if_else(pa.array(counts == 1), "", many), "")
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[np.searchsorted(ends, pairs), len(ends)].astype(np.int32)), items)
+    rows = order[pairs]
     return pa.RecordBatch.from_arrays(
-        [langs.dictionary.take(pa.array(lang[rows])), joined(w1, w2), joined(w3, w4), pa.array(both),
-         pa.array(np.diff(np.r_[at, len(order)]))], names=WINDOW_FIELDS.names)
+        [langs.dictionary.take(pa.array(lang[rows])), _joined(tokens, lead[rows], leads[1][rows]),
+         pa.array(salt[rows].astype(np.int32)), pa.array(np.diff(np.r_[pairs, len(order)])), pc.binary_join(lists, "\n")],
+        names=PAIR_FIELDS.names)
 
 
 def _counted_words(texts: pa.Array) -> pa.RecordBatch:
@@ -128,30 +158,49 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
-def common_words(docs: DataFrame) -> list[str]:
-    """The words with more than 1 / COMMON of all words of docs (text), so fewer than COMMON."""
+def frequent_words(docs: DataFrame) -> tuple[list[str], int]:
+    """The most frequent words of docs (text), at most CODED_WORDS, and how many of them are common ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _large_blocks(batches):
-            yield _counted_words(_column(table, "text"))
+            made = _counted_words(_column(table, "text"))
+            yield from (made.slice(k, OUT_ROWS) for k in range(0, made.num_rows, OUT_ROWS))
 
     counted = stored(docs.select("text").mapInArrow(run, WORD_FIELDS).groupBy("word").agg(F.sum("f").alias("f")), "word-counts")
     total = counted.agg(F.sum("f")).first()[0] or 0
-    return sorted(r["word"] for r in counted.where(F.col("f").cast("decimal(20,0)") * COMMON > total).collect())
+    best = counted.where(F.length("word") <= CODED_LETTERS).orderBy(F.desc("f"), "word").limit(CODED_WORDS).collect()
+    return [r["word"] for r in best], sum(r["f"] * COMMON > total for r in best)
 
 
-def windows(docs: DataFrame, common: list[str]) -> DataFrame:
-    """(lang, pair, rest, common, f) of docs (text, lang): the windows of a block of texts, each with its count.
+def windows(docs: DataFrame, coded: list[str], common: int) -> DataFrame:
+    """(lang, pair, salt, f, rests) of docs (text, lang): the windows of a block of texts.
 
-    A window is a word and the three that follow it in its piece, or fewer at the piece's end: the first two in
-    pair, the others in rest. common tells that both words of the pair are common ones.
+    A window is a word and the three that follow it in its piece, or fewer at the piece's end. Those of a block that
+    share their first two words are one row: f is their number and rests the ends, one a line, each with its
+    number behind a carriage return if it is not 1. Words are numbers or written out, as _coded says. salt is
+    positive for pairs of two common words, which have a row for each salt of the end.
     """
-    hot = pa.array(common, pa.string())
+    known = pa.array(coded, pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _large_blocks(batches):
-            yield _counted_windows(_column(table, "text"), _column(table, "lang"), hot)
+            made = _counted_windows(_column(table, "text"), _column(table, "lang"), known, common)
+            yield from (made.slice(k, OUT_ROWS) for k in range(0, made.num_rows, OUT_ROWS))
+
+    return docs.select("text", "lang").mapInArrow(run, PAIR_FIELDS)
+
+
+def _spelled(phrase: str, docs: DataFrame, coded: list[str]) -> DataFrame:
+    """docs with the numbers in its column ``phrase`` replaced by their words."""
+    words = {_number(k): word for k, word in enumerate(coded)}
+    place, schema = docs.columns.index(phrase), docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            full = [" ".join(t[1:] if t[:1] == SPELLED else words[t] for t in p.split(" ")) if p else p
+                    for p in batch.column(phrase).to_pylist()]
+            yield batch.set_column(place, phrase, pa.array(full, pa.string()))
 
-    return docs.select("text", "lang").mapInArrow(run, WINDOW_FIELDS)
+    return docs.mapInArrow(run, schema)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT) -> DataFrame:
@@ -165,21 +214,27 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    salt = F.when(F.col("common"), F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
-    dealt = windows(plain, common_words(plain)).select("lang", "pair", "rest", salt.alias("salt"), "f").repartition("lang", "pair", "salt")
-    third, fourth = F.substring_index("rest", " ", 1), F.substring_index("rest", " ", -1)
-    both = F.col("rest").contains(" ")
-    split = dealt.select("lang", "pair", "salt", F.when(F.col("rest") != "", third).alias("w3"), F.when(both, fourth).alias("w4"), "f")
+    coded, common = frequent_words(plain)
     group = ["lang", "pair", "salt"]
-    totals = split
-    for depth, columns in ((4, ["w3", "w4"]), (3, ["w3"]), (2, [])):
-        totals = totals.withColumn(f"f{depth}", F.sum("f").over(W.partitionBy(*group, *columns)))
-    alone = F.col("salt") == 0
-    shown = totals.select(
-        "lang", F.substring_index("pair", " ", 1).alias("w1"),
-        F.when(F.col("pair").contains(" ") & (~alone | (F.col("f2") >= least)), F.substring_index("pair", " ", -1)).alias("w2"),
-        F.when(~alone | (F.col("f3") >= least), F.col("w3")).alias("w3"),
+    dealt = windows(plain, coded, common).repartition(*group)
+    dealt = dealt.withColumn("all", F.sum("f").over(W.partitionBy(*group)))
+    shared = (F.col("salt") > 0) | (F.col("all") >= least)
+    first, second = F.substring_index("pair", " ", 1), F.substring_index("pair", " ", -1)
+    none = F.lit(None).cast("string")
+    rare = dealt.where(~shared).groupBy("lang", first.alias("w1")).agg(F.sum("f").alias("f"))
+    ends = dealt.where(shared).select(*group, F.explode(F.split("rests", "\n")).alias("end"))
+    rest = F.substring_index("end", "\r", 1)
+    ends = ends.select(*group, rest.alias("rest"), F.when(F.col("end").contains("\r"), F.substring_index("end", "\r", -1).cast("long"))
+                       .otherwise(1).alias("f"))
+    ends = ends.select(*group, F.when(F.col("rest") != "", F.substring_index("rest", " ", 1)).alias("w3"),
+                       F.when(F.col("rest").contains(" "), F.substring_index("rest", " ", -1)).alias("w4"), "f")
+    ends = ends.withColumn("f4", F.sum("f").over(W.partitionBy(*group, "w3", "w4")))
+    ends = ends.withColumn("f3", F.sum("f").over(W.partitionBy(*group, "w3")))
+    shown = ends.select(
+        "lang", first.alias("w1"), F.when(F.col("pair").contains(" "), second).alias("w2"),
+        F.when((F.col("salt") > 0) | (F.col("f3") >= least), F.col("w3")).alias("w3"),
         F.when(F.col("f4") >= least, F.col("w4")).alias("w4"), "f")
+    shown = shown.unionAll(rare.select("lang", "w1", none, none, none, "f"))
     summed = shown.rollup("lang", *WORDS).agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out"))
     # Bit j of left_out tells that the j-th grouping column from the right was summed over.
     level = F.when(F.col("left_out") == (1 << len(WORDS)) - 1, 0)
@@ -188,7 +243,8 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
         here = F.col("left_out") == (1 << (len(WORDS) - k)) - 1
         level = level.when(here, k)
         whole |= here & F.col(word).isNotNull() & (F.col("f") >= least)
-    return summed.where(whole).select("lang", level.alias("k"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    found = summed.where(whole).select("lang", level.alias("k"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    return _spelled("phrase", found, coded)
 
 
 def _part(first: Column, size: Column) -> Column:

@@ -51,16 +51,24 @@ def test_awkward_rows_are_the_brute_force_ones(spark, top):
     assert phrases.collocations(docs.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("common", [1, 4, 1000])
-def test_common_pairs_are_dealt_and_counted_whole(spark, monkeypatch, common):
-    rows = [("a b " * 3000, "en"), ("a b c a b d. " * 500, "en"), ("a b", None), (" ".join(f"a b x{k}" for k in range(2000)), "en")]
+@pytest.mark.parametrize("common, coded", [(1, 50_000), (4, 2), (4, 0), (1000, 50_000)])
+def test_common_pairs_are_dealt_and_counted_whole(spark, monkeypatch, common, coded):
+    rows = [("a b " * 3000, "en"), ("a b c a b d. " * 500, "en"), ("a b", None), (" ".join(f"a b x{k}" for k in range(2000)), "en"),
+            ("# $! # $; " * 40 + "z" * 50 + " ! 1 " + ("z" * 50 + " # ") * 40, "en")]
     monkeypatch.setattr(phrases, "COMMON", common)
+    monkeypatch.setattr(phrases, "CODED_WORDS", coded)
     docs = spark.createDataFrame(rows, "text string, lang string")
-    words = phrases.common_words(docs)
-    assert words == {1: [], 4: ["a", "b"]}.get(common, ["a", "b", "c", "d"])
+    words, most = phrases.frequent_words(docs)
+    assert len(words) <= coded and set(words[:most]) <= {"a", "b", "c", "d", "#", "$"} and most == min(coded, {1: 0, 4: 2, 1000: 6}[common])
     assert sorted(tuple(r) for r in phrases.collocations(docs).collect()) == brute(rows, 30)
 
 
+def test_numbers_are_short_and_distinct():
+    made = [phrases._number(k) for k in range(20_000)]
+    assert len(set(made)) == len(made) and len(made[0]) == 1 and max(map(len, made)) == 3
+    assert not any(set(m) & set(" !\t\r\n") for m in made)
+
+
 def test_products_pass_64_bits(spark):
     big = 10 ** 17
     counts = [("en", 0, "", 9 * big), ("en", 1, "a", 3 * big), ("en", 1, "b", 2 * big), ("en", 2, "a b", big + 1)]
