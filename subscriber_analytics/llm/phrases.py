@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +39,7 @@ SALTS = 64
 DIGITS = "".join(chr(c) for c in range(35, 127))
 SPELLED = "!"
 
-PAIR_FIELDS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("pair", T.StringType()), T.StructField("salt", T.IntegerType()),
-    T.StructField("f", T.LongType()), T.StructField("rests", T.StringType())])
+PAIR_FIELDS = T.StructType([T.StructField("line", T.StringType())])
 WORD_FIELDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("f", T.LongType())])
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -127,10 +126,15 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common:
     items = pc.binary_join_element_wise(rests, pc.if_else(pa.array(counts == 1), "", many), "")
     lists = pa.ListArray.from_arrays(pa.array(np.r_[np.searchsorted(ends, pairs), len(ends)].astype(np.int32)), items)
     rows = order[pairs]
+    names = langs.dictionary
+    for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n")):
+        names = pc.replace_substring(names, plain, escaped)
+    salts = pc.binary_join_element_wise(pa.scalar("\t"), pa.array(salt[rows]).cast(pa.string()), "")
+    group = pc.binary_join_element_wise(names.take(pa.array(lang[rows])), _joined(tokens, lead[rows], leads[1][rows]), "\t")
+    group = pc.binary_join_element_wise(group, pc.if_else(pa.array(salt[rows] > 0), salts, ""), "")
+    size = pa.array(np.diff(np.r_[pairs, len(order)])).cast(pa.string())
     return pa.RecordBatch.from_arrays(
-        [langs.dictionary.take(pa.array(lang[rows])), _joined(tokens, lead[rows], leads[1][rows]),
-         pa.array(salt[rows].astype(np.int32)), pa.array(np.diff(np.r_[pairs, len(order)])), pc.binary_join(lists, "\n")],
-        names=PAIR_FIELDS.names)
+        [pc.binary_join_element_wise(group, size, pc.binary_join(lists, "\n"), "\n")], names=PAIR_FIELDS.names)
 
 
 def _counted_words(texts: pa.Array) -> pa.RecordBatch:
@@ -172,12 +176,12 @@ def frequent_words(docs: DataFrame) -> tuple[list[str], int]:
 
 
 def windows(docs: DataFrame, coded: list[str], common: int) -> DataFrame:
-    """(lang, pair, salt, f, rests) of docs (text, lang): the windows of a block of texts.
+    """Lines of the windows of a block of texts, for docs (text, lang).
 
     A window is a word and the three that follow it in its piece, or fewer at the piece's end. Those of a block that
-    share their first two words are one row: f is their number and rests the ends, one a line, each with its
-    number behind a carriage return if it is not 1. Words are numbers or written out, as _coded says. salt is
-    positive for pairs of two common words, which have a row for each salt of the end.
+    share their first two words are one text: the group, their number, and all ends, one a line, each with its
+    number behind a carriage return if it is not 1. The group is the language (escaped), the pair and, for
+    pairs of two common words, a salt of the end, behind tabs. Words are numbers or written out, as _coded says.
     """
     known = pa.array(coded, pa.string())
 
@@ -189,16 +193,20 @@ def windows(docs: DataFrame, coded: list[str], common: int) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(run, PAIR_FIELDS)
 
 
-def _spelled(phrase: str, docs: DataFrame, coded: list[str]) -> DataFrame:
-    """docs with the numbers in its column ``phrase`` replaced by their words."""
+def _spelled(docs: DataFrame, coded: list[str]) -> DataFrame:
+    """docs (lang, phrase, ...) with the numbers of the words replaced by the words, and lang as it was."""
     words = {_number(k): word for k, word in enumerate(coded)}
-    place, schema = docs.columns.index(phrase), docs.schema
+    plain = {"\\\\": "\\", "\\t": "\t", "\\n": "\n"}
+    schema, places = docs.schema, [docs.columns.index(c) for c in ("lang", "phrase")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            langs = [re.sub(r"\\[\\tn]", lambda m: plain[m[0]], name) for name in batch.column("lang").to_pylist()]
             full = [" ".join(t[1:] if t[:1] == SPELLED else words[t] for t in p.split(" ")) if p else p
-                    for p in batch.column(phrase).to_pylist()]
-            yield batch.set_column(place, phrase, pa.array(full, pa.string()))
+                    for p in batch.column("phrase").to_pylist()]
+            for place, name, values in zip(places, ("lang", "phrase"), (langs, full), strict=True):
+                batch = batch.set_column(place, name, pa.array(values, pa.string()))
+            yield batch
 
     return docs.mapInArrow(run, schema)
 
@@ -215,25 +223,30 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     prepare(docs.sparkSession)
     plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     coded, common = frequent_words(plain)
-    group = ["lang", "pair", "salt"]
-    dealt = windows(plain, coded, common).repartition(*group)
-    dealt = dealt.withColumn("all", F.sum("f").over(W.partitionBy(*group)))
-    shared = (F.col("salt") > 0) | (F.col("all") >= least)
-    first, second = F.substring_index("pair", " ", 1), F.substring_index("pair", " ", -1)
-    none = F.lit(None).cast("string")
-    rare = dealt.where(~shared).groupBy("lang", first.alias("w1")).agg(F.sum("f").alias("f"))
-    ends = dealt.where(shared).select(*group, F.explode(F.split("rests", "\n")).alias("end"))
+    group, size = F.substring_index("line", "\n", 1), F.split_part(F.col("line"), F.lit("\n"), F.lit(2)).cast("long")
+    # The filter that a join would put there, so that all three readers share one shuffle.
+    dealt = windows(plain, coded, common).where(group.isNotNull()).repartition(group).withColumn("group", group)
+    salted = F.size(F.split("group", "\t")) > 2
+    pair = F.split_part(F.col("group"), F.lit("\t"), F.lit(2))
+    named = [F.substring_index("group", "\t", 1).alias("lang"), F.substring_index(pair, " ", 1).alias("w1")]
+    pairs = dealt.groupBy("group").agg(F.sum(size).alias("f"), F.bool_or(salted).alias("salted"))
+    pairs = pairs.withColumn("shared", F.col("salted") | (F.col("f") >= least))
+    rare = pairs.where("NOT shared").select(*named, "f").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
+    ends = dealt.join(pairs.where("shared").select("group").hint("shuffle_hash"), "group", "left_semi")
+    ends = ends.select("group", F.explode(F.expr("slice(split(line, '\n'), 3, length(line))")).alias("end"))
     rest = F.substring_index("end", "\r", 1)
-    ends = ends.select(*group, rest.alias("rest"), F.when(F.col("end").contains("\r"), F.substring_index("end", "\r", -1).cast("long"))
+    ends = ends.select("group", rest.alias("rest"), F.when(F.col("end").contains("\r"), F.substring_index("end", "\r", -1).cast("long"))
                        .otherwise(1).alias("f"))
-    ends = ends.select(*group, F.when(F.col("rest") != "", F.substring_index("rest", " ", 1)).alias("w3"),
+    ends = ends.select("group", F.when(F.col("rest") != "", F.substring_index("rest", " ", 1)).alias("w3"),
                        F.when(F.col("rest").contains(" "), F.substring_index("rest", " ", -1)).alias("w4"), "f")
-    ends = ends.withColumn("f4", F.sum("f").over(W.partitionBy(*group, "w3", "w4")))
-    ends = ends.withColumn("f3", F.sum("f").over(W.partitionBy(*group, "w3")))
+    ends = ends.withColumn("f4", F.sum("f").over(W.partitionBy("group", "w3", "w4")))
+    # With f4 in it this sum stays behind the other, whose sort serves both.
+    ends = ends.withColumn("f3", F.sum(F.when(F.col("f4") > 0, F.col("f"))).over(W.partitionBy("group", "w3")))
     shown = ends.select(
-        "lang", first.alias("w1"), F.when(F.col("pair").contains(" "), second).alias("w2"),
-        F.when((F.col("salt") > 0) | (F.col("f3") >= least), F.col("w3")).alias("w3"),
+        *named, F.when(pair.contains(" "), F.substring_index(pair, " ", -1)).alias("w2"),
+        F.when(salted | (F.col("f3") >= least), F.col("w3")).alias("w3"),
         F.when(F.col("f4") >= least, F.col("w4")).alias("w4"), "f")
+    none = F.lit(None).cast("string")
     shown = shown.unionAll(rare.select("lang", "w1", none, none, none, "f"))
     summed = shown.rollup("lang", *WORDS).agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out"))
     # Bit j of left_out tells that the j-th grouping column from the right was summed over.
@@ -244,7 +257,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
         level = level.when(here, k)
         whole |= here & F.col(word).isNotNull() & (F.col("f") >= least)
     found = summed.where(whole).select("lang", level.alias("k"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
-    return _spelled("phrase", found, coded)
+    return _spelled(found, coded)
 
 
 def _part(first: Column, size: Column) -> Column:

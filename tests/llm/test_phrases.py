@@ -42,7 +42,7 @@ def brute(rows, least, top=2000, cover=80):
 
 @pytest.mark.parametrize("top", [2000, 3])
 def test_awkward_rows_are_the_brute_force_ones(spark, top):
-    more = [(50 + k, "A b, a b. a B a b\tc! à la là\r\x0b a b a b c d e a b c", lang, "s", 1) for k, lang in enumerate(["en", None, "und", "zz", "en"])]
+    more = [(50 + k, "A b, a b. a B a b\tc! à la là\r\x0b a b a b c d e a b c", lang, "s", 1) for k, lang in enumerate(["en", None, "und", "z\t\\t\nz", "en"])]
     rows = [*ROWS, *more]
     docs = documents(spark, rows).withColumns({c: F.lit(7) for c in ("w1", "k", "f", "phrase", "piece", "n")})
     got = phrases.collocations(docs, least=2, top=top)
