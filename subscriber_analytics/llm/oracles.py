@@ -82,7 +82,7 @@ LEFT JOIN spread ON spread.node = own.address
 
 _COUNTS = " UNION ALL ".join(
     f"SELECT lang, {k} AS k, array_to_string(list_slice(w, i, i + {k - 1}), ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces WHERE len(w) >= {k})"
-    for k in range(1, len(phrases.WORDS) + 1))
+    for k in range(1, phrases.LONGEST + 1))
 
 PHRASES = rf"""
 WITH lines AS (SELECT coalesce(lang, '{phrases.NO_LANG}') AS lang,

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -21,12 +21,12 @@ TOP = 2000
 # A phrase goes if a longer candidate around it has this share of its occurrences.
 COVER_PERCENT = 80
 SCALE = 2_000_000
-WORDS = ("w1", "w2", "w3", "w4")
+LONGEST = 4
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 BLANKS = r"[\x20\x09]+"
 NO_LANG = "und"
 # Bytes of text whose windows are counted together before the shuffle; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 OUT_ROWS = 50_000
 # The most frequent words are short numbers in the shuffle, all others are written out. So many, of so many
 # characters at most: that bounds what is sent to every task.
@@ -39,8 +39,8 @@ SALTS = 64
 DIGITS = "".join(chr(c) for c in range(35, 127))
 SPELLED = "!"
 
-PAIR_FIELDS = T.StructType([T.StructField("line", T.StringType())])
-WORD_FIELDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("f", T.LongType())])
+PAIR_FIELDS = T.StructType([T.StructField("line", T.StringType(), False)])
+WORD_FIELDS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()), T.StructField("f", T.LongType())])
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -88,9 +88,14 @@ def _coded(words: pa.Array, coded: pa.Array) -> pa.Array:
     return pc.coalesce(numbers.take(pc.index_in(words, value_set=coded)), spelled)
 
 
+def _taken(words: pa.Array, codes: np.ndarray) -> pa.Array:
+    """The words of the codes; -1 is no word."""
+    return words.take(pa.array(codes, mask=codes < 0)).fill_null("")
+
+
 def _joined(tokens: pa.Array, first: np.ndarray, second: np.ndarray) -> pa.Array:
-    """Two words with a blank between them; -1 is no word."""
-    a, b = (tokens.take(pa.array(c, mask=c < 0)).fill_null("") for c in (first, second))
+    """Two words with a blank between them, or fewer."""
+    a, b = _taken(tokens, first), _taken(tokens, second)
     return pc.ascii_rtrim(pc.binary_join_element_wise(a, b, " "), " ")
 
 
@@ -101,15 +106,17 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common:
     known = words.dictionary
     lead = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     leads, within = [lead], same
-    for k in range(1, len(WORDS)):
+    for k in range(1, LONGEST):
         ahead = np.full(len(lead), -1, np.int64)
         ahead[:-k] = np.where(within[:-k], lead[k:], -1)
         leads.append(ahead)
         within = within & np.r_[same[k:], np.zeros(min(k, len(same)), bool)]
-    hashes = np.r_[pd.util.hash_array(known.to_numpy(zero_copy_only=False), categorize=False), np.uint64(0)]
     hot = np.r_[pc.is_in(known, value_set=coded[:common]).to_numpy(zero_copy_only=False).astype(bool), False]
-    mixed = (hashes[leads[2]] * np.uint64(31) + hashes[leads[3]]) >> np.uint64(32)
-    salt = np.where(hot[lead] & hot[leads[1]], (mixed % np.uint64(SALTS)).astype(np.int64) + 1, 0)
+    salt = np.zeros(len(lead), np.int64)
+    dealt = np.flatnonzero(hot[lead] & hot[leads[1]])
+    used, places = np.unique(np.r_[leads[2][dealt], leads[3][dealt]], return_inverse=True)
+    hashes = np.array([zlib.crc32(w.encode()) if w else 0 for w in _taken(known, used).to_pylist()], np.int64)[places]
+    salt[dealt] = (hashes[:len(dealt)] * 31 + hashes[len(dealt):]) % SALTS + 1
     lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
     start = (lang << 32) | lead, ((leads[1] + 1) << 8) | salt
     end = ((leads[2] + 1) << 32) | (leads[3] + 1)
@@ -137,10 +144,15 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common:
         [pc.binary_join_element_wise(group, size, pc.binary_join(lists, "\n"), "\n")], names=PAIR_FIELDS.names)
 
 
-def _counted_words(texts: pa.Array) -> pa.RecordBatch:
-    words, _, _ = _words(texts)
-    counts = np.bincount(words.indices.to_numpy(zero_copy_only=False), minlength=len(words.dictionary))
-    return pa.RecordBatch.from_arrays([words.dictionary, pa.array(counts.astype(np.int64))], names=WORD_FIELDS.names)
+def _counted_words(texts: pa.Array, langs: pa.Array) -> pa.RecordBatch:
+    words, owner, _ = _words(texts)
+    langs = langs.fill_null(NO_LANG).dictionary_encode()
+    size = max(len(words.dictionary), 1)
+    keys = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] * size + words.indices.to_numpy(zero_copy_only=False)
+    keys, counts = np.unique(keys, return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [langs.dictionary.take(pa.array(keys // size)), words.dictionary.take(pa.array(keys % size)), pa.array(counts)],
+        names=WORD_FIELDS.names)
 
 
 def _large_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -162,16 +174,21 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
-def frequent_words(docs: DataFrame) -> tuple[list[str], int]:
-    """The most frequent words of docs (text), at most CODED_WORDS, and how many of them are common ones."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, f) of docs (text, lang)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _large_blocks(batches):
-            made = _counted_words(_column(table, "text"))
+            made = _counted_words(_column(table, "text"), _column(table, "lang"))
             yield from (made.slice(k, OUT_ROWS) for k in range(0, made.num_rows, OUT_ROWS))
 
-    counted = stored(docs.select("text").mapInArrow(run, WORD_FIELDS).groupBy("word").agg(F.sum("f").alias("f")), "word-counts")
+    return docs.select("text", "lang").mapInArrow(run, WORD_FIELDS).groupBy("lang", "word").agg(F.sum("f").alias("f"))
+
+
+def frequent_words(counted: DataFrame) -> tuple[list[str], int]:
+    """The most frequent words of counted (lang, word, f), at most CODED_WORDS, and how many are common ones."""
     total = counted.agg(F.sum("f")).first()[0] or 0
-    best = counted.where(F.length("word") <= CODED_LETTERS).orderBy(F.desc("f"), "word").limit(CODED_WORDS).collect()
+    each = counted.where(F.length("word") <= CODED_LETTERS).groupBy("word").agg(F.sum("f").alias("f"))
+    best = each.orderBy(F.desc("f"), "word").limit(CODED_WORDS).collect()
     return [r["word"] for r in best], sum(r["f"] * COMMON > total for r in best)
 
 
@@ -214,25 +231,27 @@ def _spelled(docs: DataFrame, coded: list[str]) -> DataFrame:
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT) -> DataFrame:
     """(lang, k, phrase, f): phrases of k = 1 to 4 words with at least ``least`` occurrences, and all words as k = 0.
 
-    Only whole windows are counted; the ROLLUP over (w1, w2, w3, w4) adds them up to the phrases they begin with.
+    Words are counted first, for their numbers. Of phrases only whole windows are counted; the ROLLUP over the pair
+    of first words, w3 and w4 adds them up to the phrases they begin with.
     Windows of one pair of words meet in one task, where a beginning that is rarer than ``least`` shows: it is no
-    phrase, so its last words are hidden like padding before the ROLLUP, and nearly nothing is moved again. The
-    windows of two common words, the only ones that many rows may share, are dealt over SALTS tasks; of these only
-    whole windows are hidden, as a task has but part of their beginnings.
+    phrase, so its last words are hidden like padding before the ROLLUP, or the pair left out, and nearly nothing is
+    moved again. The windows of two common words, the only ones that many rows may share, are dealt over SALTS
+    tasks; of these only whole windows are hidden, as a task has but part of their beginnings.
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    coded, common = frequent_words(plain)
-    group, size = F.substring_index("line", "\n", 1), F.split_part(F.col("line"), F.lit("\n"), F.lit(2)).cast("long")
-    # The filter that a join would put there, so that all three readers share one shuffle.
-    dealt = windows(plain, coded, common).where(group.isNotNull()).repartition(group).withColumn("group", group)
+    counted = stored(word_counts(plain), "word-counts")
+    coded, common = frequent_words(counted)
+    words = counted.where(F.col("f") >= least).select("lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), "f")
+    totals = counted.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit(0).alias("k"), F.lit("").alias("phrase"), "f")
+
+    group = F.substring_index("line", "\n", 1)
+    dealt = windows(plain, coded, common).repartition(group).withColumn("group", group)
+    size = F.substring_index(F.substring_index("line", "\n", 2), "\n", -1).cast("long")
     salted = F.size(F.split("group", "\t")) > 2
-    pair = F.split_part(F.col("group"), F.lit("\t"), F.lit(2))
-    named = [F.substring_index("group", "\t", 1).alias("lang"), F.substring_index(pair, " ", 1).alias("w1")]
-    pairs = dealt.groupBy("group").agg(F.sum(size).alias("f"), F.bool_or(salted).alias("salted"))
-    pairs = pairs.withColumn("shared", F.col("salted") | (F.col("f") >= least))
-    rare = pairs.where("NOT shared").select(*named, "f").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
-    ends = dealt.join(pairs.where("shared").select("group").hint("shuffle_hash"), "group", "left_semi")
+    shared = dealt.groupBy("group").agg(F.sum(size).alias("f"), F.bool_or(salted).alias("salted")).where(
+        F.col("salted") | (F.col("f") >= least)).select("group")
+    ends = dealt.join(shared.hint("shuffle_hash"), "group", "left_semi")
     ends = ends.select("group", F.explode(F.expr("slice(split(line, '\n'), 3, length(line))")).alias("end"))
     rest = F.substring_index("end", "\r", 1)
     ends = ends.select("group", rest.alias("rest"), F.when(F.col("end").contains("\r"), F.substring_index("end", "\r", -1).cast("long"))
@@ -243,21 +262,16 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     # With f4 in it this sum stays behind the other, whose sort serves both.
     ends = ends.withColumn("f3", F.sum(F.when(F.col("f4") > 0, F.col("f"))).over(W.partitionBy("group", "w3")))
     shown = ends.select(
-        *named, F.when(pair.contains(" "), F.substring_index(pair, " ", -1)).alias("w2"),
+        F.substring_index("group", "\t", 2).alias("pair"),
         F.when(salted | (F.col("f3") >= least), F.col("w3")).alias("w3"),
         F.when(F.col("f4") >= least, F.col("w4")).alias("w4"), "f")
-    none = F.lit(None).cast("string")
-    shown = shown.unionAll(rare.select("lang", "w1", none, none, none, "f"))
-    summed = shown.rollup("lang", *WORDS).agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out"))
-    # Bit j of left_out tells that the j-th grouping column from the right was summed over.
-    level = F.when(F.col("left_out") == (1 << len(WORDS)) - 1, 0)
-    whole = F.col("left_out") == (1 << len(WORDS)) - 1
-    for k, word in enumerate(WORDS, 1):
-        here = F.col("left_out") == (1 << (len(WORDS) - k)) - 1
-        level = level.when(here, k)
-        whole |= here & F.col(word).isNotNull() & (F.col("f") >= least)
-    found = summed.where(whole).select("lang", level.alias("k"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")
-    return _spelled(found, coded)
+    summed = shown.rollup("pair", "w3", "w4").agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out")).where(F.col("f") >= least)
+    # Bits of left_out, from the right: w4, w3 and the pair are summed over. A null that is not is padding.
+    begin = F.substring_index("pair", "\t", -1)
+    k = (F.when((F.col("left_out") == 0) & F.col("w4").isNotNull(), 4).when((F.col("left_out") == 1) & F.col("w3").isNotNull(), 3)
+         .when((F.col("left_out") == 3) & begin.contains(" "), 2))
+    found = summed.select(F.substring_index("pair", "\t", 1).alias("lang"), k.alias("k"), F.concat_ws(" ", begin, "w3", "w4").alias("phrase"), "f")
+    return _spelled(found.where("k IS NOT NULL"), coded).unionAll(words).unionAll(totals)
 
 
 def _part(first: Column, size: Column) -> Column:
