@@ -58,6 +58,16 @@ SELECT o_orderkey AS id, CAST(o_custkey AS STRING) AS customer_id,
 FROM orders
 """
 
+# Both logs as of the last 60 days, for readers that prune by day: times of whole hours.
+RECENT_DAYS = 60
+_RECENT_TS = (
+    f"CAST(DATE '2001-08-01' - CAST(o_orderkey % {RECENT_DAYS} AS INT) AS TIMESTAMP) "
+    "+ INTERVAL '1' HOUR * CAST(o_orderkey % 24 AS INT)"
+)
+RECENT_EVENTS = ORDER_EVENTS.replace("o_orderdate AS ingested_ts", f"{_RECENT_TS} AS ingested_ts")
+RECENT_SCORES = ORDER_SCORES.replace(
+    "o_orderdate + INTERVAL '10' SECOND AS predicted_ts", f"{_RECENT_TS} + INTERVAL '10' SECOND AS predicted_ts")
+
 # Event rows that break storage rules: untyped, from orders.
 ORDER_RAW_EVENTS = """
 SELECT o_orderkey AS id,
@@ -181,6 +191,14 @@ def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "orders"), "orders", ORDER_SCORES)
 
 
+def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(table(spark, sf_dir, "orders"), "orders", RECENT_EVENTS)
+
+
+def recent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(table(spark, sf_dir, "orders"), "orders", RECENT_SCORES)
+
+
 def order_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "orders"), "orders", ORDER_RAW_EVENTS)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscriber_analytics.functions.columns import ColumnLike, as_of_timestamp, column
-from subscriber_analytics.operators.constraints import accepted
+from subscriber_analytics.operators.constraints import REASON
 from subscriber_analytics.operators.parsing import coerce_profiles, rename_profiles
 from subscriber_analytics.schemas import EVENT_COLUMNS, TOPIC_OF_EVENT_TYPE
 
@@ -64,13 +64,17 @@ def make_events(
 
 def expand_lifecycle(profiles: DataFrame, as_of=None, source: str = "kafka_simulator") -> DataFrame:
     """One subscription event per profile, in the active state, and for churners a termination
-    event with the final state right after it. One pass, no shuffle."""
+    event with the final state right after it. One pass, no shuffle.
+
+    A profile with a ``reject_reason`` has no event: it stays as it is, in one row without type and time."""
+    rejected = F.col(REASON).isNotNull() if REASON in profiles.columns else F.lit(False)
     churned = F.col("churn") == "Yes"
-    types = F.when(churned, F.array(F.lit("abonnement"), F.lit("resiliation"))).otherwise(
-        F.array(F.lit("abonnement"))
+    types = (
+        F.when(rejected, F.array(F.lit(None).cast("string")))
+        .when(churned, F.array(F.lit("abonnement"), F.lit("resiliation"))).otherwise(F.array(F.lit("abonnement")))
     )
     rows = profiles.select("*", F.posexplode(types).alias("_step", "_type"))
-    opening = F.col("_step") == 0
+    opening = F.col("_type") == "abonnement"
     # The termination is created one microsecond later.
     created = F.timestamp_micros(
         F.unix_micros(as_of_timestamp(as_of)) + F.col("_step").cast("bigint")
@@ -79,6 +83,7 @@ def expand_lifecycle(profiles: DataFrame, as_of=None, source: str = "kafka_simul
         "churn": F.when(opening, "No").otherwise(F.col("churn")),
         "churn_date": F.when(~opening, F.col("churn_date")),
     })
+    created = F.when(F.col("_type").isNotNull(), created)
     return make_events(rows, "_type", created, source).drop("_step", "_type")
 
 
@@ -86,11 +91,17 @@ def replay_profiles(raw: DataFrame, as_of=None, source: str = "kafka_simulator",
                     jitter: Column | None = None, draw: Column | None = None) -> DataFrame:
     """Raw text profiles as lifecycle events: rename, type, derive both dates, expand.
 
-    Profiles without a usable number are left out: take them from ``coerce_profiles``.
+    A profile without a usable number comes back in one row with its ``reject_reason``, without dates, type
+    and time of an event; ``constraints.accepted`` leaves the events to send.
     """
-    profiles = accepted(coerce_profiles(rename_profiles(raw)))
+    return expand_lifecycle(date_profiles(coerce_profiles(rename_profiles(raw)), as_of, jitter, draw), as_of, source)
+
+
+def date_profiles(profiles: DataFrame, as_of=None, jitter: Column | None = None, draw: Column | None = None) -> DataFrame:
+    """Typed profiles with both dates; those with a ``reject_reason`` have none."""
     dated = derive_churn_date(derive_signup_date(profiles, as_of, jitter), as_of, draw)
-    return expand_lifecycle(dated, as_of, source)
+    good = F.col(REASON).isNull()
+    return dated.withColumns({name: F.when(good, F.col(name)) for name in ("signup_date", "churn_date")})
 
 
 def topic_of(event_type: ColumnLike = "event_type") -> Column:

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +57,13 @@ class LogitScorer:
                 numeric[feature] = weight
         return cls(intercept, numeric, categorical)
 
+    def to_table(self, spark: SparkSession) -> DataFrame:
+        """The coefficients table that ``from_table`` reads."""
+        rows = [("intercept", None, float(self.intercept))]
+        rows += [(name, None, float(weight)) for name, weight in self.numeric.items()]
+        rows += [(name, level, float(w)) for name, weights in self.categorical.items() for level, w in weights.items()]
+        return spark.createDataFrame(rows, "feature string, level string, weight double")
+
     def probability(self) -> Column:
         z = F.lit(float(self.intercept))
         for name, weight in self.numeric.items():
@@ -81,6 +90,36 @@ class PipelineScorer:
         return scored.select(*df.columns, probability.alias("churn_score"))
 
 
+def fit_pipeline(training: DataFrame, label: str, numeric: Sequence[str], categorical: Mapping[str, Sequence[str]],
+                 strength: float = 0.01) -> PipelineModel:
+    """A logistic regression over model inputs, as a ``spark.ml`` pipeline.
+
+    ``numeric`` names number columns (NULL counts as 0), ``categorical`` the levels of text columns that get a weight;
+    other levels and NULL have none. ``label`` is 1 for a termination. Rows without a label are left out.
+    """
+    parts = [f"coalesce(CAST(`{name}` AS DOUBLE), 0.0)" for name in numeric]
+    for name, levels in categorical.items():
+        texts = [level.replace("\\", "\\\\").replace("'", "\\'") for level in levels]
+        parts += [f"CASE WHEN `{name}` = '{text}' THEN 1.0D ELSE 0.0D END" for text in texts]
+    named = ", ".join(f"{part} AS _x{n}" for n, part in enumerate(parts))
+    stages = [
+        SQLTransformer(statement=f"SELECT *, {named} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"_x{n}" for n in range(len(parts))], outputCol="features"),
+        LogisticRegression(labelCol=label, regParam=strength),
+    ]
+    return Pipeline(stages=stages).fit(training.filter(F.col(label).isNotNull()))
+
+
+def logit_of(model: PipelineModel, numeric: Sequence[str], categorical: Mapping[str, Sequence[str]]) -> LogitScorer:
+    """The weights of ``fit_pipeline`` as a scorer without ``spark.ml``; the names are those of the fit."""
+    fitted = model.stages[-1]
+    weights = [float(w) for w in fitted.coefficients]
+    rest = iter(weights[len(numeric):])
+    return LogitScorer(
+        float(fitted.intercept), dict(zip(numeric, weights, strict=False)),
+        {name: {level: next(rest) for level in levels} for name, levels in categorical.items()})
+
+
 def load_scorer(primary: str, fallback: str) -> PipelineScorer:
     """Load the pipeline at ``primary`` and refresh the copy at ``fallback``; if that fails, load
     the copy. Call once and reuse the scorer for every batch."""
@@ -121,14 +160,16 @@ def to_score_log(scored: DataFrame, threshold: float = 0.5, model_name: str = "c
                  model_version: str = "1") -> DataFrame:
     """Scored rows as score log rows, with a reason on those that break a rule.
 
-    The decision uses the unrounded score, the log keeps four decimals.
+    The decision uses the unrounded score, the log keeps four decimals. ``predicted_ts`` is the frame's
+    own if it has one, else the current time.
     """
+    now = F.col("predicted_ts") if "predicted_ts" in scored.columns else F.current_timestamp()
     rows = scored.withColumns({
         "churn_predicted": decision("churn_score", threshold),
         "seuil_applique": F.lit(float(threshold)),
         "model_name": F.lit(model_name),
         "model_version": F.lit(model_version),
-        "predicted_ts": F.current_timestamp(),
+        "predicted_ts": now,
     })
     extra = ["arrival"] if "arrival" in scored.columns else []
     rows = rows.select(*[rule.name for rule in SCORE_LOG_RULES], *extra)

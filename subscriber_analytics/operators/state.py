@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from subscriber_analytics.functions.columns import as_of_timestamp, lifetime_days, risk_tier
 
@@ -104,7 +103,8 @@ def checked_limit(n: int, cap: int) -> int:
 def within_days(events: DataFrame, days: int, as_of=None, day_column: str = "ingest_date") -> DataFrame:
     """The events of the last ``days`` days before ``as_of`` and later ones.
 
-    ``day_column`` is a partition column with the date of ``ingested_ts``, so that older days are not read.
+    ``day_column`` holds the date of ``ingested_ts``. Where it is a partition column, as in our log, the
+    files of older days are not opened.
     """
     return events.filter(F.col(day_column) >= F.date_sub(as_of_timestamp(as_of).cast("date"), days))
 
@@ -112,20 +112,21 @@ def within_days(events: DataFrame, days: int, as_of=None, day_column: str = "ing
 def live_feed(events: DataFrame, scores: DataFrame, n: int = 20, cap: int = MAX_FEED_ROWS) -> DataFrame:
     """The newest ``n`` events, newest first, each with its customer's last score.
 
-    The events are cut to at most ``cap`` rows in one scan and fetched: both joins start from these
-    rows, and only their customers' scores are looked at, so neither log is shuffled. For a feed of
-    recent days pass ``within_days(events, days)``.
+    A scalar subquery cuts the events to at most ``cap`` rows in one scan and holds them as an array. Spark runs it
+    once for both of its uses: as the rows of the feed, and to filter the score log, so neither log is shuffled and
+    only the customers of the feed are ranked. Nothing runs before the result is asked for. For a feed
+    of recent days pass ``within_days(events, days)``.
     """
     order = arrival_order(events, "ingested_ts")
-    newest = events.select("customer_id", "event_type", "event_ts", *order).orderBy(
-        *[F.desc(name) for name in order]).limit(checked_limit(n, cap)).drop(*order)
-    feed = events.sparkSession.createDataFrame(
-        [(place, *row) for place, row in enumerate(newest.collect())],
-        StructType([StructField("_place", LongType()), *newest.schema]))
-    customers = F.broadcast(feed.select("customer_id"))
-    shown = latest_score(scores.join(customers, "customer_id", "left_semi"))
+    rows = events.select(
+        F.struct("customer_id", "event_type", "event_ts").alias("event"), F.struct(*order).alias("place"))
+    newest = rows.orderBy(F.desc("place")).limit(checked_limit(n, cap))
+    feed = newest.agg(F.sort_array(F.collect_list(F.struct("place", "event")), asc=False).alias("feed")).scalar()
+    customers = feed.getField("event").getField("customer_id")
+    shown = latest_score(scores.filter(F.array_contains(customers, F.col("customer_id"))))
+    listed = events.sparkSession.range(1).select(F.posexplode(feed).alias("_place", "row")).select("_place", "row.event.*")
     return (
-        feed.join(shown.select("customer_id", "churn_score"), "customer_id", "left")
+        listed.join(shown.select("customer_id", "churn_score"), "customer_id", "left")
         .orderBy("_place")
         .select("customer_id", "event_type", "event_ts", "churn_score")
     )

@@ -22,8 +22,9 @@ _TIER = (
     "ELSE 'FAIBLE' END"
 )
 
-_LOGS = f"""
-WITH ev AS ({fx.ORDER_EVENTS}), sc AS ({fx.ORDER_SCORES}),
+def _logs(events: str, scores: str) -> str:
+    return f"""
+WITH ev AS ({events}), sc AS ({scores}),
 state AS ({_newest('ev', 'ingested_ts')}),
 score AS (SELECT *, {_TIER} AS niveau_risque FROM ({_newest('sc', 'predicted_ts')}) s),
 full_view AS (
@@ -36,6 +37,10 @@ full_view AS (
 """
 
 
+_LOGS = _logs(fx.ORDER_EVENTS, fx.ORDER_SCORES)
+_RECENT = _logs(fx.RECENT_EVENTS, fx.RECENT_SCORES)
+
+
 def _mean(value: str, digits: int) -> str:
     """Mean of values with at most four decimals, rounded half away from zero.
 
@@ -111,7 +116,8 @@ typed AS (SELECT * REPLACE (
     coalesce(TRY_CAST(nullif(monthly_charges, '') AS DOUBLE), 0.0) AS monthly_charges,
     CASE total_charges WHEN '' THEN 0.0 ELSE TRY_CAST(total_charges AS DOUBLE) END
       AS total_charges),
-  CASE WHEN senior_citizen = 'x' THEN 'senior_citizen: invalid' END AS reject_reason
+  CASE WHEN senior_citizen <> '' AND TRY_CAST(TRY_CAST(senior_citizen AS DOUBLE) AS INT) IS NULL
+    THEN 'senior_citizen: invalid' END AS reject_reason
   FROM texts),
 signed AS (SELECT *, greatest(tenure * 30, 5) AS life,
     CAST({_AS_OF} AS DATE) - CAST(tenure * 30 + (c_custkey % 21 - 10) AS INT) AS signup_date
@@ -124,7 +130,9 @@ emitted AS (
   SELECT * REPLACE ('No' AS churn, CAST(NULL AS DATE) AS churn_date), 'abonnement' AS event_type,
     {_AS_OF} AS event_ts FROM dated
   UNION ALL
-  SELECT *, 'resiliation', {_AS_OF} + INTERVAL '1' MICROSECOND FROM dated WHERE churn = 'Yes')
+  SELECT *, 'resiliation', {_AS_OF} + INTERVAL '1' MICROSECOND FROM dated WHERE churn = 'Yes'),
+refused AS (SELECT *, CAST(NULL AS DATE) AS signup_date, CAST(NULL AS DATE) AS churn_date FROM typed
+  WHERE reject_reason IS NOT NULL)
 """
 
 _REQUESTS = f"""
@@ -206,6 +214,27 @@ _FEED = f"""{_LOGS} SELECT f.customer_id, f.event_type, f.event_ts,
     CAST(score.churn_score AS DOUBLE) AS churn_score
     FROM (SELECT * FROM ev ORDER BY ingested_ts DESC, id DESC LIMIT 50) f
     LEFT JOIN score ON score.customer_id = f.customer_id"""
+_RECENT_FEED = _FEED.replace(
+    "FROM ev ORDER", f"FROM ev WHERE CAST(ingested_ts AS DATE) >= CAST({_AS_OF} AS DATE) - 30 ORDER")
+
+# All grouped reports with one set of columns.
+_GROUPED = {
+    "contract": ("contract", "TRUE"),
+    "tranche": ("CASE WHEN tenure < 0 THEN 0 WHEN tenure >= 72 THEN 13 ELSE CAST(floor(tenure * 12 / 72.0) AS INT) + 1 END", "TRUE"),
+    "nb_services": (_SERVICES, "TRUE"),
+    "mois_cohorte": ("CAST(date_trunc('month', signup_date) AS DATE)", "signup_date IS NOT NULL"),
+    "semaine": ("CAST(date_trunc('week', churn_date) AS DATE)", "churn = 'Yes' AND churn_date IS NOT NULL"),
+}
+_GROUP_TYPES = {"contract": "VARCHAR", "tranche": "INT", "nb_services": "INT", "mois_cohorte": "DATE", "semaine": "DATE"}
+
+
+def _grouped(report: str, key: str, where: str) -> str:
+    names = ", ".join(
+        f"CAST({key if name == report else 'NULL'} AS {kind}) AS {name}" for name, kind in _GROUP_TYPES.items())
+    return f"""SELECT {names}, '{report}' AS rapport, count(*) AS nb_clients,
+        sum(CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END)::BIGINT AS nb_churn, {_rate()} AS taux_churn,
+        min(tenure) AS borne_basse, max(tenure) AS borne_haute, {_mean('churn_date - signup_date', 1)} AS duree_moyenne_jours,
+        {_mean('monthly_charges', 2)} AS mrr_moyen FROM state WHERE {where} GROUP BY {key}"""
 
 ORACLES: dict[str, str] = {
     "rate_by_contract": f"""{_LOGS}
@@ -223,7 +252,7 @@ ORACLES: dict[str, str] = {
     "score_lookup": f"""{_LOGS} SELECT customer_id, CAST(churn_score AS DOUBLE) AS churn_score,
         churn_predicted, model_version, predicted_ts FROM score WHERE customer_id = '7'""",
     "live_feed": _FEED,
-    "live_feed_recent": _FEED.replace("FROM ev ORDER", f"FROM ev WHERE CAST(ingested_ts AS DATE) >= CAST({_AS_OF} AS DATE) - 30 ORDER"),
+    "live_feed_recent": _RECENT_FEED,
     "view_query": f"""{_LOGS} SELECT niveau_risque, contract, count(*) AS n,
         max(duree_reelle_jours) AS plus_longue FROM full_view WHERE tenure >= 12
         GROUP BY niveau_risque, contract""",
@@ -283,9 +312,12 @@ ORACLES: dict[str, str] = {
           ELSE 'FAIBLE' END AS niveau_risque, CAST(0.5 AS DOUBLE) AS seuil_applique, reject_reason
         FROM filled LEFT JOIN s ON filled.c_custkey = s.c_custkey""",
     "lifecycle_dates": f"""{_PROFILES} SELECT customer_id, tenure, total_charges, churn, signup_date,
-        churn_date FROM dated""",
+        churn_date, reject_reason FROM dated
+        UNION ALL SELECT customer_id, tenure, total_charges, churn, signup_date, churn_date, reject_reason FROM refused""",
     "lifecycle_events": f"""{_PROFILES} SELECT {', '.join(PROFILE_COLUMNS)}, signup_date, churn_date,
-        event_type, event_ts, 'replay' AS source FROM emitted""",
+        event_type, event_ts, 'replay' AS source, reject_reason FROM emitted
+        UNION ALL SELECT {', '.join(PROFILE_COLUMNS)}, signup_date, churn_date, NULL, NULL, 'replay', reject_reason
+        FROM refused""",
     "event_routing": f"""WITH ev AS ({fx.ORDER_EVENTS})
         SELECT {_TOPIC} AS topic, customer_id AS key, event_type,
         strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_ts,
@@ -332,5 +364,46 @@ ORACLES: dict[str, str] = {
 }
 
 
+_DAILY = _MESSAGES.replace("PARTITION BY customer_id ORDER BY ts", "PARTITION BY CAST(ts AS DATE), customer_id ORDER BY ts")
+
+ORACLES |= {
+    "all_rates": f"{_LOGS} " + " UNION ALL ".join(
+        [_grouped(report, key, where) for report, (key, where) in _GROUPED.items()]
+        + [_grouped("base", "()", "TRUE")]),
+    "rates_in_order": f"""{_LOGS}, r AS ({ORACLES['rate_by_contract'].removeprefix(_LOGS)})
+        SELECT *, row_number() OVER (ORDER BY taux_churn DESC NULLS FIRST, contract NULLS FIRST) AS place FROM r""",
+    "bands_in_order": f"""{_LOGS}, r AS ({ORACLES['rate_by_tenure'].removeprefix(_LOGS)})
+        SELECT *, row_number() OVER (ORDER BY tranche NULLS LAST) AS place FROM r""",
+    "first_report_row": f"""{ORACLES['rate_by_contract']}
+        ORDER BY taux_churn DESC NULLS FIRST, contract NULLS FIRST LIMIT 1""",
+    "first_profiles": f"{_PROFILES} SELECT customer_id, tenure, contract FROM typed ORDER BY customer_id LIMIT 100",
+    "padded_features": ORACLES["features"],
+    "fallback_scored": ORACLES["scored_profiles"],
+    "bucketed_360": ORACLES["customer_360"],
+    "profile_files": ORACLES["typed_profiles"],
+    "log_feed": _RECENT_FEED.replace(_LOGS, _RECENT),
+    "log_kpis": f"{_RECENT} {_KPIS}",
+    "log_retention": f"""WITH ev AS ({fx.RECENT_EVENTS}) SELECT id, customer_id, ingested_ts FROM ev
+        WHERE ingested_ts >= {_AS_OF} - INTERVAL '7' DAY""",
+    "log_score_lookup": ORACLES["score_lookup"].replace(_LOGS, _RECENT),
+    "job_by_day": f"""{_DAILY}, counts AS (SELECT CAST(ts AS DATE) AS jour,
+          count(*) FILTER (reject_reason IS NULL) AS nb_evenements,
+          count(*) FILTER (reject_reason IS NOT NULL) AS nb_rejets FROM checked GROUP BY 1),
+        means AS (SELECT CAST(ts AS DATE) AS jour, count(*) AS nb_scores,
+          sum(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END)::BIGINT AS nb_a_risque, {_mean('round(p, 4)', 3)} AS score_moyen
+          FROM scored GROUP BY 1)
+        SELECT CAST(ts AS DATE) AS jour, event_id, customer_id, round(p, 4) AS churn_score,
+          CAST(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS SMALLINT) AS churn_predicted,
+          nb_evenements, nb_rejets, nb_scores, nb_a_risque, score_moyen
+        FROM scored JOIN counts ON CAST(ts AS DATE) = counts.jour JOIN means ON counts.jour = means.jour""",
+    "stream_latest_state": ORACLES["publish_roundtrip"],
+    "restart_roundtrip": f"""WITH whole AS ({ORACLES['publish_roundtrip']}), ev AS ({fx.ORDER_EVENTS})
+        SELECT whole.*, nb_evenements, TRUE AS un_score_par_lot FROM whole
+        JOIN (SELECT customer_id, count(*) AS nb_evenements FROM ev GROUP BY 1) USING (customer_id)""",
+    "replay_roundtrip": ORACLES["stream_scored"],
+    "pipeline_scored": f"{_MESSAGES} SELECT event_id, customer_id, TRUE AS same_score FROM firsts",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

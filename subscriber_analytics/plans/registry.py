@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import StreamingQueryException
 
 from subscriber_analytics import fixtures as fx
 from subscriber_analytics.functions.columns import decision
 from subscriber_analytics.operators import constraints, features, lifecycle, metrics, parsing, scoring
 from subscriber_analytics.operators import state as st
-from subscriber_analytics.plans import reports, views
-from subscriber_analytics.schemas import EVENT_LOG_RULES, PROFILE_COLUMNS, PROFILE_DEFAULTS
+from subscriber_analytics.plans import reports, tables, views
+from subscriber_analytics.schemas import EVENT_LOG_RULES, PROFILE_COLUMNS, PROFILE_DEFAULTS, SCORE_LOG_RULES
 from subscriber_analytics.session import apply_settings, work_dir
+from subscriber_analytics.sources import profiles
 from subscriber_analytics.sources.events import read_event_files, write_event_files
 from subscriber_analytics.streaming import logs
-from subscriber_analytics.streaming.job import JobConfig, start_job
+from subscriber_analytics.streaming import state as states
+from subscriber_analytics.streaming.job import JobConfig, score_events, start_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +30,8 @@ FILES_PER_BATCH = 10_000
 PUBLISHED_FILES = 7
 # Tasks that raw messages are dealt to before they are parsed.
 SPREAD = 16
+# Parts of the state store and of the bucketed tables of the queries here.
+STORE_PARTS = 8
 STATE_COLUMNS = ("id",) + tuple(rule.name for rule in EVENT_LOG_RULES)
 RULED_RAW_COLUMNS = (
     "customer_id", "gender", "senior_citizen", "partner", "tenure", "monthly_charges", "signup_date",
@@ -66,9 +72,7 @@ def _draw():
 
 
 def _dated_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = constraints.accepted(_typed_profiles(spark, sf_dir))
-    dated = lifecycle.derive_signup_date(profiles, fx.AS_OF, _jitter())
-    return lifecycle.derive_churn_date(dated, fx.AS_OF, _draw())
+    return lifecycle.date_profiles(_typed_profiles(spark, sf_dir), fx.AS_OF, _jitter(), _draw())
 
 
 def _lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,20 +165,224 @@ def _run_job(spark: SparkSession, sf_dir: str, max_files: int | None = None, sco
     return config.root
 
 
+def _envelope(events: DataFrame) -> DataFrame:
+    # The identity and the time of an event travel beside its message.
+    events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    return lifecycle.to_envelope(lifecycle.to_messages(events, keep=("id", "event_ts")), F.col("event_ts"), F.col("id"))
+
+
+def _kept_state(state: DataFrame, *extra: str) -> DataFrame:
+    kept = [rule.name for rule in EVENT_LOG_RULES if rule.name != "ingested_ts"]
+    return state.select(F.col("arrival.offset").alias("id"), *kept, *extra)
+
+
 def _publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events published to several files, read back one file a batch, and the state they leave."""
     folder = work_dir(spark, "published")
-    events = fx.order_events(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    # The identity and the time of an event travel beside its message.
-    sent = lifecycle.to_messages(events, keep=("id", "event_ts"))
-    envelope = lifecycle.to_envelope(sent, F.col("event_ts"), F.col("id"))
-    write_event_files(envelope, f"{folder}/files", partitions=PUBLISHED_FILES)
-    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint")
+    write_event_files(_envelope(fx.order_events(spark, sf_dir)), f"{folder}/files", partitions=PUBLISHED_FILES)
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=SPREAD)
     stream = read_event_files(spark, f"{folder}/files", max_files_per_trigger=1)
     start_job(stream, None, config, available_now=True).awaitTermination()
-    kept = [rule.name for rule in EVENT_LOG_RULES if rule.name != "ingested_ts"]
-    state = st.latest_state(logs.read_log(spark, config.root, logs.EVENTS))
-    return state.select(F.col("arrival.offset").alias("id"), *kept)
+    return _kept_state(st.latest_state(logs.read_log(spark, config.root, logs.EVENTS)))
+
+
+def _stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states that a streaming aggregation keeps: every other event first, then, after a restart on the
+    same checkpoint and with a timed trigger, the rest, of which many are older than the state."""
+    folder = work_dir(spark, "states")
+    events = fx.order_events(spark, sf_dir)
+
+    def deliver(number: int) -> None:
+        part = events.filter(F.col("id") % 2 == number)
+        write_event_files(_envelope(part), f"{folder}/files/delivery={number}", partitions=3)
+
+    def start(available_now: bool):
+        stream = read_event_files(spark, f"{folder}/files/*", max_files_per_trigger=1)
+        return states.start_latest_states(
+            stream, f"{folder}/logs", f"{folder}/checkpoint", available_now, trigger_seconds=1, partitions=STORE_PARTS)
+
+    deliver(1)
+    start(available_now=True).awaitTermination()
+    deliver(0)
+    query = start(available_now=False)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _kept_state(states.states_from_store(spark, f"{folder}/checkpoint"))
+
+
+class _Stop(Exception):
+    """What a query of a restart stops its job with."""
+
+
+def _stopped(query: StreamingQuery) -> None:
+    """Wait for the end of a job that is stopped by ``_Stop``; any other failure is one."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as failure:
+        if "_Stop" not in str(failure):
+            raise
+    else:
+        raise RuntimeError("the job was to stop in the middle")
+
+
+def _restart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job over several files that stops in its fourth batch, after both writes and before the
+    checkpoint has the batch, and is started again: the state, and how often each customer is in both logs."""
+    folder = work_dir(spark, "restart")
+    write_event_files(_envelope(fx.order_events(spark, sf_dir)), f"{folder}/files", partitions=PUBLISHED_FILES)
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=SPREAD)
+
+    def stop(batch_id: int, counts: dict) -> None:
+        if batch_id == 3:
+            raise _Stop
+
+    def start(on_metrics=None):
+        stream = read_event_files(spark, f"{folder}/files", max_files_per_trigger=1)
+        return start_job(stream, fx.SCORER, config, available_now=True, on_metrics=on_metrics)
+
+    _stopped(start(stop))
+    start().awaitTermination()
+    events, scores = logs.read_log(spark, config.root, logs.EVENTS), logs.read_log(spark, config.root, logs.SCORES)
+    counted = events.groupBy("customer_id").agg(F.count("*").alias("nb_evenements"))
+    # A file is a batch, and a customer has one score a batch.
+    expected = events.select("customer_id", "batch_id").distinct().groupBy("customer_id").agg(F.count("*").alias("nb_lots"))
+    scored = scores.groupBy("customer_id").agg(F.count("*").alias("nb_scores"))
+    joined = st.latest_state(events).join(counted, "customer_id").join(expected, "customer_id").join(scored, "customer_id", "left")
+    one_each = (F.col("nb_lots") == F.col("nb_scores")).alias("un_score_par_lot")
+    return _kept_state(joined.withColumn("un_score_par_lot", one_each), "nb_evenements", "un_score_par_lot")
+
+
+def _replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores after the job failed between the two writes of its batch and was started again."""
+    folder = work_dir(spark, "replay")
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=SPREAD)
+
+    def broken(inputs: DataFrame) -> DataFrame:
+        raise _Stop
+
+    _stopped(start_job(fx.message_stream(spark, sf_dir), broken, config, available_now=True))
+    start_job(fx.message_stream(spark, sf_dir), fx.SCORER, config, available_now=True).awaitTermination()
+    return _score_rows(logs.read_log(spark, config.root, logs.SCORES))
+
+
+def _job_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of messages a micro-batch: each score with the counts that the job took of its batch."""
+    folder = work_dir(spark, "days")
+    sent = fx.messages(fx.table(spark, sf_dir, "events")).withColumn("day", F.to_date("timestamp"))
+    # A day goes to one task, so it is one file, and a file is a batch.
+    sent.repartition("day").write.partitionBy("day").parquet(f"{folder}/days")
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint")
+    stream = read_event_files(spark, f"{folder}/days/day=*", max_files_per_trigger=1)
+    start_job(stream, fx.SCORER, config, available_now=True).awaitTermination()
+    scores = logs.read_log(spark, config.root, logs.SCORES)
+    counts = logs.read_metrics(spark, config.root)
+    return scores.join(counts, ["query_id", "batch_id"]).select(
+        F.to_date("arrival.timestamp").alias("jour"), F.col("arrival.offset").alias("event_id"), "customer_id",
+        "churn_score", "churn_predicted", "nb_evenements", "nb_rejets", "nb_scores", "nb_a_risque", "score_moyen")
+
+
+def _recent_log(spark: SparkSession, sf_dir: str, root: str, log: str) -> DataFrame:
+    """Events or scores of the last days, stored as three batches of the job would be, and read back."""
+    rows, rules = ((fx.recent_events, EVENT_LOG_RULES) if log == logs.EVENTS else (fx.recent_scores, SCORE_LOG_RULES))
+    day = logs.DAY_OF[log]
+    rows = rows(spark, sf_dir).withColumns({
+        "event_ts": F.col("event_ts").cast("timestamp"),
+        "arrival": F.struct(F.col(day).cast("timestamp").alias("timestamp"), F.lit("t").alias("topic"),
+                            F.lit(0).alias("partition"), F.col("id").alias("offset")),
+        "reject_reason": F.lit(None).cast("string"), "raw_value": F.lit(None).cast("string")})
+    rows = rows.select(*[rule.name for rule in rules], "arrival", "reject_reason", *(["raw_value"] if log == logs.EVENTS else []))
+    parts = 3
+    for batch in range(parts):
+        some = rows.filter(F.pmod(F.datediff(day, F.lit(fx.AS_OF)), F.lit(parts)) == batch)
+        logs.write_batch(some.repartition(F.to_date(day)), root, log, "export", batch)
+    return logs.read_log(spark, root, log)
+
+
+def _recent_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    root = work_dir(spark, "recent")
+    return _recent_log(spark, sf_dir, root, logs.EVENTS), _recent_log(spark, sf_dir, root, logs.SCORES)
+
+
+def _log_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, scores = _recent_logs(spark, sf_dir)
+    return st.live_feed(st.within_days(events, 30, fx.AS_OF), scores, 50)
+
+
+def _log_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, scores = _recent_logs(spark, sf_dir)
+    return reports.live_kpis_from_logs(events, scores, fx.AS_OF, KPI_HOURS, day_column="ingest_date")
+
+
+def _log_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _recent_log(spark, sf_dir, work_dir(spark, "retention"), logs.EVENTS)
+    kept = lifecycle.retain(events, fx.AS_OF, days=7, ts="ingested_ts", day_column="ingest_date")
+    return kept.select(F.col("arrival.offset").alias("id"), "customer_id", "ingested_ts")
+
+
+def _log_score_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.score_lookup(_recent_log(spark, sf_dir, work_dir(spark, "lookup"), logs.SCORES), "7")
+
+
+def _profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles written to files of two column orders and read back by their headers."""
+    folder = work_dir(spark, "profiles")
+    raw = fx.customer_profiles(spark, sf_dir)
+    names = [name for name in raw.columns if name != "c_custkey"]
+    for turn, order in enumerate((names, names[::-1])):
+        part = raw.filter(F.col("c_custkey") % 2 == turn).select(*order)
+        part.repartition(PUBLISHED_FILES).write.option("header", True).option("escape", '"').csv(f"{folder}/order={turn}")
+    read = profiles.read_profiles(spark, f"{folder}/order=*")
+    return parsing.coerce_profiles(parsing.rename_profiles(read))
+
+
+def _bucketed_360(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer view over two stored tables that a later session attaches and joins without a shuffle."""
+    folder = work_dir(spark, "bucketed")
+    token = folder.rsplit("-", 1)[-1]
+    found = []
+    for name, df in (("etats", _state(spark, sf_dir)), ("scores", st.latest_score(fx.order_scores(spark, sf_dir)))):
+        tables.save_bucketed(df, f"{name}_{token}", f"{folder}/{name}", buckets=STORE_PARTS)
+        found.append(tables.attach_bucketed(
+            spark, f"{name}_lus_{token}", f"{folder}/{name}", df.schema, buckets=STORE_PARTS))
+    return st.join_360(*found, fx.AS_OF)
+
+
+NUMERIC = ("MonthlyCharges", "tenure", "NewClient", "NbServices", "SeniorCitizen")
+CATEGORICAL = {"Contract": ("Month-to-month", "Two year")}
+
+
+def _pipeline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with a fitted ``spark.ml`` pipeline, loaded once, against the fit's own weights as a logit."""
+    folder = work_dir(spark, "pipeline")
+    training = features.add_features(features.to_training_names(_state(spark, sf_dir))).withColumn(
+        "label", F.when(F.col("Churn") == "Yes", 1.0).when(F.col("Churn") == "No", 0.0))
+    model = scoring.fit_pipeline(training, "label", NUMERIC, CATEGORICAL)
+    model.write().overwrite().save(f"{folder}/model")
+    scorer = scoring.load_scorer(f"{folder}/model", f"{folder}/copy")
+    root = _run_job(spark, sf_dir, scorer=scorer)
+    own = scoring.logit_of(scoring.load_scorer(f"{folder}/absent", f"{folder}/copy").model, NUMERIC, CATEGORICAL)
+    again = score_events(logs.read_log(spark, root, logs.EVENTS), own, JobConfig(root, ""))
+    again = again.select("arrival", F.col("churn_score").alias("own_score"), F.col("churn_predicted").alias("own_decision"))
+    scores = logs.read_log(spark, root, logs.SCORES).join(again, "arrival", "full")
+    # The stored scores have four decimals; sums in another order may round to the next one.
+    same = (F.abs(F.col("churn_score") - F.col("own_score")) <= 0.0001) & (F.col("churn_predicted") == F.col("own_decision"))
+    return scores.select(F.col("arrival.offset").alias("event_id"), "customer_id", same.alias("same_score"))
+
+
+def _fallback_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by the copy of a model that cannot be read at its own place."""
+    folder = work_dir(spark, "fallback")
+    fx.SCORER.to_table(spark).write.parquet(f"{folder}/copy")
+    scorer = scoring.load_coefficients(spark, f"{folder}/absent", f"{folder}/copy")
+    return scoring.score_profiles(fx.customer_requests(spark, sf_dir), scorer, keep=("c_custkey",))
+
+
+def _padded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of profiles whose column names have blanks around them."""
+    raw = fx.order_profiles(spark, sf_dir)
+    return features.preprocess(raw.toDF(*[f"  {name} " for name in raw.columns]), order=["o_orderkey"])
 
 
 def _stream_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,14 +409,17 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("arrival.offset").alias("event_id"), "customer_id", "reject_reason")
 
 
-def _stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.read_log(spark, _run_job(spark, sf_dir), logs.SCORES)
+def _score_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("arrival.offset").alias("event_id"), "customer_id", "churn_score", "churn_predicted",
         "seuil_applique", "model_name", "model_version", "event_ts",
     )
 
 
+def _stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _score_rows(logs.read_log(spark, _run_job(spark, sf_dir), logs.SCORES))
+
+
 def _stream_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _run_job(spark, sf_dir)
     full = st.customer_360(
@@ -254,9 +465,9 @@ QUERIES: dict[str, Query] = {
     "features": _features,
     "scored_profiles": _scored_profiles,
     "lifecycle_dates": lambda s, d: _dated_profiles(s, d).select(
-        "customer_id", "tenure", "total_charges", "churn", "signup_date", "churn_date"),
+        "customer_id", "tenure", "total_charges", "churn", "signup_date", "churn_date", "reject_reason"),
     "lifecycle_events": lambda s, d: _lifecycle_events(s, d).select(
-        *PROFILE_COLUMNS, "signup_date", "churn_date", "event_type", "event_ts", "source"),
+        *PROFILE_COLUMNS, "signup_date", "churn_date", "event_type", "event_ts", "source", "reject_reason"),
     "event_routing": _event_routing,
     "publish_roundtrip": _publish_roundtrip,
     "retention_window": lambda s, d: lifecycle.retain(
@@ -269,6 +480,25 @@ QUERIES: dict[str, Query] = {
     "stream_360": _stream_360,
     "batch_dedupe": _batch_dedupe,
     "batch_metrics": _batch_metrics,
+    "all_rates": lambda s, d: reports.all_rates(_state(s, d)),
+    "rates_in_order": lambda s, d: reports.placed(reports.rate_by_contract(_state(s, d))),
+    "bands_in_order": lambda s, d: reports.placed(reports.rate_by_tenure(_state(s, d))),
+    "first_report_row": lambda s, d: reports.first_row(reports.rate_by_contract(_state(s, d))),
+    "first_profiles": lambda s, d: profiles.first_profiles(
+        _typed_profiles(s, d), 100, ["customer_id"]).select("customer_id", "tenure", "contract"),
+    "padded_features": _padded_features,
+    "fallback_scored": _fallback_scored,
+    "bucketed_360": _bucketed_360,
+    "profile_files": _profile_files,
+    "log_feed": _log_feed,
+    "log_kpis": _log_kpis,
+    "log_retention": _log_retention,
+    "log_score_lookup": _log_score_lookup,
+    "job_by_day": _job_by_day,
+    "stream_latest_state": _stream_latest_state,
+    "restart_roundtrip": _restart_roundtrip,
+    "replay_roundtrip": _replay_roundtrip,
+    "pipeline_scored": _pipeline_scored,
 }
 
 

@@ -84,8 +84,8 @@ def live_kpis_from_logs(events: DataFrame, scores: DataFrame, as_of=None, hours:
     A customer's last score lies in the window if any score does, and is then the last one in it. So
     the window can be cut from the log before the latest scores are found, and the events to the
     customers of the window before their latest state is. ``day_column`` names a
-    partition column with the date of ``predicted_ts`` (``ingest_date`` in our log); older
-    partitions are then not even listed.
+    partition column with the date of ``predicted_ts`` (``ingest_date`` in our log); files of older
+    days are then not opened.
     """
     start = _window_start(as_of, hours)
     recent = scores.filter(F.col("predicted_ts") >= start)
@@ -200,6 +200,58 @@ def base_summary(state: DataFrame) -> DataFrame:
     )
 
 
+# The grouped reports of the dashboard: the column they group by, and their columns by those of ``all_rates``.
+GROUPED_REPORTS = {
+    "contract": {"contract": "contract", "nb_clients": "nb_clients", "nb_churn": "nb_churn", "taux_churn": "taux_churn"},
+    "tranche": {"tranche": "tranche", "borne_basse": "borne_basse", "borne_haute": "borne_haute", "nb_clients": "nb_clients",
+                "taux_churn": "taux_churn"},
+    "nb_services": {"nb_services": "nb_services", "nb_clients": "nb_clients", "taux_churn": "taux_churn"},
+    "mois_cohorte": {"mois_cohorte": "mois_cohorte", "nb_clients": "taille_cohorte", "nb_churn": "churners",
+                     "taux_churn": "taux_churn_cohorte", "duree_moyenne_jours": "duree_moy_avant_churn_jours"},
+    "semaine": {"semaine": "semaine", "nb_clients": "nb_churns", "mrr_moyen": "mrr_moyen_perdu"},
+}
+WHOLE_BASE = "base"
+
+
+def all_rates(state: DataFrame, low: int = 0, high: int = 72, bands: int = 12) -> DataFrame:
+    """The grouped reports and the whole base in one pass over the latest state, as grouping sets.
+
+    ``rapport`` names the column that a row is grouped by, the other group columns are NULL. Partial sums
+    come before the shuffle, so only group rows move: the state is read, and found, once for all reports.
+    """
+    gone = is_yes("churn") & F.col("churn_date").isNotNull()
+    rows = state.select(
+        "contract", F.width_bucket("tenure", F.lit(low), F.lit(high), F.lit(bands)).cast("int").alias("tranche"),
+        count_yes(SERVICE_COLUMNS).alias("nb_services"), F.trunc("signup_date", "month").alias("mois_cohorte"),
+        F.when(gone, F.trunc("churn_date", "week")).alias("semaine"),
+        "churn", "tenure", "monthly_charges", _days_to_churn().alias("jours"))
+    names = list(GROUPED_REPORTS)
+    report = F.lit(WHOLE_BASE)
+    for place, name in enumerate(reversed(names)):
+        # All bits of the grouping id are set but that of the column a row is grouped by.
+        report = F.when(F.grouping_id(*names) == (1 << len(names)) - 1 - (1 << place), name).otherwise(report)
+    sets = [[F.col(name)] for name in names] + [[]]
+    grouped = rows.groupingSets(sets, *[F.col(name) for name in names]).agg(
+        report.alias("rapport"), _rows().alias("nb_clients"), F.count_if(is_yes("churn")).alias("nb_churn"),
+        churn_rate().alias("taux_churn"), F.min("tenure").alias("borne_basse"), F.max("tenure").alias("borne_haute"),
+        exact_mean("jours", 1).alias("duree_moyenne_jours"), exact_mean("monthly_charges", 2).alias("mrr_moyen"))
+    # Customers without a signup date or a termination are in no cohort and no week.
+    return grouped.filter(
+        ~((F.col("rapport") == "mois_cohorte") & F.col("mois_cohorte").isNull())
+        & ~((F.col("rapport") == "semaine") & F.col("semaine").isNull()))
+
+
+def grouped_report(rates: DataFrame, by: str) -> DataFrame:
+    """One of the grouped reports, in no order, from (a stored) ``all_rates``."""
+    chosen = GROUPED_REPORTS[by]
+    return rates.filter(F.col("rapport") == by).select(*[F.col(own).alias(name) for own, name in chosen.items()])
+
+
+def placed(report: DataFrame) -> DataFrame:
+    """An ordered report with the place of each row, from 1. For reports of a few rows: they go through one task."""
+    return report.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 def first_row(df: DataFrame) -> DataFrame:
     """The first row of a report, or none."""
     return df.limit(1)

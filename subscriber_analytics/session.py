@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # States on local disk with their changes in the checkpoint, not in the memory of the JVM.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Only a new session can have this: call-site tracing of Columns doubles the time to build a plan.

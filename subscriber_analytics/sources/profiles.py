@@ -8,23 +8,41 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Options that choose files or end lines; they hold for the headers too.
+_FILE_OPTIONS = ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter", "lineSep")
+
+
+def headers(spark: SparkSession, path: str, **options) -> DataFrame:
+    """(header, files): the first line with text of every file, and the files that begin with it.
+
+    One pass of all files as lines: each file's first block is read by one task, which finds its first
+    line, so only a line a file is shuffled. Empty files have none.
+    """
+    chosen = {name: value for name, value in options.items() if name in _FILE_OPTIONS}
+    lines = spark.read.options(**chosen).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"))
+    first = lines.where("start = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
 
 def read_profiles(spark: SparkSession, path: str, **options) -> DataFrame:
     """CSV with a header, UTF-8, every column as text.
 
-    Columns are found by header name, in any order: the header of each file is read, files with the
-    same one are read together, and a column that a file lacks is NULL there. Types are not inferred. Quotes inside quoted fields are doubled. Fields with line breaks need
-    ``multiLine=True``, which makes a file one task.
+    Columns are found by header name, in any order: one pass finds the header of every file, files with the
+    same one are read together, and a column that a file lacks is NULL there. The number of jobs goes with the
+    different headers, not with the files. Types are not inferred. Quotes inside quoted fields are doubled. Fields
+    with line breaks need ``multiLine=True``, which makes a file one task; a header is one line even then.
     """
-    reader = spark.read.options(
-        **{"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', **options}
-    )
-    together: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.format("binaryFile").load(path).inputFiles()):
-        together.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    chosen = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', **options}
+    together = headers(spark, path, **options).orderBy("header").collect()
     if len(together) < 2:
-        return reader.csv(path)
-    parts = [reader.csv(files) for files in together.values()]
+        return spark.read.options(**chosen).csv(path)
+    parts = []
+    for _, files in together:
+        # The names come from the first file by the reader's own rules; the others are not looked at again.
+        names = spark.read.options(**chosen).csv(files[0]).schema
+        parts.append(spark.read.options(**chosen).schema(names).csv(files))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

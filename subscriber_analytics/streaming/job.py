@@ -21,7 +21,8 @@ from subscriber_analytics.operators.features import model_inputs, preprocess, to
 from subscriber_analytics.operators.metrics import metric_columns
 from subscriber_analytics.operators.parsing import parse_events, to_event_log
 from subscriber_analytics.operators.scoring import Scorer, to_score_log
-from subscriber_analytics.streaming.logs import EVENTS, SCORES, read_batch, write_batch
+from subscriber_analytics.sources.database import BatchTables
+from subscriber_analytics.streaming.logs import EVENTS, SCORES, read_batch, write_batch, write_metrics
 
 _QUERY_ID = "sql.streaming.queryId"
 
@@ -48,10 +49,10 @@ def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFr
     """One score log row per customer in the frame, from its first event in arrival order.
 
     The customer and its event time travel with the features, so a score cannot end up with another
-    customer.
+    customer. The time of the score is that of the micro-batch, which a replay does not change.
     """
-    keys = ["customerID", "event_ts", "arrival"]
-    named = to_training_names(events).drop("ingested_ts")
+    keys = ["customerID", "event_ts", "arrival", "predicted_ts"]
+    named = to_training_names(events).withColumnRenamed("ingested_ts", "predicted_ts")
     inputs = model_inputs(preprocess(named, order=["arrival"]), keep=keys)
     scored = scorer(inputs).withColumnRenamed("customerID", "customer_id")
     return to_score_log(scored, config.threshold, config.model_name, config.model_version)
@@ -59,11 +60,12 @@ def score_events(events: DataFrame, scorer: Scorer, config: JobConfig) -> DataFr
 
 def batch_processor(scorer: Scorer | None, config: JobConfig,
                     on_metrics: Callable[[int, dict], None] | None = None,
-                    ) -> Callable[[DataFrame, int], None]:
+                    tables: BatchTables | None = None) -> Callable[[DataFrame, int], None]:
     """The function for ``foreachBatch`` on a stream of event log rows.
 
     An error leaves it, so that the batch is delivered again; what the first attempt wrote is then
-    replaced. ``on_metrics`` gets the counts of each scored batch. Without a scorer events are stored only.
+    replaced. The counts of each scored batch come from its own writes, go to the metrics log and to
+    ``on_metrics``. ``tables`` gets the good rows of both logs as well. Without a scorer events are stored only.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -77,22 +79,29 @@ def batch_processor(scorer: Scorer | None, config: JobConfig,
                           F.count_if(F.col(REASON).isNotNull()).alias("nb_rejets")),
             config.root, EVENTS, query_id, batch_id,
         )
+        events = read_batch(spark, config.root, EVENTS, query_id, batch_id)
+        if tables is not None:
+            tables.write(events, EVENTS, query_id, batch_id)
         if scorer is None or received.get["nb_evenements"] == 0:
             return
-        events = read_batch(spark, config.root, EVENTS, query_id, batch_id)
         scored = Observation(f"scores_{batch_id}")
         write_batch(
             score_events(events, scorer, config).observe(scored, *metric_columns(F.col(REASON).isNull())),
             config.root, SCORES, query_id, batch_id,
         )
+        if tables is not None:
+            tables.write(read_batch(spark, config.root, SCORES, query_id, batch_id), SCORES, query_id, batch_id)
+        counts = {**received.get, **scored.get}
+        write_metrics(spark, counts, config.root, query_id, batch_id)
         if on_metrics is not None:
-            on_metrics(batch_id, {**received.get, **scored.get})
+            on_metrics(batch_id, counts)
 
     return process
 
 
 def start_job(messages: DataFrame, scorer: Scorer | None, config: JobConfig, available_now: bool = False,
-              on_metrics: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+              on_metrics: Callable[[int, dict], None] | None = None,
+              tables: BatchTables | None = None) -> StreamingQuery:
     """Start the job on a stream of envelopes. With ``available_now`` it processes what is there
     and stops."""
     if config.spread is not None:
@@ -103,4 +112,4 @@ def start_job(messages: DataFrame, scorer: Scorer | None, config: JobConfig, ava
         writer.trigger(availableNow=True) if available_now
         else writer.trigger(processingTime=f"{config.trigger_seconds} seconds")
     )
-    return writer.foreachBatch(batch_processor(scorer, config, on_metrics)).start()
+    return writer.foreachBatch(batch_processor(scorer, config, on_metrics, tables)).start()
