@@ -30,9 +30,12 @@ def latest_states(messages: DataFrame) -> DataFrame:
     with a large share of a batch sends one row a task. A message that arrives late, with a lower position than
     the stored one, changes nothing.
     """
-    rows = to_event_log(parse_events(messages)).filter(F.col(REASON).isNull()).drop(REASON, "raw_value")
-    last = F.max_by(F.struct(*rows.columns), F.struct("arrival", "ingested_ts"))
-    return rows.groupBy("customer_id").agg(last.alias("last")).select("last.*")
+    rows = to_event_log(parse_events(messages))
+    # No filter on the reason: pushed down, its long text would be built for each of the columns again. Rows
+    # without an order do not count in max_by.
+    order = F.when(F.col(REASON).isNull(), F.struct("arrival", "ingested_ts"))
+    last = F.max_by(F.struct(*[name for name in rows.columns if name not in (REASON, "raw_value")]), order)
+    return rows.groupBy("customer_id").agg(last.alias("last")).filter(F.col("last").isNotNull()).select("last.*")
 
 
 def start_latest_states(messages: DataFrame, root: str, checkpoint: str, available_now: bool = False,
@@ -78,4 +81,4 @@ def states_from_store(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The latest states as the last finished batch left them in the state store: one row a customer."""
     stored = spark.read.format("statestore").load(checkpoint)
     buffer = stored.schema["value"].dataType.names[0]
-    return stored.select(F.col(f"value.`{buffer}`").alias("last")).select("last.*")
+    return stored.select(F.col(f"value.`{buffer}`").alias("last")).filter(F.col("last").isNotNull()).select("last.*")
