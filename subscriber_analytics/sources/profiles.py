@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,11 @@ def headers(spark: SparkSession, path: str, **options) -> DataFrame:
     return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
 
 
+def _as_path(file: str) -> str:
+    """A path that Spark names, as one it reads: not encoded as an address, without wildcards."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+
+
 def read_profiles(spark: SparkSession, path: str, **options) -> DataFrame:
     """CSV with a header, UTF-8, every column as text.
 
@@ -41,6 +48,7 @@ def read_profiles(spark: SparkSession, path: str, **options) -> DataFrame:
     parts = []
     for _, files in together:
         # The names come from the first file by the reader's own rules; the others are not looked at again.
+        files = [_as_path(file) for file in files]
         names = spark.read.options(**chosen).csv(files[0]).schema
         parts.append(spark.read.options(**chosen).schema(names).csv(files))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -180,3 +180,22 @@ def test_kafka_options():
         "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000",
     }
     assert kafka_options("b")["startingOffsets"] == "latest"
+
+
+def test_headers_of_a_thousand_files_take_few_jobs(spark, tmp_path):
+    for k in range(1000):
+        names, row = ["customerID", "tenure", "Churn"], [f"c{k}", str(k), "Yes"]
+        if k % 2:
+            names, row = names[::-1], row[::-1]
+        lead = "\n" if k % 7 == 0 else ""
+        (tmp_path / f"p {k}%.csv").write_text(lead + ",".join(names) + "\n" + ",".join(row) + "\n", encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        raw = read_profiles(spark, str(tmp_path))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20
+    rows = values(raw, "customerID", "tenure", "Churn")
+    assert sorted(rows) == sorted((f"c{k}", str(k), "Yes") for k in range(1000))

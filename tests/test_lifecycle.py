@@ -108,3 +108,12 @@ def test_retention_includes_the_bound(spark):
         "FROM range(10)")
     kept = lc.retain(df, "2024-03-08 00:00:00")
     assert sorted(i for i, in values(kept, "id")) == list(range(8))
+
+
+def test_rejected_profiles_stay_with_their_reason(spark):
+    raw = spark.createDataFrame(
+        [("a", "3", "0", "Yes"), ("b", "3", "x", "Yes")], "customerID string, tenure string, SeniorCitizen string, Churn string")
+    rows = values(lc.replay_profiles(raw, AS_OF).orderBy("customer_id", "event_ts"),
+                  "customer_id", "event_type", "churn", "reject_reason")
+    assert rows == [("a", "abonnement", "No", None), ("a", "resiliation", "Yes", None), ("b", None, "Yes", "senior_citizen: invalid")]
+    assert values(lc.replay_profiles(raw, AS_OF).filter("customer_id = 'b'"), "event_ts", "signup_date", "churn_date") == [(None, None, None)]

@@ -3,13 +3,18 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from subscriber_analytics import fixtures as fx
+from subscriber_analytics.operators import lifecycle
 from subscriber_analytics.operators import state as st
 from subscriber_analytics.operators.features import preprocess
-from subscriber_analytics.plans import registry, reports
+from subscriber_analytics.plans import registry, reports, tables
+from subscriber_analytics.streaming.logs import LOOKUP_OPTIONS
 
-BATCH = [name for name in registry.QUERIES if not name.startswith("stream_")]
+# Queries that run jobs of their own before their result is planned are checked by their results.
+RUN = ("stream_", "publish_", "job_", "restart_", "replay_", "pipeline_", "log_", "profile_", "bucketed_", "fallback_")
+BATCH = [name for name in registry.QUERIES if not name.startswith(RUN)]
 
 
 def _plan(df):
@@ -77,11 +82,67 @@ def test_top_k_is_no_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-def test_feed_broadcasts_only_its_own_rows(spark, sf_dir, no_broadcast):
-    plan = _plan(st.live_feed(*_logs(spark, sf_dir), 50))
-    assert re.search(r"BroadcastHashJoin .*LeftSemi", plan)
-    # The feed's own rows were fetched in one scan; what is left reads the score log alone.
-    assert _count(plan, r"FileScan parquet") == 1 and "TakeOrderedAndProject" not in plan
+def _jobs(spark, group):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_feed_runs_nothing_early_and_scans_the_events_once(spark, sf_dir):
+    events, scores = _logs(spark, sf_dir)
+    spark.sparkContext.setJobGroup("feed", "feed")
+    try:
+        feed = st.live_feed(events, scores, 50)
+        assert _jobs(spark, "feed") == 0
+        feed.collect()
+        assert _jobs(spark, "feed") > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = _plan(feed)
+    # The subquery with the newest events runs once and filters the score log; the other use is the same.
+    assert "ReusedSubquery" in plan and "TakeOrderedAndProject" in plan and "array_contains" in plan
+
+
+def test_day_filters_of_a_stored_log_skip_its_folders(spark, sf_dir):
+    events, scores = registry._recent_logs(spark, sf_dir)
+    day = r"PartitionFilters: \[[^\]]*ingest_date[^\]]* >= 2001-0"
+    for df in (st.within_days(events, 30, fx.AS_OF), reports.live_kpis_from_logs(
+            events, scores, fx.AS_OF, 24, day_column="ingest_date"), lifecycle.retain(
+            events, fx.AS_OF, 7, "ingested_ts", "ingest_date")):
+        assert re.search(day, _plan(df))
+    recent = st.within_days(events, 9, fx.AS_OF)
+    assert recent.select(F.col("_metadata.file_path")).distinct().count() == 9 == recent.select("ingest_date").distinct().count()
+    assert events.select(F.col("_metadata.file_path")).distinct().count() == fx.RECENT_DAYS
+
+
+def test_lookup_skips_the_row_groups_of_other_customers(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    keys = spark.range(100_000).select(F.concat(F.lit("c"), F.xxhash64("id")).alias("customer_id"), "id")
+    # Without a dictionary it is the Bloom filter alone that tells; the ranges of the files overlap.
+    keys.repartition(1000).write.options(**LOOKUP_OPTIONS).option("parquet.enable.dictionary", "false").parquet(path)
+    wanted = keys.filter("id = 77777").first()["customer_id"]
+    found = spark.read.parquet(path).filter(F.col("customer_id") == wanted)
+    assert [r["id"] for r in found.collect()] == [77777]
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 1000
+    assert scan.metrics().apply("numOutputRows").value() < 5_000  # a twentieth, with the filter's false hits
+
+
+def test_bucketed_tables_join_without_exchange_after_a_restart(spark, sf_dir, tmp_path, no_broadcast):
+    events, scores = _logs(spark, sf_dir)
+    found = []
+    for name, df in (("plan_states", st.latest_state(events)), ("plan_scores", st.latest_score(scores))):
+        tables.save_bucketed(df, name, str(tmp_path / name), buckets=4)
+        spark.sql(f"DROP TABLE {name}")  # an external table: a session that ends leaves the files as this does
+        found.append(tables.attach_bucketed(spark, f"{name}_read", str(tmp_path / name), df.schema, buckets=4))
+    joined = st.join_360(*found, fx.AS_OF)
+    plan = _plan(joined)
+    assert "SortMergeJoin" in plan and _count(plan, "Exchange") == 0
+    want = st.customer_360(events, scores, fx.AS_OF)
+    assert joined.exceptAll(want).count() == 0 == want.exceptAll(joined).count()
+
+
+def test_all_grouped_reports_need_one_shuffle_of_the_state(spark, sf_dir):
+    plan = _plan(reports.all_rates(st.latest_state(_logs(spark, sf_dir)[0])))
+    assert _count(plan, "FileScan parquet") == 1 and _count(plan, "Exchange") == 2 and _count(plan, "Expand") == 1
 
 
 def test_lookup_filter_reaches_the_scan(spark, sf_dir, tmp_path):

@@ -137,3 +137,20 @@ def test_views_and_bound_parameters(spark, sf_dir, tmp_path):
     top = views.query(spark, "SELECT * FROM v_clients_risque LIMIT :n", n=3)
     assert [r[0] for r in values(top, "churn_score")] == sorted(
         (r[0] for r in values(top, "churn_score")), reverse=True)
+
+
+def test_grouped_reports_are_the_single_ones(spark, sf_dir):
+    from subscriber_analytics import fixtures as fx
+    from subscriber_analytics.operators.state import latest_state
+
+    state = latest_state(fx.order_events(spark, sf_dir)).persist()
+    rates = reports.all_rates(state).persist()
+    single = {"contract": reports.rate_by(state), "tranche": reports.rate_by_tenure(state), "nb_services": reports.rate_by_services(state),
+              "mois_cohorte": reports.cohort_retention(state), "semaine": reports.weekly_trend(state)}
+    assert set(single) == set(reports.GROUPED_REPORTS)
+    for name, report in single.items():
+        found = reports.grouped_report(rates, name)
+        assert found.columns == report.columns
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, report.collect())), name
+    state.unpersist()
+    rates.unpersist()

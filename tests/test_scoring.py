@@ -135,3 +135,19 @@ def test_a_copy_that_cannot_be_written_does_not_stop_loading(spark, tmp_path):
     (tmp_path / "blocked").write_text("a file")
     scorer = scoring.load_coefficients(spark, path, str(tmp_path / "blocked" / "copy"))
     assert scorer.intercept == 1.0
+
+
+def test_fitted_pipeline_and_its_own_weights(spark):
+    from subscriber_analytics.operators.scoring import LogitScorer, PipelineScorer, fit_pipeline, logit_of
+
+    rows = [(float(k % 40), "One year" if k % 3 else "Two year", None if k % 50 == 0 else float(k % 40 < 15)) for k in range(400)]
+    training = spark.createDataFrame(rows, "tenure double, Contract string, label double")
+    names, levels = ("tenure",), {"Contract": ("Two year", "it's")}
+    model = fit_pipeline(training, "label", names, levels)
+    own = logit_of(model, names, levels)
+    assert own.numeric["tenure"] < 0 and set(own.categorical["Contract"]) == set(levels["Contract"])
+    inputs = spark.createDataFrame([(1.0, "Two year"), (None, None), (39.0, "it's")], "tenure double, Contract string")
+    first, second = (sorted(r["churn_score"] for r in s(inputs).collect()) for s in (PipelineScorer(model), own))
+    assert max(abs(a - b) for a, b in zip(first, second)) < 1e-12 and first[-1] - first[0] > 0.1
+    again = LogitScorer.from_table(own.to_table(spark))
+    assert again == own

@@ -11,6 +11,7 @@ from subscriber_analytics.schemas import EVENT_LOG_RULES, SCORE_LOG_RULES
 from subscriber_analytics.session import work_dir
 from subscriber_analytics.sources.events import read_event_files
 from subscriber_analytics.streaming import logs
+from subscriber_analytics.streaming import state as states
 from subscriber_analytics.streaming.job import JobConfig, start_job
 from tests.helpers import envelopes, event, values
 
@@ -124,7 +125,7 @@ def test_filters_on_days_and_batches_reach_the_scan(spark, source, place):
         "ingest_date >= DATE '2020-01-01' AND batch_id = 1")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*batch_id[^\]]* = 1", plan)
-    assert "GreaterThanOrEqual(ingested_ts,2020-01-01" in plan
+    assert re.search(r"PartitionFilters: \[.*ingest_date[^\]]* >= 2020-01-01", plan)
     assert values(rows, "customer_id") == [("c1",)]
 
 
@@ -154,6 +155,54 @@ def test_many_batches_equal_one_pass(spark, sf_dir, place, tmp_path):
     days.unpersist()
 
 
+def test_metrics_log_is_what_the_job_counted(spark, source, place):
+    seen = {}
+    for k in range(2):
+        _send(spark, source, [(event(customer_id=c), "usages", 10 * k + n) for n, c in enumerate("aab"[k:])])
+    _run(spark, source, place, on_metrics=seen.__setitem__)
+    rows = {r["batch_id"]: r for r in logs.read_metrics(spark, place.root).collect()}
+    assert set(rows) == set(seen) == {0, 1}
+    for batch, counts in seen.items():
+        assert {name: rows[batch][name] for name in counts} == counts
+    assert sorted(r["nb_evenements"] for r in rows.values()) == [2, 3]
+
+
+def test_a_replay_keeps_the_time_of_the_scores(spark, source, place):
+    _send(spark, source, [(event(customer_id="a"), "usages", 0)])
+
+    def stop(batch_id, counts):
+        raise ValueError("after both writes")
+
+    with pytest.raises(StreamingQueryException):
+        _run(spark, source, place, on_metrics=stop)
+    first = values(logs.read_log(spark, place.root, logs.SCORES), "predicted_ts", "ingest_date")
+    _run(spark, source, place)
+    assert values(logs.read_log(spark, place.root, logs.SCORES), "predicted_ts", "ingest_date") == first and len(first) == 1
+
+
+def test_streaming_states_ignore_late_and_bad_messages(spark, source, tmp_path):
+    root, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
+
+    def run():
+        stream = read_event_files(spark, source, max_files_per_trigger=1)
+        states.start_latest_states(stream, root, checkpoint, available_now=True, partitions=2).awaitTermination()
+
+    _send(spark, source, [(event(customer_id="a", tenure=1), "usages", 5), (event(customer_id="b", tenure=2), "usages", 6)])
+    run()
+    _send(spark, source, [(event(customer_id="a", tenure=9), "usages", 3), (event(customer_id="b", event_ts=None), "usages", 8),
+                          ("broken", "usages", 9), (event(customer_id="b", tenure=7), "usages", 7),
+                          (event(customer_id=None), "usages", 10)])
+    run()
+    want = [("a", 1, 5), ("b", 7, 7)]
+    for found in (states.states_from_store(spark, checkpoint), states.states_from_changes(spark, root)):
+        assert sorted(values(found, "customer_id", "tenure", "arrival.offset")) == want
+    assert read_counts(states.read_changes(spark, root)) == {0: 2, 1: 2}
+
+
+def read_counts(changes):
+    return {r["batch_id"]: r["count"] for r in changes.groupBy("batch_id").count().collect()}
+
+
 def test_work_dir(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second
