@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import re
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,20 +14,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subscriber_analytics.llm.arrow import add_columns, blocks, prepare
+from subscriber_analytics.llm.arrow import add_columns, blocks, prepare, stored
 
 WORDS = re.compile(r"[^\W\d_]+")
 # Longest n-gram first; a word between two blanks has at least one of each length up to its own plus two.
 LENGTHS = (5, 4, 3, 2, 1)
 # Documents a language is learned from, chosen by hash over all of its labelled documents.
 SAMPLE_DOCUMENTS = 3000
-# Words, and n-grams of each length, kept of a language: the most frequent ones.
+# Words, and n-grams of each length, kept of a language: the most frequent ones. If there are so many languages that
+# the model would hold more than MODEL_ENTRIES, each keeps an equal share of these.
 KEPT_WORDS = 20_000
 KEPT_GRAMS = 6_000
-# Labels beyond this number are no languages: learning is refused.
-MOST_LANGUAGES = 1000
-# Unseen words whose scores a worker remembers; the memory starts anew when it is full.
-REMEMBERED = 150_000
+MODEL_ENTRIES = 1_000_000
+# Tasks that the sampled documents are dealt to before their words are counted.
+SPREAD = 32
+# Distinct words of a text that are scored at once.
+SCORED_ROWS = 65_536
+# Entries of the model that are taken from Arrow at once.
+OUT_ROWS = 50_000
+# Entries of unseen words that a worker remembers; the memory starts anew when it is full. So many words are
+# looked up at once.
+REMEMBERED = 2_000_000
+LOOKED_UP = 4096
 UNDETERMINED = "und"
 
 FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -42,70 +50,115 @@ def grams(word: str, size: int) -> list[str]:
     return [padded[k:k + size] for k in range(len(padded) - size + 1)]
 
 
+@dataclass
+class Rows:
+    """Sparse rows: those of row k lie from bounds[k] to bounds[k + 1], each a language and how much it gains."""
+
+    bounds: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+
+    @classmethod
+    def none(cls) -> Rows:
+        return cls(np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all entries of the rows, and how many each row has."""
+        starts = self.bounds[rows]
+        sizes = self.bounds[rows + 1] - starts
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes), sizes
+
+    def add_to(self, total: np.ndarray, rows: np.ndarray, times: np.ndarray) -> None:
+        for k in range(0, len(rows), SCORED_ROWS):
+            found, sizes = self.entries(rows[k:k + SCORED_ROWS])
+            gains = self.gains[found] * np.repeat(times[k:k + SCORED_ROWS], sizes)
+            total += np.bincount(self.langs[found], gains, len(total))
+
+    def extended(self, sizes: np.ndarray, langs: np.ndarray, gains: np.ndarray) -> Rows:
+        return Rows(np.r_[self.bounds, self.bounds[-1] + np.cumsum(sizes)],
+                    np.concatenate([self.langs, langs]), np.concatenate([self.gains, gains]))
+
+
 @dataclass
 class LanguageModel:
-    """Log frequency of words and n-grams in each language, a row each; size 0 stands for whole words."""
+    """Log frequency of words and n-grams in each language; size 0 stands for whole words.
+
+    A word or n-gram has one and the same frequency in all languages that lack it, so its row holds only the
+    languages that have it and what they gain over the others.
+    """
 
     langs: list[str]
     index: dict[int, dict[str, int]]
-    table: np.ndarray
-    _rows: dict[str, int] = field(default_factory=dict)
-    _scores: np.ndarray | None = None
+    table: Rows
+    _seen: dict[str, int] = field(default_factory=dict)
+    _rows: Rows = field(default_factory=Rows.none)
 
     @classmethod
-    def from_counts(cls, rows: list[tuple[str, int, str, int]]) -> LanguageModel:
+    def from_counts(cls, rows: Iterable[tuple[str, int, str, int]]) -> LanguageModel:
         """From (lang, size, gram, count). What a language lacks has half a count of the largest language
         there, so that one with few words is not taken for what nobody has."""
-        langs = sorted({r[0] for r in rows})
-        at = {lang: k for k, lang in enumerate(langs)}
+        at: dict[str, int] = {}
         index: dict[int, dict[str, int]] = {size: {} for size in (0, *LENGTHS)}
         number = 0
-        for _, size, gram, _ in rows:
-            if gram not in index[size]:
-                index[size][gram] = number
-                number += 1
-        counts = np.zeros((number, len(langs)))
-        totals = {size: np.ones(len(langs)) for size in index}
+        columns = [array("q") for _ in range(4)]
         for lang, size, gram, n in rows:
-            counts[index[size][gram], at[lang]] = n
-            totals[size][at[lang]] += n
-        for size, found in index.items():
-            members = np.fromiter(found.values(), np.int64, len(found))
-            shares = counts[members] / totals[size]
-            counts[members] = np.where(shares > 0, shares, 0.5 / totals[size].max(initial=1))
-        return cls(langs, index, np.log(counts).astype(np.float32))
-
-    def backed_off(self, words: list[str]) -> np.ndarray:
-        """Scores of unseen words: the mean over a word's longest n-grams that are known, 0 without any."""
+            row = index[size].setdefault(gram, number)
+            number += row == number
+            for column, value in zip(columns, (row, at.setdefault(lang, len(at)), size, n), strict=True):
+                column.append(value)
+        row, lang, size, n = (np.array(column, np.int64) for column in columns)
+        langs = sorted(at)
+        place = np.empty(len(at), np.int64)
+        place[[at[name] for name in langs]] = np.arange(len(at))
+        lang = place[lang]
+        totals = np.ones((len(LENGTHS) + 1, len(langs)))
+        np.add.at(totals, (size, lang), n)
+        gains = np.log(n / totals[size, lang]) - np.log(0.5 / totals.max(axis=1, initial=1)[size])
+        order = np.lexsort((lang, row))
+        bounds = np.searchsorted(row[order], np.arange(number + 1))
+        return cls(langs, index, Rows(bounds, lang[order].astype(np.int32), gains[order].astype(np.float32)))
+
+    def backed_off(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of unseen words, as sizes, languages and gains: the mean over a word's longest n-grams that
+        are known, empty without any."""
         tables = [(size, self.index[size].get) for size in LENGTHS]
         rows: list[int] = []
-        sizes = np.zeros(len(words), np.int64)
+        grams_of = np.zeros(len(words), np.int64)
         for n, word in enumerate(words):
             padded = f" {word} "
             for size, get in tables:
                 found = [r for k in range(len(padded) - size + 1) if (r := get(padded[k:k + size])) is not None]
                 if found:
                     rows += found
-                    sizes[n] = len(found)
+                    grams_of[n] = len(found)
                     break
-        scores = np.zeros((len(words), len(self.langs)), np.float32)
-        some = np.flatnonzero(sizes)
-        if len(some):
-            starts = np.cumsum(sizes[some]) - sizes[some]
-            scores[some] = np.add.reduceat(self.table[rows], starts, axis=0) / sizes[some, None]
-        return scores
+        entries, sizes = self.table.entries(np.array(rows, np.int64))
+        share = np.repeat(1 / grams_of[grams_of > 0], grams_of[grams_of > 0])
+        owner = np.repeat(np.repeat(np.arange(len(words)), grams_of), sizes)
+        # The gains of a word's n-grams in the same language are one entry.
+        key, place = np.unique(owner * max(len(self.langs), 1) + self.table.langs[entries], return_inverse=True)
+        gains = np.bincount(place, self.table.gains[entries] * np.repeat(share, sizes), len(key))
+        owner, langs = np.divmod(key, max(len(self.langs), 1))
+        return np.bincount(owner, minlength=len(words)), langs.astype(np.int32), gains.astype(np.float32)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language of each text and its probability among the languages of the model."""
         words = [WORDS.findall(t.lower()) for t in texts]
-        if self._scores is None or len(self._scores) - len(self.table) > REMEMBERED:
-            self._rows, self._scores = dict(self.index.get(0, {})), self.table
+        if len(self._rows.gains) + len(self._rows) > REMEMBERED:
+            self._seen, self._rows = {}, Rows.none()
+        known, size = self.index.get(0, {}), len(self.table)
         seen: set[str] = set()
         for found in words:
             seen.update(found)
-        new = [word for word in seen if word not in self._rows]
-        self._rows.update(zip(new, range(len(self._scores), len(self._scores) + len(new)), strict=True))
-        self._scores = np.concatenate([self._scores, self.backed_off(new)])
+        new = [word for word in seen if word not in known and word not in self._seen]
+        self._seen.update(zip(new, range(size + len(self._rows), size + len(self._rows) + len(new)), strict=True))
+        if new:
+            parts = [self.backed_off(new[k:k + LOOKED_UP]) for k in range(0, len(new), LOOKED_UP)]
+            self._rows = self._rows.extended(*(np.concatenate(found) for found in zip(*parts, strict=True)))
         langs, sure = [], []
         for found in words:
             # The word pattern lets signs like superscript two pass, which are no letters.
@@ -113,8 +166,12 @@ class LanguageModel:
                 langs.append(UNDETERMINED)
                 sure.append(0.0)
                 continue
-            index = np.fromiter(map(self._rows.__getitem__, found), np.int64, len(found))
-            total = self._scores[index].sum(axis=0, dtype=np.float64)
+            index = np.fromiter((known[w] if w in known else self._seen[w] for w in found), np.int64, len(found))
+            rows, times = np.unique(index, return_counts=True)
+            cut = int(np.searchsorted(rows, size))
+            total = np.zeros(len(self.langs))
+            self.table.add_to(total, rows[:cut], times[:cut])
+            self._rows.add_to(total, rows[cut:] - size, times[cut:])
             best = int(np.argmax(total))
             langs.append(self.langs[best])
             sure.append(float(1 / np.exp(np.maximum(total - total[best], -700)).sum()))
@@ -146,30 +203,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(
     labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
     sample: int = SAMPLE_DOCUMENTS, words: int = KEPT_WORDS, per_length: int = KEPT_GRAMS,
+    entries: int = MODEL_ENTRIES,
 ) -> LanguageModel:
     """Model of the labelled rows.
 
     ``sample`` documents of each language are expected to be read: those whose key's hash falls below
     sample / (documents of the language); a language with fewer gives all. The model holds at most
-    ``words`` + 5 * ``per_length`` entries a language, however large the table is. Rows without a
-    label or key teach nothing; without any labelled row the model has no language, and more than
-    MOST_LANGUAGES labels are an error.
+    ``words`` + 5 * ``per_length`` entries a language and about ``entries`` in all, however large the table is
+    and however many labels it has: with many, each keeps its most frequent ones in an equal share. Rows without
+    a label or key teach nothing; without any labelled row the model has no language.
     """
+    prepare(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    shares = F.from_json(F.lit(json.dumps({r["lang"]: sample / r["count"] for r in sizes})), "map<string,double>")
+    sizes = stored(rows.groupBy("lang").count(), "language-sizes")
+    share = min(1.0, entries / (max(sizes.count(), 1) * (words + len(LENGTHS) * per_length)))
+    words, per_length = max(1, int(words * share)), max(1, int(per_length * share))
     draw = F.pmod(F.xxhash64(F.lit("language-sample"), "key"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    drawn = rows.where(draw < F.try_element_at(shares, F.col("lang")))
-    prepare(labelled.sparkSession)
-    counts = drawn.select("lang", "text").mapInArrow(_counted, _COUNTS)
+    drawn = rows.join(sizes.select("lang", (F.lit(float(sample)) / F.col("count")).alias("share")), "lang").where(draw < F.col("share"))
+    counts = drawn.select("lang", "text").repartition(SPREAD).mapInArrow(_counted, _COUNTS)
     totals = counts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram"))
-    top = totals.withColumn("rank", rank).where(
+    # The first limit is a number, so Spark cuts each group before it is moved.
+    top = totals.withColumn("rank", rank).where(F.col("rank") <= max(words, per_length)).where(
         F.col("rank") <= F.when(F.col("size") == 0, words).otherwise(per_length))
-    return LanguageModel.from_counts([(r["lang"], r["size"], r["gram"], r["n"]) for r in top.collect()])
+    found = top.select("lang", "size", "gram", "n").toArrow()
+    return LanguageModel.from_counts(row for part in found.to_batches(max_chunksize=OUT_ROWS)
+                                     for row in zip(*(column.to_pylist() for column in part.columns), strict=True))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

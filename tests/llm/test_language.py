@@ -1,4 +1,7 @@
+import math
+import random
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -37,3 +40,71 @@ def test_held_out_accuracy(spark):
     held = [r for r in truth if got[r["doc_id"]]["held_out"]]
     right = sum(got[r["doc_id"]]["lang_pred"] == r["lang"] for r in held)
     assert right >= 0.95 * len(held)
+
+
+def brute_force(rows, texts):
+    """Sums of log frequencies over all languages, each word by itself."""
+    langs = sorted({r[0] for r in rows})
+    count = {(size, gram, lang): n for lang, size, gram, n in rows}
+    total = {(size, lang): 1 + sum(n for at, s, _, n in rows if (at, s) == (lang, size)) for size in range(6) for lang in langs}
+
+    def logs(size, gram):
+        least = 0.5 / max(total[size, lang] for lang in langs)
+        if not any((size, gram, lang) in count for lang in langs):
+            return None
+        return [math.log(count[size, gram, lang] / total[size, lang] if (size, gram, lang) in count else least) for lang in langs]
+
+    def scores(word):
+        if (whole := logs(0, word)) is not None:
+            return whole
+        for size in language.LENGTHS:
+            known = [found for gram in language.grams(word, size) if (found := logs(size, gram)) is not None]
+            if known:
+                return [sum(column) / len(known) for column in zip(*known, strict=True)]
+        return [0.0] * len(langs)
+
+    out = []
+    for text in texts:
+        sums = [sum(column) for column in zip(*[scores(w) for w in language.WORDS.findall(text.lower())], strict=True)]
+        best = max(sums)
+        out.append((langs[sums.index(best)], 1 / sum(math.exp(max(x - best, -700)) for x in sums)))
+    return out
+
+
+def test_model_equals_brute_force(monkeypatch):
+    monkeypatch.setattr(language, "LOOKED_UP", 3)
+    monkeypatch.setattr(language, "REMEMBERED", 40)
+    monkeypatch.setattr(language, "SCORED_ROWS", 2)
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 7)))
+    counts = Counter()
+    for lang in ("l1", "l2", "l3", "l4"):
+        for _ in range(40):
+            w = word()
+            counts[lang, 0, w] += 1
+            for size in language.LENGTHS:
+                for gram in language.grams(w, size)[::2]:
+                    counts[lang, size, gram] += 1
+    rows = [(*key, n) for key, n in counts.items()]
+    model = language.LanguageModel.from_counts(rows)
+    known = [gram for _, size, gram, _ in rows if size == 0]
+    for _ in range(4):
+        texts = [" ".join(draw.choice([word(), draw.choice(known)]) for _ in range(draw.randint(1, 12))) for _ in range(30)]
+        got = list(zip(*model.predict(texts), strict=True))
+        for (lang, sure), (lang_too, sure_too) in zip(got, brute_force(rows, texts), strict=True):
+            assert math.isclose(sure, sure_too, rel_tol=1e-4)
+            # Float32 gains may turn a tie.
+            assert lang == lang_too or sure_too < 0.51
+
+
+def test_many_labels(spark):
+    n = 3000
+    docs = spark.range(n * 2).selectExpr(
+        "id AS doc_id", f"concat('l', lpad(id % {n}, 4, '0')) AS lang",
+        f"concat('word', translate(cast(id % {n} AS string), '0123456789', 'abcdefghij'), ' common text') AS text")
+    model = language.learn(docs, entries=60_000)
+    assert len(model.langs) == n
+    assert len(model.table.gains) <= 60_000
+    few = language.learn(docs.where("doc_id < 5"))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs.where("doc_id < 5"), few).collect()}
+    assert got == {k: f"l{k:04}" for k in range(5)}
