@@ -121,10 +121,13 @@ def find(
     document id are judged each by their own text. An empty benchmark hits nothing.
     """
     windows = stored(benchmark_windows(items, item_id, item_text), "windows")
-    places = candidates(docs, windows, doc_id, text)
+    # Places belong to a row's id and text: rows that share an id, or have none, do not get those of each other.
+    # Should two rows have the same hash all the same, the check of the words decides.
+    row_key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    places = candidates(docs.select(row_key.alias("key"), F.col(f"`{text}`").alias("text")), windows, "key", "text")
     by_doc = places.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("start", "size", "window")).alias("_places"))
     kept = [f"`{c}`" for c in without(docs, [*OWN, text])]
-    joined = docs.select(*kept, text).join(by_doc, F.col(doc_id).eqNullSafe(F.col("_key")), "left")
+    joined = docs.select(*kept, text).join(by_doc, row_key == F.col("_key"), "left")
     worded = joined.select(*kept, F.xxhash64(text).alias("_hash"), "_places", _words(F.col(text)).alias("_words"))
     true = F.filter(F.coalesce("_places", F.array().cast(_PLACES)), lambda p: _joined(F.col("_words"), p["start"] + 1, p["size"]) == p["window"])
     held = worded.select(*kept, "_hash", F.size("_words").cast("long").alias("n_words"), true.alias("_held"))

@@ -65,3 +65,9 @@ def test_query_is_the_brute_force_one(spark):
     got = registry.queries()["op1_decontamination"](spark, path).collect()
     want = brute(docs, items)
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in got), key=repr) == [(d, n, h, len(i)) for d, n, h, i in want]
+
+
+def test_rows_without_an_id_keep_their_own_places(spark):
+    rows = [(None, f"row {k} quick brown fox {'the lazy dog and runs on ' * (k % 3)}", None, None, 1) for k in range(300)]
+    got = decontaminate.find(documents(spark, rows), spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got.collect()), key=repr) == brute([r[:2] for r in rows], ITEMS)
