@@ -108,6 +108,12 @@ SELECT CAST(c_custkey AS STRING) AS customerID, ' Male ' AS gender,
 FROM customer
 """
 
+# The same with dates of their own, as text.
+DATED_PROFILES = CUSTOMER_PROFILES.replace("  c_custkey\n", """  CAST(DATE '1999-01-01' + CAST(c_custkey % 500 AS INT) AS STRING) AS signup_date,
+  CASE WHEN c_custkey % 4 = 0 THEN CAST(DATE '2000-06-01' + CAST(c_custkey % 300 AS INT) AS STRING) END AS churn_date,
+  c_custkey
+""")
+
 # Profiles sent for scoring: no services, optional fields partly NULL, numbers as numbers.
 CUSTOMER_REQUESTS = """
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Female' END AS gender,
@@ -211,6 +217,10 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "customer"), "customer", CUSTOMER_PROFILES)
 
 
+def dated_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(table(spark, sf_dir, "customer"), "customer", DATED_PROFILES)
+
+
 def customer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "customer"), "customer", CUSTOMER_REQUESTS)
 

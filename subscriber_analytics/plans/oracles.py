@@ -381,6 +381,29 @@ ORACLES |= {
     "fallback_scored": ORACLES["scored_profiles"],
     "bucketed_360": ORACLES["customer_360"],
     "profile_files": ORACLES["typed_profiles"],
+    "published_profiles": f"""{_PROFILES.replace(fx.CUSTOMER_PROFILES, fx.DATED_PROFILES)}
+        SELECT customer_id, CAST(senior_citizen AS SMALLINT) AS senior_citizen, tenure, contract,
+          CAST(CAST(monthly_charges AS DECIMAL(8,2)) AS DOUBLE) AS monthly_charges,
+          CAST(CAST(total_charges AS DECIMAL(10,2)) AS DOUBLE) AS total_charges, churn,
+          DATE '1999-01-01' + CAST(c_custkey % 500 AS INT) AS signup_date,
+          CASE WHEN churn = 'Yes' THEN DATE '2000-06-01' + CAST(c_custkey % 300 AS INT) END AS churn_date,
+          CASE WHEN churn = 'Yes' THEN 'resiliation' ELSE 'abonnement' END AS event_type,
+          {_AS_OF} + INTERVAL '1' MICROSECOND * (CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END) AS event_ts,
+          'replay' AS source, reject_reason FROM typed WHERE reject_reason IS NULL
+        UNION ALL SELECT customer_id, senior_citizen, tenure, contract, monthly_charges, total_charges, churn,
+          NULL, NULL, NULL, NULL, 'replay', reject_reason FROM typed WHERE reject_reason IS NOT NULL""",
+    "exported_reports": f"{_RECENT} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS rapport, CAST({group} AS VARCHAR) AS groupe, CAST({count} AS BIGINT) AS nombre, "
+        f"CAST({figure} AS DOUBLE) AS valeur FROM ({sql.removeprefix(_LOGS)}) {name}"
+        for name, group, count, figure, sql in (
+            ("rate_by_contract", "contract", "nb_clients", "taux_churn", ORACLES["rate_by_contract"]),
+            ("rate_by_services", "nb_services", "nb_clients", "taux_churn", ORACLES["rate_by_services"]),
+            ("cohort_retention", "mois_cohorte", "taille_cohorte", "duree_moy_avant_churn_jours", ORACLES["cohort_retention"]),
+            ("weekly_trend", "semaine", "nb_churns", "mrr_moyen_perdu", ORACLES["weekly_trend"]),
+            ("churn_velocity", "contract", "nb_churners", "delai_moyen_jours", ORACLES["churn_velocity"]),
+            ("actual_vs_predicted", "model_version", "clients_evalues", "score_moyen", ORACLES["actual_vs_predicted"]),
+            ("customers_at_risk", "customer_id", "tenure", "churn_score",
+             "SELECT customer_id, tenure, churn_score FROM full_view WHERE churn_predicted = 1"))),
     "log_feed": _RECENT_FEED.replace(_LOGS, _RECENT),
     "log_kpis": f"{_RECENT} {_KPIS}",
     "log_retention": f"""WITH ev AS ({fx.RECENT_EVENTS}) SELECT id, customer_id, ingested_ts FROM ev

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,12 @@ from subscriber_analytics import fixtures as fx
 from subscriber_analytics.functions.columns import decision
 from subscriber_analytics.operators import constraints, features, lifecycle, metrics, parsing, scoring
 from subscriber_analytics.operators import state as st
-from subscriber_analytics.plans import reports, tables, views
+from subscriber_analytics.plans import export, reports, tables, views
 from subscriber_analytics.schemas import EVENT_LOG_RULES, PROFILE_COLUMNS, PROFILE_DEFAULTS, SCORE_LOG_RULES
 from subscriber_analytics.session import apply_settings, work_dir
 from subscriber_analytics.sources import profiles
 from subscriber_analytics.sources.events import read_event_files, write_event_files
-from subscriber_analytics.streaming import logs
+from subscriber_analytics.streaming import logs, publish
 from subscriber_analytics.streaming import state as states
 from subscriber_analytics.streaming.job import JobConfig, score_events, start_job
 
@@ -337,6 +338,52 @@ def _profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.coerce_profiles(parsing.rename_profiles(read))
 
 
+def _published_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile file through the publishing command and the job: the state it leaves, and the refused profiles."""
+    folder = work_dir(spark, "replay-files")
+    raw = fx.dated_profiles(spark, sf_dir).drop("c_custkey")
+    raw.repartition(PUBLISHED_FILES).write.option("header", True).option("escape", '"').csv(f"{folder}/profiles")
+    publish.main(["--profiles", f"{folder}/profiles", "--files", f"{folder}/topics", "--partitions", str(PUBLISHED_FILES),
+                  "--rejects", f"{folder}/refused", "--as-of", fx.AS_OF, "--source", "replay"], spark)
+    config = JobConfig(root=f"{folder}/logs", checkpoint=f"{folder}/checkpoint", spread=SPREAD)
+    start_job(read_event_files(spark, f"{folder}/topics"), None, config, available_now=True).awaitTermination()
+    state = st.latest_state(logs.read_log(spark, config.root, logs.EVENTS)).drop("arrival", "ingested_ts")
+    refused = spark.read.parquet(f"{folder}/refused")
+    shown = ("customer_id", "senior_citizen", "tenure", "contract", "monthly_charges", "total_charges", "churn",
+             "signup_date", "churn_date", "event_type", "event_ts", "source", "reject_reason")
+    return state.unionByName(refused, allowMissingColumns=True).select(*shown)
+
+
+def _exported_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of stored logs through the exporting command, in each of its formats: all rows as (report, group, figures)."""
+    folder = work_dir(spark, "exported")
+    root = f"{folder}/logs"
+    _recent_log(spark, sf_dir, root, logs.EVENTS), _recent_log(spark, sf_dir, root, logs.SCORES)
+    # The columns of each report: its group, a count of rows, and a figure.
+    asked = {
+        "rate_by_contract": ("csv", "contract", "nb_clients", "taux_churn"),
+        "rate_by_services": ("csv", "nb_services", "nb_clients", "taux_churn"),
+        "cohort_retention": ("json", "mois_cohorte", "taille_cohorte", "duree_moy_avant_churn_jours"),
+        "weekly_trend": ("parquet", "semaine", "nb_churns", "mrr_moyen_perdu"),
+        "churn_velocity": ("json", "contract", "nb_churners", "delai_moyen_jours"),
+        "actual_vs_predicted": ("parquet", "model_version", "clients_evalues", "score_moyen"),
+        "customers_at_risk": ("csv", "customer_id", "tenure", "churn_score"),
+    }
+    rows = []
+    for form in export.FORMATS:
+        names = [name for name, columns in asked.items() if columns[0] == form]
+        export.main(["--root", root, "--as-of", fx.AS_OF, "--reports", ",".join(names), "--to", f"{folder}/reports",
+                     "--format", form], spark)
+        for name in names:
+            _, group, count, figure = asked[name]
+            # Files of text give texts back.
+            read = spark.read.format(form).option("header", True).load(f"{folder}/reports/{name}")
+            rows.append(read.select(
+                F.lit(name).alias("rapport"), F.col(group).cast("string").alias("groupe"),
+                F.col(count).cast("bigint").alias("nombre"), F.col(figure).cast("double").alias("valeur")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _bucketed_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer view over two stored tables that a later session attaches and joins without a shuffle."""
     folder = work_dir(spark, "bucketed")
@@ -489,6 +536,8 @@ QUERIES: dict[str, Query] = {
     "padded_features": _padded_features,
     "fallback_scored": _fallback_scored,
     "bucketed_360": _bucketed_360,
+    "published_profiles": _published_profiles,
+    "exported_reports": _exported_reports,
     "profile_files": _profile_files,
     "log_feed": _log_feed,
     "log_kpis": _log_kpis,

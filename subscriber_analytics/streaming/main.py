@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 
 from subscriber_analytics.operators.scoring import load_coefficients, load_scorer
@@ -34,10 +35,17 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--threshold", type=float, default=0.5)
     parser.add_argument("--trigger-seconds", type=int, default=10)
     parser.add_argument("--spread", type=int, help="tasks to parse with, if the source has fewer")
+    parser.add_argument("--tables", help="module:name of a database.BatchTables that gets the good rows too")
     parser.add_argument("--available-now", action="store_true", help="process what is there, stop")
     return parser.parse_args(arguments)
 
 
+def named_object(name: str) -> object:
+    """What ``module:name`` names."""
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def main(arguments: list[str] | None = None) -> None:
     given = parse_arguments(arguments)
     spark = build_session()
@@ -59,6 +67,7 @@ def main(arguments: list[str] | None = None) -> None:
     query = start_job(
         messages, scorer, config, given.available_now,
         on_metrics=lambda batch, counts: log.info("batch %s: %s", batch, counts),
+        tables=named_object(given.tables) if given.tables else None,
     )
     query.awaitTermination()
 

@@ -9,7 +9,7 @@ from subscriber_analytics.plans import reports, views
 from subscriber_analytics.sources.events import write_event_files
 from subscriber_analytics.sources.profiles import read_profiles
 from subscriber_analytics.streaming import logs
-from subscriber_analytics.streaming.main import main, parse_arguments
+from subscriber_analytics.streaming.main import main, named_object, parse_arguments
 from tests.helpers import values
 
 AS_OF = "2024-03-01 00:00:00"
@@ -67,3 +67,9 @@ def test_arguments():
                              "m", "--model-copy", "k"])
     assert given.trigger_seconds == 10 and given.threshold == 0.5
     assert given.topics == "abonnements,usages,paiements"
+
+
+def test_tables_by_name():
+    assert named_object("subscriber_analytics.streaming.logs:SCORES") == logs.SCORES
+    with pytest.raises(ModuleNotFoundError):
+        named_object("no_such_module:tables")
