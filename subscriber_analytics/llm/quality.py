@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,9 +32,10 @@ FEATURES = ("f_length", "f_symbols", "f_lines", "f_repeats")
 FLOORS = (0.04, 0.01, 0.10, 0.10)
 # Share of a group that the determinant is taken over.
 CORE = 0.75
-# Groups with fewer documents than this are judged by the estimate of their language, or by that of all documents.
-LEAST_GROUP = 30
-MAX_STEPS = 12
+# Weight of the next wider estimate (all sources of the language, then all documents), as a number of documents.
+PRIOR = 30
+# Least variance in any direction, as a share of the least variances: keeps the covariance of a few rows invertible.
+GUARD = 1e-3
 # Distances fall into so many steps of their logarithm; the core of a group is cut between two of them.
 DISTANCE_BINS = 2048
 # Squared distance beyond which a document is an outlier: chi-square with 4 degrees of freedom at 0.999.
@@ -89,8 +91,9 @@ def _features(df: DataFrame) -> DataFrame:
 
 
 _MODEL = T.StructType([
-    T.StructField("group", T.StringType()), T.StructField("center", T.ArrayType(T.DoubleType())),
-    T.StructField("inverse", T.ArrayType(T.DoubleType())), T.StructField("logdet", T.DoubleType()),
+    T.StructField("group", T.StringType()), T.StructField("n", T.LongType()), T.StructField("center", T.ArrayType(T.DoubleType())),
+    T.StructField("cov", T.ArrayType(T.DoubleType())), T.StructField("inverse", T.ArrayType(T.DoubleType())),
+    T.StructField("logdet", T.DoubleType()),
 ])
 _PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 
@@ -114,9 +117,26 @@ def _start(rows: DataFrame) -> DataFrame:
     inverse: list[Column] = [F.lit(0.0)] * len(_PAIRS)
     for k, s in enumerate(spread):
         inverse[place[k, k]] = 1 / (s * s)
+    # What is not known yet comes with the first step, which every group takes.
     return quartiles.select(
-        "group", F.array(*[F.col(f)[1] for f in FEATURES]).alias("center"),
-        F.array(*inverse).alias("inverse"), F.lit(math.inf).alias("logdet"))
+        "group", F.lit(0).cast("long").alias("n"), F.array(*[F.col(f)[1] for f in FEATURES]).alias("center"),
+        F.array(*inverse).alias("cov"), F.array(*inverse).alias("inverse"), F.lit(math.inf).alias("logdet"))
+
+
+def _full(values: np.ndarray) -> np.ndarray:
+    """Symmetric matrices from rows of their _PAIRS."""
+    made = np.empty((len(values), len(FEATURES), len(FEATURES)))
+    for k, (i, j) in enumerate(_PAIRS):
+        made[:, i, j] = made[:, j, i] = values[:, k]
+    return made
+
+
+def _guarded(cov: np.ndarray) -> np.ndarray:
+    """cov with the least variances of FLOORS on its diagonal, and GUARD of them in every direction."""
+    floors = np.array(FLOORS)
+    cov = cov + np.diag(np.maximum(floors ** 2 - np.diag(cov), 0))
+    values, vectors = np.linalg.eigh(cov / np.outer(floors, floors))
+    return (vectors * np.maximum(values, GUARD)) @ vectors.T * np.outer(floors, floors)
 
 
 def _core(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
@@ -130,66 +150,86 @@ def _core(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
     for k, (i, j) in enumerate(_PAIRS):
         cov[i, j] = cov[j, i] = core[f"p{k}"].sum() / n - center[i] * center[j]
     # The nearest rows understate the spread; this is the factor for a normal core of this share.
-    cov *= CONSISTENCY
-    scale = np.diag(np.maximum(np.array(FLOORS) ** 2 - np.diag(cov), 0))
-    cov += scale
+    cov = _guarded(cov * CONSISTENCY)
     inverse = np.linalg.inv(cov)
-    return pd.DataFrame([[key[0], center.tolist(), [inverse[i, j] for i, j in _PAIRS],
-                          float(np.linalg.slogdet(cov)[1])]], columns=_MODEL.names)
+    return pd.DataFrame([[key[0], int(bins["n"].sum()), center.tolist(), [cov[i, j] for i, j in _PAIRS],
+                          [inverse[i, j] for i, j in _PAIRS], float(np.linalg.slogdet(cov)[1])]], columns=_MODEL.names)
 
 
 def robust_models(rows: DataFrame) -> DataFrame:
     """Minimum covariance determinant of each group over all its rows.
 
     From medians and quartiles, each step takes the nearest CORE of every group and its mean and
-    covariance, until no determinant falls. A step is one aggregation: rows are summed by group and
-    distance bin before the shuffle, so a hot group is a few thousand sums, and only those meet in
-    a task.
+    covariance, until no determinant falls; a group whose own does not fall any more takes no further step. A step is
+    one aggregation: rows are summed by group and distance bin before the shuffle, so a hot group is a few
+    thousand sums, and only those meet in a task.
     """
-    model = stored(_start(rows), "outliers")
-    for _ in range(MAX_STEPS):
-        placed = rows.join(model, "group").withColumn("d", _distance())
+    model = stored(_start(rows).withColumn("better", F.lit(True)), "outliers")
+    while not model.where("better").isEmpty():
+        placed = rows.join(model.where("better").select("group", "center", "inverse"), "group").withColumn("d", _distance())
         step = F.floor(F.log1p(F.greatest("d", F.lit(0.0))) * (DISTANCE_BINS / 20))
         bins = placed.groupBy("group", F.least(step, F.lit(DISTANCE_BINS)).alias("bin")).agg(
             F.count("*").alias("n"), *[F.sum(f).alias(f"s{k}") for k, f in enumerate(FEATURES)],
             *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"p{k}") for k, (i, j) in enumerate(_PAIRS)])
         found = bins.groupBy("group").applyInPandas(_core, _MODEL)
-        both = found.alias("new").join(model.alias("old"), "group")
-        better = F.col("new.logdet") < F.col("old.logdet") - 1e-6
-        model = stored(both.select("group", better.alias("better"), *[
-            F.when(better, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in _MODEL.names[1:]]), "outliers")
-        if model.where("better").isEmpty():
-            break
-        model = model.drop("better")
+        both = model.alias("old").join(found.alias("new"), "group", "left")
+        better = F.coalesce(F.col("new.logdet") < F.col("old.logdet") - 1e-6, F.lit(False))
+        model = stored(both.select("group", *[
+            F.when(better, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in _MODEL.names[1:]],
+            better.alias("better")), "outliers")
     return model.select(*_MODEL.names)
 
 
+_LEVELS = ("group", "wider", "widest")
+
+
+def blended_models(rows: DataFrame) -> DataFrame:
+    """(group, center, inverse): the estimate of each group, drawn to that of its language and of all documents.
+
+    Center and covariance are means of the group's own, by its number of documents, and the next wider ones, which
+    count PRIOR documents; so are those of a language and of all. One document more or less changes
+    an estimate by little at any size. ``rows`` have group, wider, widest and FEATURES.
+    """
+    models = stored(robust_models(rows.select(F.explode(F.array(*_LEVELS)).alias("group"), *FEATURES)), "models")
+    plan = rows.select(*_LEVELS).distinct()
+    for level in _LEVELS:
+        own = models.select(F.col("group").alias(level), *[F.col(c).alias(f"{c}_{level}") for c in ("n", "center", "cov")])
+        plan = plan.join(own, level)
+
+    def blend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = np.zeros((len(batch), len(FEATURES) + len(_PAIRS)))
+            for level in reversed(_LEVELS):
+                n = batch[f"n_{level}"].to_numpy(float)[:, None]
+                own = np.array([[*c, *v] for c, v in zip(batch[f"center_{level}"], batch[f"cov_{level}"], strict=True)])
+                share = 1.0 if level == _LEVELS[-1] else n / (n + PRIOR)
+                values = share * own.reshape(values.shape) + (1 - share) * values
+            center, cov = values[:, :len(FEATURES)], _full(values[:, len(FEATURES):])
+            inverse = np.linalg.inv(cov)
+            yield pd.DataFrame({"group": batch["group"], "center": center.tolist(),
+                                "inverse": [[m[i, j] for i, j in _PAIRS] for m in inverse]})
+
+    return plan.mapInPandas(blend, "group string, center array<double>, inverse array<double>")
+
+
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
     """docs (without text) with the statistics, base_failed, distance (squared, null if base_failed) and kept.
 
     A document goes if it fails the fixed limits, or if its statistics lie beyond ``cutoff`` from the
     robust center of its language and source. The estimates are taken over all documents that pass
-    the limits; a group of fewer than LEAST_GROUP of them is judged by that of all sources of the language, or
-    of all documents if those are as few, so each that passes the limits has a distance. Null
-    languages or sources form groups of their own. Repeated rows are judged each.
+    the limits; that of a small group is mostly the one of its language, or of all documents, so each document that
+    passes the limits has a distance. Null languages or sources form groups of their own. Repeated rows are judged
+    each, an empty table gives an empty one, and columns with the names of this result or of its steps are replaced.
     """
-    own = [*FIELDS.names, *FEATURES, *_MODEL.names, "wider", "widest", "_group", "_model", "base_failed", "distance", "kept"]
+    own = [*FIELDS.names, *FEATURES, *_MODEL.names, *_LEVELS, "_group", "base_failed", "distance", "kept"]
     counted = statistics(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in own]), text).drop(text)
     group = F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))
     wider = F.concat(F.lit("language "), F.to_json(F.struct(F.col(lang).alias("l"))))
     rows = stored(_features(counted.withColumn("base_failed", base_failed()).withColumns(
         {"group": group, "wider": wider, "widest": F.lit("all")})), "statistics")
-    passed = rows.where("NOT base_failed").select("group", "wider", "widest", *FEATURES)
-    sizes = stored(passed.groupBy("group", "wider", "widest").count(), "groups")
-    langs = stored(sizes.groupBy("wider").agg(F.sum("count").alias("n")), "languages")
-    # Stored: the joins with it are then planned by its size, and can be split where a group is hot.
-    plan = stored(sizes.join(langs, "wider").select(F.col("group").alias("_group"), F.when(
-        F.col("count") >= LEAST_GROUP, F.col("group")).when(F.col("n") >= LEAST_GROUP, F.col("wider")).otherwise(
-        F.col("widest")).alias("_model")), "plan")
-    used = stored(plan.select(F.col("_model").alias("group")).distinct(), "models")
-    levels = passed.select(F.explode(F.array("group", "wider", "widest")).alias("group"), *FEATURES)
-    models = robust_models(levels.join(used, "group", "left_semi")).withColumnRenamed("group", "_model")
-    judged = rows.join(plan, rows["group"] == plan["_group"], "left").join(models, "_model", "left").withColumn(
+    # Stored: the join with it is then planned by its size, and can be split where a group is hot.
+    models = stored(blended_models(rows.where("NOT base_failed").select(*_LEVELS, *FEATURES)), "blended").withColumnRenamed("group", "_group")
+    judged = rows.join(models, rows["group"] == models["_group"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & (F.col("distance") <= cutoff)
-    return judged.withColumn("kept", F.coalesce(kept, F.lit(False))).drop("group", "wider", "widest", "_group", "_model", "center", "inverse", "logdet", *FEATURES)
+    return judged.withColumn("kept", F.coalesce(kept, F.lit(False))).drop(*_LEVELS, "_group", "center", "inverse", *FEATURES)
