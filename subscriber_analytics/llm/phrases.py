@@ -21,6 +21,8 @@ TOP = 2000
 # A phrase goes if a longer candidate around it has this share of its occurrences.
 COVER_PERCENT = 80
 SCALE = 2_000_000
+# Scores reach half of SCALE; phrases of a language are counted in bands of so many.
+BAND = 1000
 LONGEST = 4
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 BLANKS = r"[\x20\x09]+"
@@ -310,9 +312,19 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     inner = inner.select("*", F.explode(F.sequence(F.lit(1), F.col("k") - F.col("size") + 1)).alias("start"))
     around = stored(inner.select("lang", _part(F.col("start"), F.col("size")).alias("phrase"), "a").groupBy("lang", "phrase").agg(
         F.max("a").alias("around")), "phrases-around")
-    left = best.join(around, ["lang", "phrase"], "left").where(
-        F.col("around").isNull() | (_wide("around") * 100 < _wide("a") * cover))
-
+    left = stored(best.join(around, ["lang", "phrase"], "left").where(
+        F.col("around").isNull() | (_wide("around") * 100 < _wide("a") * cover)), "phrases-left")
+
+    # Of a language only the bands of scores that its first phrases lie in go to the task that ranks them.
+    band = F.floor(F.col("best.score") / BAND).alias("band")
+    bands = left.groupBy("lang", band).count()
+    above = F.coalesce(F.sum("count").over(W.partitionBy("lang").orderBy(F.desc("band")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    lowest = stored(bands.withColumn("above", above).where(F.col("above") < top).groupBy("lang").agg(F.min("band").alias("lowest")), "score-bands")
+    left = left.join(lowest, "lang").where(band >= F.col("lowest"))
+    # A band of many equal scores is cut in parts first.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    part_place = F.row_number().over(W.partitionBy("lang", part).orderBy(F.desc("best.score"), F.desc("a"), F.asc("phrase")))
+    left = left.withColumn("part_place", part_place).where(F.col("part_place") <= top)
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), F.asc("phrase")))
     ranked = left.withColumn("rank", place).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(

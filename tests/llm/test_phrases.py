@@ -63,6 +63,15 @@ def test_common_pairs_are_dealt_and_counted_whole(spark, monkeypatch, common, co
     assert sorted(tuple(r) for r in phrases.collocations(docs).collect()) == brute(rows, 30)
 
 
+@pytest.mark.parametrize("top", [1, 40, 2000])
+def test_many_equal_scores_and_a_cut_inside_a_band(spark, top):
+    # 600 phrases of one score and one count, fewer of others, in two languages.
+    same = ". ".join(f"p{k} q{k}" for k in range(600))
+    rows = [(f"{same}. a b. a c. a b. d e f", lang) for lang in ("en", "de")] * 2 + [("d e. p1 x. q2", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(tuple(r) for r in phrases.collocations(docs, least=2, top=top).collect()) == brute(rows, 2, top)
+
+
 def test_numbers_are_short_and_distinct():
     made = [phrases._number(k) for k in range(20_000)]
     assert len(set(made)) == len(made) and len(made[0]) == 1 and max(map(len, made)) == 3
