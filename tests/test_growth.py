@@ -35,3 +35,14 @@ def test_latest_states_get_more_files_and_parts(spark, sf_dir, place):
     assert len(list((place / "states/checkpoint/state/0").glob("[0-9]*"))) == 4
     # Three batches a delivery, as ever.
     assert len(list((place / "states/checkpoint/commits").glob("[0-9]*"))) == 6
+
+
+def test_days_get_more_files_and_stay_batches(spark, sf_dir, place):
+    scores = registry.queries()["job_by_day"](spark, sf_dir)
+    events = fx.table(spark, sf_dir, "events")
+    # A day has 333 messages, and a file a quarter of the limit.
+    assert _most_rows(spark, place / "days/days") < ROWS / 2
+    batches = scores.select("jour", "nb_evenements", "nb_rejets", "nb_scores").distinct().collect()
+    assert len(batches) == events.select(F.to_date("ts")).distinct().count() == len({row["jour"] for row in batches})
+    assert sum(row["nb_evenements"] + row["nb_rejets"] for row in batches) == events.count()
+    assert sum(row["nb_scores"] for row in batches) == scores.count()
