@@ -105,7 +105,8 @@ def start_job(messages: DataFrame, scorer: Scorer | None, config: JobConfig, ava
     """Start the job on a stream of envelopes. With ``available_now`` it processes what is there
     and stops."""
     if config.spread is not None:
-        messages = messages.repartition(config.spread)
+        # By source position: even, the same when a task is repeated, and without the sort of an unkeyed repartition.
+        messages = messages.repartition(config.spread, "topic", "partition", "offset")
     rows = to_event_log(parse_events(messages))
     writer = rows.writeStream.option("checkpointLocation", config.checkpoint)
     writer = (

@@ -46,3 +46,17 @@ def test_days_get_more_files_and_stay_batches(spark, sf_dir, place):
     assert len(batches) == events.select(F.to_date("ts")).distinct().count() == len({row["jour"] for row in batches})
     assert sum(row["nb_evenements"] + row["nb_rejets"] for row in batches) == events.count()
     assert sum(row["nb_scores"] for row in batches) == scores.count()
+
+
+@pytest.mark.parametrize("query, folder", [("publish_roundtrip", "published")])
+def test_published_events_get_more_files_and_as_many_batches(spark, sf_dir, place, query, folder):
+    state = registry.queries()[query](spark, sf_dir)
+    assert state.count() == _customers(spark, sf_dir)
+    assert _most_rows(spark, place / folder / "files") < 2 * ROWS
+    assert _most_rows(spark, place / folder / "logs/events/landing") < 2 * ROWS
+    assert len(list((place / folder / "checkpoint/commits").glob("[0-9]*"))) == registry.PUBLISHED_FILES
+
+
+def test_one_batch_over_a_table_gets_more_tasks(spark, sf_dir, place):
+    assert registry.queries()["stream_rejects"](spark, sf_dir).count() > 0
+    assert _most_rows(spark, place / "job/logs/events/landing") < 2 * ROWS
