@@ -48,7 +48,7 @@ def test_days_get_more_files_and_stay_batches(spark, sf_dir, place):
     assert sum(row["nb_scores"] for row in batches) == scores.count()
 
 
-@pytest.mark.parametrize("query, folder", [("publish_roundtrip", "published")])
+@pytest.mark.parametrize("query, folder", [("publish_roundtrip", "published"), ("restart_roundtrip", "restart")])
 def test_published_events_get_more_files_and_as_many_batches(spark, sf_dir, place, query, folder):
     state = registry.queries()[query](spark, sf_dir)
     assert state.count() == _customers(spark, sf_dir)
