@@ -57,21 +57,25 @@ def _words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]
     data, offsets = flat(texts)
     word = _WORD[data]
     begins = offsets[:-1][offsets[:-1] < offsets[1:]]
-    first, last = word.copy(), word.copy()
-    first[1:] &= ~word[:-1]
-    first[begins] = word[begins]
-    last[:-1] &= ~word[1:]
-    last[begins[1:] - 1] = word[begins[1:] - 1]
-    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    edge = word.copy()
+    edge[1:] &= ~word[:-1]
+    edge[begins] = word[begins]
+    starts = np.flatnonzero(edge)
+    edge = word.copy()
+    edge[:-1] &= ~word[1:]
+    edge[begins[1:] - 1] = word[begins[1:] - 1]
     bounds = np.zeros(len(starts) + 1, np.int32)
-    np.cumsum(stops - starts, out=bounds[1:])
+    np.cumsum(np.flatnonzero(edge) + 1 - starts, out=bounds[1:])
+    del edge
     body = _LOWER[data[word]]
-    found = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(body)])
-    owner = np.searchsorted(offsets[1:], starts, side="right")
+    del word
+    found = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(body)]).dictionary_encode()
+    del bounds, body
+    owner = np.searchsorted(offsets[1:], starts, side="right").astype(np.int32)
     piece = np.searchsorted(np.flatnonzero(_END[data]), starts)
     same = np.zeros(len(starts), bool)
     same[:-1] = (owner[1:] == owner[:-1]) & (piece[1:] == piece[:-1])
-    return found.dictionary_encode(), owner, same
+    return found, owner, same
 
 
 def _number(place: int) -> str:
@@ -101,49 +105,68 @@ def _joined(tokens: pa.Array, first: np.ndarray, second: np.ndarray) -> pa.Array
     return pc.ascii_rtrim(pc.binary_join_element_wise(a, b, " "), " ")
 
 
-def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common: int) -> pa.RecordBatch:
-    """The windows of a block: for each pair of first words their number, and all ends with theirs."""
+def _counted_windows(texts: pa.Array, langs: pa.Array, coded: pa.Array, common: int) -> Iterator[pa.RecordBatch]:
+    """The windows of a block: for each pair of first words their number, and all ends with theirs.
+
+    Sorted as numbers, written out in batches of about OUT_ROWS ends: what a task holds at once is mostly the numbers.
+    """
     words, owner, same = _words(texts)
     langs = langs.fill_null(NO_LANG).dictionary_encode()
     known = words.dictionary
-    lead = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    lead = words.indices.to_numpy(zero_copy_only=False)
+    lang = langs.indices.to_numpy(zero_copy_only=False)[owner]
     leads, within = [lead], same
     for k in range(1, LONGEST):
-        ahead = np.full(len(lead), -1, np.int64)
+        ahead = np.full(len(lead), -1, np.int32)
         ahead[:-k] = np.where(within[:-k], lead[k:], -1)
         leads.append(ahead)
         within = within & np.r_[same[k:], np.zeros(min(k, len(same)), bool)]
+    del words, owner, same, within
     hot = np.r_[pc.is_in(known, value_set=coded[:common]).to_numpy(zero_copy_only=False).astype(bool), False]
-    salt = np.zeros(len(lead), np.int64)
+    salt = np.zeros(len(lead), np.int8)
     dealt = np.flatnonzero(hot[lead] & hot[leads[1]])
     used, places = np.unique(np.r_[leads[2][dealt], leads[3][dealt]], return_inverse=True)
     hashes = np.array([zlib.crc32(w.encode()) if w else 0 for w in _taken(known, used).to_pylist()], np.int64)[places]
     salt[dealt] = (hashes[:len(dealt)] * 31 + hashes[len(dealt):]) % SALTS + 1
-    lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    start = (lang << 32) | lead, ((leads[1] + 1) << 8) | salt
-    end = ((leads[2] + 1) << 32) | (leads[3] + 1)
-    order = np.lexsort((end, start[1], start[0]))
+    del dealt, used, places, hashes
+    start = (lang.astype(np.int64) << 32) | lead, ((leads[1].astype(np.int64) + 1) << 8) | salt
+    end = ((leads[2].astype(np.int64) + 1) << 32) | (leads[3] + 1)
+    order = np.lexsort((end, start[1], start[0])).astype(np.int32)
     new_pair = np.ones(len(order), bool)
-    new_pair[1:] = (np.diff(start[0][order]) != 0) | (np.diff(start[1][order]) != 0)
+    new_pair[1:] = False
+    for key in start:
+        key = key[order]
+        new_pair[1:] |= key[1:] != key[:-1]
+    end = end[order]
     new_end = new_pair.copy()
-    new_end[1:] |= np.diff(end[order]) != 0
-    pairs, ends = np.flatnonzero(new_pair), np.flatnonzero(new_end)
-    counts = np.diff(np.r_[ends, len(order)])
+    new_end[1:] |= end[1:] != end[:-1]
+    del start, end, key
+    pairs, ends = np.flatnonzero(new_pair).astype(np.int32), np.flatnonzero(new_end).astype(np.int32)
+    del new_pair, new_end
+    counts, sizes = np.diff(np.r_[ends, len(order)]), np.diff(np.r_[pairs, len(order)])
+    bounds = np.r_[np.searchsorted(ends, pairs), len(ends)].astype(np.int32)
+    rows, order = order[pairs], order[ends]
+    third, fourth = leads[2][order], leads[3][order]
+    lead, second, lang, salt = lead[rows], leads[1][rows], lang[rows], salt[rows]
+    del leads, order, rows, pairs, ends
     tokens = _coded(known, coded)
-    rests = _joined(tokens, leads[2][order[ends]], leads[3][order[ends]])
-    many = pc.binary_join_element_wise(pa.scalar("\r"), pa.array(counts).cast(pa.string()), "")
-    items = pc.binary_join_element_wise(rests, pc.if_else(pa.array(counts == 1), "", many), "")
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[np.searchsorted(ends, pairs), len(ends)].astype(np.int32)), items)
-    rows = order[pairs]
     names = langs.dictionary
     for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n")):
         names = pc.replace_substring(names, plain, escaped)
-    salts = pc.binary_join_element_wise(pa.scalar("\t"), pa.array(salt[rows]).cast(pa.string()), "")
-    group = pc.binary_join_element_wise(names.take(pa.array(lang[rows])), _joined(tokens, lead[rows], leads[1][rows]), "\t")
-    group = pc.binary_join_element_wise(group, pc.if_else(pa.array(salt[rows] > 0), salts, ""), "")
-    size = pa.array(np.diff(np.r_[pairs, len(order)])).cast(pa.string())
-    return pa.RecordBatch.from_arrays(
-        [pc.binary_join_element_wise(group, size, pc.binary_join(lists, "\n"), "\n")], names=PAIR_FIELDS.names)
+    first = 0
+    while first < len(lead):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + OUT_ROWS, side="right")) - 1)
+        own, inner = slice(first, last), slice(bounds[first], bounds[last])
+        rests = _joined(tokens, third[inner], fourth[inner])
+        many = pc.binary_join_element_wise(pa.scalar("\r"), pa.array(counts[inner]).cast(pa.string()), "")
+        items = pc.binary_join_element_wise(rests, pc.if_else(pa.array(counts[inner] == 1), "", many), "")
+        lists = pa.ListArray.from_arrays(pa.array(bounds[first:last + 1] - bounds[first]), items)
+        salts = pc.binary_join_element_wise(pa.scalar("\t"), pa.array(salt[own]).cast(pa.string()), "")
+        group = pc.binary_join_element_wise(names.take(pa.array(lang[own])), _joined(tokens, lead[own], second[own]), "\t")
+        group = pc.binary_join_element_wise(group, pc.if_else(pa.array(salt[own] > 0), salts, ""), "")
+        yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(
+            group, pa.array(sizes[own]).cast(pa.string()), pc.binary_join(lists, "\n"), "\n")], names=PAIR_FIELDS.names)
+        first = last
 
 
 def _counted_words(texts: pa.Array, langs: pa.Array) -> pa.RecordBatch:
@@ -165,8 +188,10 @@ def _large_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             held.append(part)
             size += part.nbytes
             if size >= BLOCK_BYTES:
-                yield pa.Table.from_batches(held).combine_chunks()
+                table = pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
+                yield table
+                del table
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -206,8 +231,7 @@ def windows(docs: DataFrame, coded: list[str], common: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _large_blocks(batches):
-            made = _counted_windows(_column(table, "text"), _column(table, "lang"), known, common)
-            yield from (made.slice(k, OUT_ROWS) for k in range(0, made.num_rows, OUT_ROWS))
+            yield from _counted_windows(_column(table, "text"), _column(table, "lang"), known, common)
 
     return docs.select("text", "lang").mapInArrow(run, PAIR_FIELDS)
 

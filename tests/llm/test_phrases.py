@@ -1,6 +1,9 @@
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +75,44 @@ def test_many_equal_scores_and_a_cut_inside_a_band(spark, top):
     assert sorted(tuple(r) for r in phrases.collocations(docs, least=2, top=top).collect()) == brute(rows, 2, top)
 
 
+# Counts what is allocated in it; outlives all that is.
+POOL = pa.proxy_memory_pool(pa.default_memory_pool())
+
+
+def _block(words):
+    picked = np.random.default_rng(5).zipf(1.3, words) % 20_000
+    parts = np.array_split(picked, 300)
+    texts = pa.array([" ".join(f"w{k}" + ("." if k % 11 == 7 else "") for k in part) for part in parts])
+    coded = pa.array([f"w{k}" for k in np.argsort(-np.bincount(picked), kind="stable")[:500]])
+    return texts, pa.array(["en", None, "de"] * 100), coded
+
+
+def test_a_block_of_windows_is_counted_in_bounded_memory():
+    texts, langs, coded = _block(500_000)
+    before = pa.default_memory_pool()
+    pa.set_memory_pool(POOL)
+    tracemalloc.start()
+    try:
+        for _ in phrases._counted_windows(texts, langs, coded, 20):
+            pass
+        peak = tracemalloc.get_traced_memory()[1] + POOL.max_memory()
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(before)
+    assert peak < 120 * 500_000, peak
+
+
+def test_a_block_of_windows_comes_in_parts_and_whole(monkeypatch):
+    texts, langs, coded = _block(20_000)
+    whole = [line for part in phrases._counted_windows(texts, langs, coded, 20) for line in part.column("line").to_pylist()]
+    monkeypatch.setattr(phrases, "OUT_ROWS", 7)
+    parts = [part.column("line").to_pylist() for part in phrases._counted_windows(texts, langs, coded, 20)]
+    assert [line for part in parts for line in part] == whole and len(parts) > 1000
+    assert all(len(part) == 1 or sum(len(line.split("\n")) - 2 for line in part) <= 7 for part in parts)
+    assert sum(int(line.split("\n")[1]) for line in whole) == 20_000
+    assert list(phrases._counted_windows(pa.array([None, " . "], pa.string()), pa.array(["en", None]), coded, 20)) == []
+
+
 def test_numbers_are_short_and_distinct():
     made = [phrases._number(k) for k in range(20_000)]
     assert len(set(made)) == len(made) and len(made[0]) == 1 and max(map(len, made)) == 3
