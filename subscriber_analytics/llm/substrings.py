@@ -21,6 +21,8 @@ LENGTH = 400
 GRAM = 64
 # Different contexts of a gram that are sorted in one task; more are split by longer shared bytes.
 SORTED_TOGETHER = 256
+# A key that more rows have is joined by broadcast; of n rows, at most n / FREQUENT such keys can be.
+FREQUENT = 1000
 BLOCK = 1 << 20
 SEGMENT = 2 << 20
 
@@ -216,6 +218,13 @@ def _halved_rows(schema: T.StructType, length: int):
     return run
 
 
+def joined(rows: DataFrame, counts: DataFrame, on: list[str], n: str, how: str) -> DataFrame:
+    """rows joined with counts, one row for a key that ``n`` rows have, so that no task gets all rows of a frequent key."""
+    frequent = F.broadcast(counts.where(F.col(n) > FREQUENT))
+    rest = rows.join(frequent.select(*on), on, "left_anti")
+    return rows.join(frequent, on, how).unionAll(rest.join(counts.where(F.col(n) <= FREQUENT), on, how))
+
+
 def _contexts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct contexts with their number of occurrences and one owner; and sizes of keys with several."""
     contexts = stored(rows.groupBy("key", "full").agg(
@@ -239,17 +248,16 @@ def repeated_spans(
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.lit("uid"), doc_id, text).alias("uid"), F.col(text).alias("text"))
     schema = _schema(docs, doc_id, [*_PLACE, *_KEYS])
     found = stored(rows.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(schema, length, gram), schema), "anchors")
-    # Stored, as sizes are, so that the join with them is one that Spark can split where a key is hot.
-    keys = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
-    met = stored(found.join(keys, "key", "left_semi"), "anchors-met")
+    keys = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    met = stored(joined(found, keys, ["key"], "n", "left_semi"), "anchors-met")
 
     def whole(of: DataFrame, contexts: DataFrame) -> DataFrame:
-        again = of.join(contexts.where("n > 1").select("key", "full"), ["key", "full"], "left_semi")
+        again = joined(of, contexts.where("n > 1").select("key", "full", "n"), ["key", "full"], "n", "left_semi")
         return again.select("id", "uid", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + length).alias("end"))
 
     contexts, sizes = _contexts(met)
     spans = [whole(met, contexts)]
-    wanted = contexts.join(sizes, "key").select("key", "full", "size", (F.col("n") == 1).alias("alone"), "owner.*")
+    wanted = joined(contexts, sizes, ["key"], "size", "inner").select("key", "full", "size", (F.col("n") == 1).alias("alone"), "owner.*")
     wanted = wanted.withColumnRenamed("uid", "_uid").withColumnRenamed("id", "_id")
     body = F.substring(F.col("text").cast("binary"), F.col("pos") - F.col("hi") + 1, F.col("hi") - F.col("lo") + length)
     bodies = rows.join(wanted, (F.col("uid") == F.col("_uid")) & F.col("id").eqNullSafe(F.col("_id"))).select(
@@ -267,7 +275,7 @@ def repeated_spans(
         halves = stored(large.mapInArrow(_halved_rows(half_schema, length), half_schema), "halves")
         contexts, sizes = _contexts(halves)
         spans.append(whole(halves.where("alone"), contexts))
-        owners = contexts.join(sizes, "key").select("key", "full", "size", "n", F.col("owner.uid").alias("_uid"), F.col("owner.pos").alias("_pos"))
+        owners = joined(contexts, sizes, ["key"], "size", "inner").select("key", "full", "size", "n", F.col("owner.uid").alias("_uid"), F.col("owner.pos").alias("_pos"))
         bodies = halves.join(owners, ["key", "full"]).where("uid = _uid AND pos = _pos").withColumn(
             "alone", F.col("alone") & (F.col("n") == 1)).select(*half_schema.names, "size").dropDuplicates(["key", "full"])
     every = spans[0]

@@ -103,6 +103,30 @@ def test_removal_is_the_brute_force_one_also_when_groups_are_split(spark):
     assert kept == {k: (len(b), bytes(c for c, m in zip(b, mask) if not m)) for k, (b, mask) in enumerate(zip(bodies, masks))}
 
 
+def test_rows_of_a_frequent_key_are_not_dealt_to_one_task(spark):
+    rows = spark.range(0, 6000, 1, 6).select(F.when(F.col("id") % 6 < 5, -1).otherwise(F.col("id")).alias("key"), "id")
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left_semi"):
+            got = substrings.joined(rows, counts, ["key"], "n", how)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(counts, ["key"], how).collect()))
+            tasks = got.where("key = -1").groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert max(r["count"] for r in tasks) <= 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_frequent_keys_change_no_span(spark, monkeypatch):
+    texts = _texts()
+    _, masks = brute(texts, 150)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(substrings, "FREQUENT", 2)
+    got = {r["id"]: [tuple(s) for s in r["spans"]] for r in substrings.repeated_spans(docs, length=150, gram=40, together=3).collect()}
+    assert got == {k: spans_of(m) for k, m in enumerate(masks) if any(m)}
+
+
 def test_awkward_rows(spark):
     docs = documents(spark).withColumn("Spans", F.lit("mine")).withColumn("kept", F.lit(1))
     got = substrings.remove_repeats(docs)
