@@ -24,6 +24,7 @@ from subscriber_analytics.operators.constraints import (
 )
 from subscriber_analytics.operators.features import add_features, model_inputs, read_leniently
 from subscriber_analytics.schemas import SCORE_LOG_RULES
+from subscriber_analytics.session import work_dir
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -96,6 +97,9 @@ def fit_pipeline(training: DataFrame, label: str, numeric: Sequence[str], catego
 
     ``numeric`` names number columns (NULL counts as 0), ``categorical`` the levels of text columns that get a weight;
     other levels and NULL have none. ``label`` is 1 for a termination. Rows without a label are left out.
+
+    The model comes back from a file, without the summary of its training: that one holds the session, which
+    Spark cannot send to tasks once a frame of it was observed.
     """
     parts = [f"coalesce(CAST(`{name}` AS DOUBLE), 0.0)" for name in numeric]
     for name, levels in categorical.items():
@@ -107,7 +111,9 @@ def fit_pipeline(training: DataFrame, label: str, numeric: Sequence[str], catego
         VectorAssembler(inputCols=[f"_x{n}" for n in range(len(parts))], outputCol="features"),
         LogisticRegression(labelCol=label, regParam=strength),
     ]
-    return Pipeline(stages=stages).fit(training.filter(F.col(label).isNotNull()))
+    path = work_dir(training.sparkSession, "model")
+    Pipeline(stages=stages).fit(training.filter(F.col(label).isNotNull())).write().save(path)
+    return PipelineModel.load(path)
 
 
 def logit_of(model: PipelineModel, numeric: Sequence[str], categorical: Mapping[str, Sequence[str]]) -> LogitScorer:

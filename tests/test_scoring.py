@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from subscriber_analytics import fixtures as fx
@@ -151,3 +152,12 @@ def test_fitted_pipeline_and_its_own_weights(spark):
     assert max(abs(a - b) for a, b in zip(first, second)) < 1e-12 and first[-1] - first[0] > 0.1
     again = LogitScorer.from_table(own.to_table(spark))
     assert again == own
+
+
+def test_a_fresh_fit_scores_in_a_session_with_observed_frames(spark):
+    seen = Observation("seen")
+    spark.range(10).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 10}
+    training = spark.createDataFrame([(float(k), float(k < 5)) for k in range(20)], "tenure double, label double")
+    scored = scoring.PipelineScorer(scoring.fit_pipeline(training, "label", ("tenure",), {}))(training)
+    assert [r["churn_score"] > 0.5 for r in scored.sort("tenure").collect()] == [True] * 5 + [False] * 15
